@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["simhash"]
+MODULES = ["simhash", "sharding", "mixing"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
