@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["simhash", "sharding", "mixing"]
+MODULES = ["simhash", "sharding", "mixing", "tokens"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
