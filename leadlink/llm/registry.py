@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["simhash", "sharding", "mixing", "tokens", "embeddings", "language"]
+MODULES = ["simhash", "sharding", "mixing", "tokens", "embeddings", "language", "quality"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
