@@ -12,8 +12,6 @@ with it. What the search finds is verified by the exact shingles, as texts.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +28,10 @@ def words_of(column: str) -> str:
     return f"filter(split(lower({column}), '[^\\\\p{{L}}\\\\p{{N}}]+'), x -> x <> '')"
 
 
+def literal(value: int) -> str:
+    return f"{value}L" if value > -(1 << 63) else "(-9223372036854775807L - 1L)"
+
+
 def hashes(words: str, size: int) -> str:
     parts = ", ".join(f"{words}[p + {i}]" for i in range(size))
     return f"CASE WHEN size({words}) >= {size} THEN transform(sequence(0, size({words}) - {size}), p -> xxhash64({parts})) END"
@@ -39,9 +41,15 @@ def shingles(words: str, size: int) -> str:
     return f"CASE WHEN size({words}) >= {size} THEN array_distinct(transform(sequence(0, size({words}) - {size}), p -> array_join(slice({words}, p + 1, {size}), ' '))) END"
 
 
+def pinned(df: DataFrame, name: str, value: str) -> DataFrame:
+    """Adds a column that is computed once a row: as the only element of an exploded array, it is
+    not copied into the filters above, where each use of it would compute it again."""
+    return df.select("*", F.explode(F.array(F.expr(value))).alias(name))
+
+
 def signatures(items: DataFrame, size: int, share: float) -> DataFrame:
     """item_id, s (distinct shingles), n and the hashes by which the item is looked up."""
-    own = items.where("item_id is not null and text is not null").select("item_id", F.expr(words_of("text")).alias("w"))
+    own = pinned(items.where("item_id is not null and text is not null").select("item_id", "text"), "w", words_of("text"))
     own = own.select("item_id", F.expr(shingles("w", size)).alias("s"), F.expr(f"array_sort(array_distinct({hashes('w', size)}))").alias("h")).where("s is not null")
     own = own.dropDuplicates(["item_id", "s"]).withColumn("n", F.size("s"))
     least = F.ceil(F.col("n") * share - 1e-9).cast("int")
@@ -61,26 +69,24 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, size:
     sought = known.select("item_id", "need", "n", F.explode("h").alias("h"))
     own = docs.where("text is not null").select("doc_id", "text")
     h1, h2 = text_key(F.col("text"))
-    cut = own.select("doc_id", "text", F.expr(words_of("text")).alias("w"))
-    if sought.select("h").count() <= inline:
-        # the plan holds all hashes; documents without any go at once, and only hits leave the row
-        values = sorted({r[0] for r in sought.select("h").distinct().collect()})
-        hit = f"array_distinct(filter({hashes('w', size)}, x -> x IN ({', '.join(f'{v}L' if v > -(1 << 63) else '(-9223372036854775807L - 1L)' for v in values)})))" if values else "array()"
-        hits = cut.select("doc_id", "text", "w", F.expr(hit).alias("hits")).where("size(hits) > 0")
-        found = hits.select("doc_id", "text", "w", F.explode("hits").alias("h")).withColumns({"k1": h1, "k2": h2})
-        base = found.select("doc_id", "k1", "k2", "text").dropDuplicates(["doc_id", "k1", "k2"])
-        found = found.select("doc_id", "k1", "k2", "h", F.size("w").alias("m"))
+    cut = pinned(own, "w", words_of("text"))
+    if sought.count() <= inline:
+        # the plan holds all hashes; documents without any go at once
+        values = sorted(r[0] for r in sought.select("h").distinct().collect())
+        hit = f"array_distinct(filter({hashes('w', size)}, x -> x IN ({', '.join(map(literal, values))})))" if values else "CAST(array() AS array<bigint>)"
+        hits = pinned(cut, "hits", hit).where("size(hits) > 0").select("doc_id", "text", F.size("w").alias("m"), "hits").withColumns({"k1": h1, "k2": h2})
+        base = scratch.table(hits, "hits")
+        found = base.select("doc_id", "k1", "k2", "m", F.explode("hits").alias("h"))
     else:
-        keyed = own.withColumns({"k1": h1, "k2": h2})
-        found = keyed.select("doc_id", "k1", "k2", F.expr(words_of("text")).alias("w"))
-        found = found.select("doc_id", "k1", "k2", F.size("w").alias("m"), F.explode(F.expr(f"array_distinct({hashes('w', size)})")).alias("h"))
-        base = keyed
-    pairs = found.join(sought, "h").where(F.col("m") - size + 1 >= F.col("need")).select("doc_id", "k1", "k2", "item_id", "n").distinct()
+        base = own.withColumns({"k1": h1, "k2": h2})
+        found = cut.select("doc_id", h1.alias("k1"), h2.alias("k2"), F.size("w").alias("m"), F.explode_outer(F.expr(f"array_distinct({hashes('w', size)})")).alias("h"))
+    pairs = found.join(sought, "h").where(F.col("m") - size + 1 >= F.col("need")).select("doc_id", "k1", "k2", "item_id").distinct()
     pairs = pairs.withColumnsRenamed({"doc_id": "d", "k1": "i", "k2": "j"})
     both = base.join(pairs, base["doc_id"].eqNullSafe(pairs["d"]) & (base["k1"] == pairs["i"]) & (base["k2"] == pairs["j"]))
     sizes = known.select(F.col("item_id").alias("item"), "s", "need")
-    both = both.select("doc_id", "item_id", F.expr(words_of("text")).alias("w")).join(sizes, F.col("item_id") == F.col("item"))
-    exact = both.select("doc_id", "item_id", F.size("s").alias("n_shingles"), F.size(F.array_intersect(F.expr(shingles("w", size)), F.col("s"))).alias("n_shared"), "need")
+    both = pinned(both.select("doc_id", "item_id", "text").join(sizes, F.col("item_id") == F.col("item")), "w", words_of("text"))
+    both = pinned(both, "shared", f"size(array_intersect({shingles('w', size)}, s))")
+    exact = both.select("doc_id", "item_id", F.size("s").alias("n_shingles"), F.col("shared").alias("n_shared"), "need")
     exact = exact.where("n_shared >= need")
     return exact.select("doc_id", "item_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.col("n_shared").cast("long").alias("n_shared"), (F.col("n_shared") / F.col("n_shingles")).alias("containment")).distinct()
 
@@ -99,12 +105,12 @@ QUERIES = {"op4_benchmark_decontamination": op4}
 SQL = {
     "op4_benchmark_decontamination": r"""
 WITH dw AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents
 ), ds AS (
   SELECT DISTINCT doc_id, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] || ' ' || w[p + 4] AS s
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM dw)
 ), bw AS (
-  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark
 ), bs AS (
   SELECT DISTINCT item_id, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] || ' ' || w[p + 4] AS s
   FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS p FROM bw)
