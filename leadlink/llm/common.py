@@ -53,17 +53,22 @@ def text_key(text: Column) -> list[Column]:
     ]
 
 
-def ranks(df: DataFrame, keys: list[str], order: list[str], out: str = "rank", buckets: int = 256) -> DataFrame:
+def ranks(df: DataFrame, keys: list[str], order: list[str], out: str = "rank", buckets: int = 256, also: DataFrame | None = None) -> DataFrame:
     """Adds a gapless rank from 0 within each key. No key is sorted in one task: its rows are
     dealt to buckets by a hash of the order columns, the counts of the buckets (one row for
     each key and bucket) are summed up, and rows are numbered within a bucket.
 
-    The rank follows (bucket, order columns), which is a fixed order for fixed rows."""
+    The rank follows (bucket, order columns), which is a fixed order for fixed rows. `also` has
+    one row for each key, whose other columns are added on the way."""
     b, n, before = f"__b_{out}", f"__n_{out}", f"__o_{out}"
     df = df.withColumn(b, F.pmod(F.xxhash64(F.lit(out), *order), F.lit(buckets)).cast("int"))
     counts = df.groupBy(*keys, b).agg(F.count(F.lit(1)).alias(n))
     upto = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn(before, F.coalesce(F.sum(n).over(upto), F.lit(0))).drop(n)
+    if also is not None:
+        named = also.withColumnsRenamed({k: f"__a_{k}" for k in keys})
+        on = [counts[k].eqNullSafe(named[f"__a_{k}"]) for k in keys]
+        counts = counts.join(named, on).drop(*[f"__a_{k}" for k in keys])
     counts = counts.withColumnsRenamed({k: f"__k_{k}" for k in [*keys, b]})
     on = [df[k].eqNullSafe(counts[f"__k_{k}"]) for k in [*keys, b]]
     within = Window.partitionBy(*keys, b).orderBy(*order)

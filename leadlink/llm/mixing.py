@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, ranks
+from .common import WORD, Scratch, ranks
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -78,17 +78,14 @@ def targets(totals: DataFrame) -> DataFrame:
     return w.select("source", "source_size", F.least(F.col("limit").cast("double"), F.coalesce(F.col("first.share") * F.col("w"), F.col("limit").cast("double"))).alias("target"))
 
 
-def mix(spark: SparkSession, docs: DataFrame, seed: int = 42, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """doc_id, size, source_size, target, taken (and the columns in keep) of every row of docs.
+def sized(docs: DataFrame, seed: int, doc_id: str, text: str, source: str) -> DataFrame:
+    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("h"), F.struct("*").alias("row"))
 
-    taken is a multiple of size, up to 3 times. Null and blank texts have size 0 and are taken 0
-    words. Null sources are one source, the last. Equal rows are rows of their own: the same
-    number of them is taken in every run. An empty table gives an empty result. Other columns are
-    ignored, whatever they are named."""
-    scratch = Scratch(spark, "mixing")
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), size.alias("size"), F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("h"), *(keep or []))
-    own = scratch.table(own, "sizes")
+
+def shares(scratch: Scratch, own: DataFrame) -> DataFrame:
+    """source, size, source_size, target, base (times that each document of that size is taken) and
+    more (how many of them are taken once more)."""
     lengths = scratch.table(own.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "lengths")
     goal = scratch.table(targets(lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))), "targets")
 
@@ -100,16 +97,32 @@ def mix(spark: SparkSession, docs: DataFrame, seed: int = 42, doc_id: str = "doc
         base = min(MOST, int(target // total)) if total else 0
         left = round(target) - base * total
         more = fit(rows, left, total) if base < MOST and left > 0 else {}
-        return pd.DataFrame({"source": p["source"], "size": p["size"], "base": base if total else 0, "more": [more.get(n, 0) for n, _ in rows]})
+        return pd.DataFrame({"source": p["source"], "size": p["size"], "source_size": total, "target": target, "base": base, "more": [more.get(n, 0) for n, _ in rows]})
 
     joined = lengths.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    planned = joined.groupBy("source").applyInPandas(plan, "source string, size long, base int, more long")
-    planned = planned.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    planned = scratch.table(planned.withColumnsRenamed({"source": "s", "size": "n"}), "plan")
-    ranked = ranks(own, ["source", "size"], ["h", "doc_id"], "r")
-    found = ranked.join(planned, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("n")))
-    times = F.col("base") + (F.col("r") < F.col("more")).cast("int")
-    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"), *(keep or []))
+    return scratch.table(joined.groupBy("source").applyInPandas(plan, "source string, size long, source_size long, target double, base int, more long"), "plan")
+
+
+def mix(spark: SparkSession, docs: DataFrame, seed: int = 42, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, size, source_size, target and taken of every row of docs.
+
+    taken is a multiple of size, up to 3 times. Null and blank texts have size 0 and are taken 0
+    words. Null sources are one source, the last. Equal rows are rows of their own: the same
+    number of them is taken in every run. An empty table gives an empty result. Other columns are
+    ignored, whatever they are named."""
+    scratch = Scratch(spark, "mixing")
+    own = scratch.table(sized(docs, seed, doc_id, text, source).drop("row"), "sizes")
+    found = ranks(own, ["source", "size"], ["h", "doc_id"], "r", also=shares(scratch, own))
+    return found.select("doc_id", "size", "source_size", "target", F.expr("size * (base + CAST(r < more AS INT))").alias("taken"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, seed: int = 42) -> DataFrame:
+    """The mix itself: each row of docs, as it is, as many times as mix() takes it. Rows without
+    a word are taken no time, as they bring no words."""
+    scratch = Scratch(spark, "mixed")
+    own = sized(docs, seed, "doc_id", "text", "source")
+    found = ranks(own, ["source", "size"], ["h", "doc_id"], "r", also=shares(scratch, own.drop("row")))
+    return found.where("size > 0").select("row", F.explode(F.expr("array_repeat(0, base + CAST(r < more AS INT))"))).select("row.*")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

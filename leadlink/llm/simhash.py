@@ -16,7 +16,7 @@ that share a point are within the radius, and two within the radius share one.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, components
@@ -171,16 +171,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, radius
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int = 4) -> DataFrame:
-    """The rows of docs, one of each group of near duplicates: that with the smallest doc_id
-    (the smallest text among rows of that doc_id; null doc_ids last). Equal rows are one."""
-    found = near_duplicates(spark, docs, words, radius)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    order = [F.col("text").asc_nulls_last(), F.xxhash64(*[c for c, k in docs.dtypes if not k.startswith("map")])]
-    from pyspark.sql import Window
-
-    return kept.withColumn("__n", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where("__n = 1").drop("__n")
+def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int = 6) -> DataFrame:
+    """The rows of docs, one of each group of near duplicates: that with the smallest doc_id (of
+    rows of one doc_id, that with the smallest text). Rows with a null doc_id cannot be named as
+    one of a group and stay as they are."""
+    named = docs.where("doc_id is not null")
+    found = near_duplicates(spark, named, words, radius)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    kept = named.join(first, F.col("doc_id") == F.col("__id"), "left_semi")
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    kept = kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
+    return kept.union(docs.where("doc_id is null"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
