@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SIZE = 1 << 13
@@ -77,22 +77,26 @@ def any_letter(counts: np.ndarray) -> bool:
     return counts.sum() > counts[_only]
 
 
-def svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, passes: int = 60, seed: int = 42) -> np.ndarray:
-    """Weights and bias of a linear SVM (hinge loss, L2) by dual coordinate descent; y is -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, alpha, q, order = np.zeros(x.shape[1]), np.zeros(len(x)), (x * x).sum(1), np.random.default_rng(seed)
+def svm(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, c: float = 10.0, passes: int = 60, seed: int = 42) -> np.ndarray:
+    """Weights, and last the bias, of a linear SVM (hinge loss, L2) by dual coordinate descent over
+    sparse rows (places, values); y is -1 or 1."""
+    w, bias, alpha, order = np.zeros(SIZE), 0.0, np.zeros(len(x)), np.random.default_rng(seed)
+    q = [float(v @ v) + 1 for _, v in x]
     for _ in range(passes):
         moved = 0.0
         for i in order.permutation(len(x)):
-            g = y[i] * (x[i] @ w) - 1
+            at, v = x[i]
+            g = y[i] * (w[at] @ v + bias) - 1
             a = min(max(alpha[i] - g / q[i], 0.0), c)
             if a != alpha[i]:
-                w += (a - alpha[i]) * y[i] * x[i]
+                step = (a - alpha[i]) * y[i]
+                w[at] += step * v
+                bias += step
                 moved = max(moved, abs(a - alpha[i]))
                 alpha[i] = a
         if moved < 1e-3:
             break
-    return w
+    return np.append(w, bias)
 
 
 def families(names: list[str], mean: np.ndarray) -> list[list[int]]:
@@ -112,20 +116,23 @@ def families(names: list[str], mean: np.ndarray) -> list[list[int]]:
 class Model:
     """Learned from profiles and language names."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]):
+    def __init__(self, x: list[tuple[np.ndarray, np.ndarray]], langs: list[str]):
         self.names = sorted(set(langs))
         y = np.array([self.names.index(v) for v in langs])
         if not self.names:
             return
-        mean = np.array([x[y == i].mean(0) for i in range(len(self.names))])
+        mean = np.zeros((len(self.names), SIZE))
+        for (at, v), i in zip(x, y):
+            mean[i, at] += v
+        mean /= np.bincount(y)[:, None]
         self.groups = families(self.names, mean)
         of = np.array([next(g for g, members in enumerate(self.groups) if i in members) for i in range(len(self.names))])
         self.family = np.array([svm(x, np.where(of[y] == g, 1.0, -1.0)) for g in range(len(self.groups))]) if len(self.groups) > 1 else None
         self.pairs = {}
         for g in self.groups:
             for a, b in combinations(g, 2):
-                some = (y == a) | (y == b)
-                self.pairs[a, b] = svm(x[some], np.where(y[some] == a, 1.0, -1.0))
+                some = np.flatnonzero((y == a) | (y == b))
+                self.pairs[a, b] = svm([x[i] for i in some], np.where(y[some] == a, 1.0, -1.0))
 
     def predict(self, x: np.ndarray | None) -> tuple[str, float]:
         if x is None or not self.names:
@@ -154,37 +161,34 @@ def squash(margin: float) -> float:
 
 
 def profiled(rows: DataFrame) -> DataFrame:
+    """lang with the places and values of the profile that are not zero."""
+
     def of(batches):
         import pandas as pd
 
         for p in batches:
             x = [profile(t) for t in p["text"]]
             some = [i for i, v in enumerate(x) if v is not None]
-            yield pd.DataFrame({"lang": p["lang"].to_numpy()[some], "x": [x[i].astype(np.float32).tobytes() for i in some]})
+            at = [np.flatnonzero(x[i]).astype(np.int32) for i in some]
+            yield pd.DataFrame({"lang": p["lang"].to_numpy()[some], "at": [a.tobytes() for a in at], "v": [x[i][a].astype(np.float32).tobytes() for i, a in zip(some, at)]})
 
-    return rows.select("text", "lang").mapInPandas(of, "lang string, x binary")
+    return rows.select("text", "lang").mapInPandas(of, "lang string, at binary, v binary")
 
 
 def fit(rows: DataFrame, sample: int = 4000, seed: int = 42) -> Model:
     """Learns from (key, text, lang) rows with a language: of each language the `sample` / number
-    of languages rows, at most, that have the smallest seeded hash of key and text. The bound on
-    what goes to the driver is `sample` profiles of 32 KB."""
+    of languages rows, at most, that have the smallest seeded hash of key and text. What goes to
+    the driver is bounded by `sample` profiles of 64 KB each."""
     rows = rows.where("lang is not null and text is not null").select("lang", "text", F.xxhash64(F.lit(seed), "key", "text").alias("h"))
-    names = [r[0] for r in rows.select("lang").distinct().orderBy("lang").limit(sample).collect()]
-    some = None
-    for name in names:
-        part = rows.where(F.col("lang") == name).select("h", "lang").orderBy("h").limit(max(1, sample // len(names)))
-        some = part if some is None else some.union(part)
-    if some is None:
-        return Model(np.zeros((0, SIZE)), [])
-    limits = {r["lang"]: r["h"] for r in some.groupBy("lang").agg(F.max("h").alias("h")).collect()}
-    chosen = None
-    for name, h in limits.items():
-        cond = (F.col("lang") == name) & (F.col("h") <= h)
-        chosen = cond if chosen is None else chosen | cond
-    got = profiled(rows.where(chosen)).orderBy("lang", "x").collect()
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in got], np.float64).reshape(len(got), SIZE)
-    return Model(x, [r["lang"] for r in got])
+    n = rows.select("lang").distinct().count()
+    if not n:
+        return Model([], [])
+    first = rows.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    least = first.where(F.col("r") <= max(1, sample // n)).groupBy("lang").agg(F.max("h").alias("top"))
+    least = least.withColumnRenamed("lang", "l")  # a row for each language
+    chosen = rows.join(least, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
+    got = profiled(chosen).orderBy("lang", "at", "v").collect()
+    return Model([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["v"], np.float32)) for r in got], [r["lang"] for r in got])
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
