@@ -186,7 +186,7 @@ def fit(rows: DataFrame, sample: int = 4000, seed: int = 42) -> Model:
     first = rows.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
     least = first.where(F.col("r") <= max(1, sample // n)).groupBy("lang").agg(F.max("h").alias("top"))
     least = least.withColumnRenamed("lang", "l")  # a row for each language
-    chosen = rows.join(least, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
+    chosen = rows.join(F.broadcast(least) if n <= 10_000 else least, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
     got = profiled(chosen).orderBy("lang", "at", "v").collect()
     return Model([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["v"], np.float32)) for r in got], [r["lang"] for r in got])
 
