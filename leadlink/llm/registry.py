@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["simhash", "lines", "quality", "decontaminate", "tokens", "embeddings", "mixing", "language", "sharding"]
+MODULES = ["simhash", "lines", "quality", "decontaminate", "tokens", "suffixes", "embeddings", "mixing", "language", "sharding"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
