@@ -61,8 +61,8 @@ def knn_matmul(leads: DataFrame, pos: DataFrame, block: str, k: int = R.top_k, g
     counts = parts(left, "l").join(parts(right, "r"), block)
     left = left.join(counts, block).withColumn("i", F.pmod(F.xxhash64("lead_id"), F.col("n_l")).cast("int"))
     right = right.join(counts, block).withColumn("j", F.pmod(F.xxhash64("pos_id"), F.col("n_r")).cast("int"))
-    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_r") - 1))).select(block, "i", "j", "lead_id", "v")
-    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_l") - 1))).select(block, "i", "j", "pos_id", "v")
+    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_r") - 1))).select(F.col(block).alias("lb"), F.col("i").alias("li"), F.col("j").alias("lj"), "lead_id", "v")
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_l") - 1))).select(F.col(block).alias("rb"), F.col("i").alias("ri"), F.col("j").alias("rj"), "pos_id", "v")
 
     def best(key, a, b):
         import pandas as pd
@@ -80,7 +80,7 @@ def knn_matmul(leads: DataFrame, pos: DataFrame, block: str, k: int = R.top_k, g
 
     kinds = dict(leads.dtypes) | dict(pos.dtypes)
     schema = f"{block} {kinds[block]}, lead_id {kinds['lead_id']}, pos_id {kinds['pos_id']}, raw double"
-    found = left.groupBy(block, "i", "j").cogroup(right.groupBy(block, "i", "j")).applyInPandas(best, schema)
+    found = left.groupBy("lb", "li", "lj").cogroup(right.groupBy("rb", "ri", "rj")).applyInPandas(best, schema)
     nearest = Window.partitionBy(block, "lead_id").orderBy(F.desc("raw"), "pos_id")
     return found.where(F.col("raw") >= gate).withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
 
