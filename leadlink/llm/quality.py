@@ -12,6 +12,7 @@ a temperature fitted on labels that training did not see.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from itertools import islice
 from operator import eq
@@ -50,6 +51,25 @@ def shape(word: str) -> str:
     return out[:6]
 
 
+class Marks(dict):
+    """Surface buckets of marks, and of the shapes of words."""
+
+    def __missing__(self, mark: str) -> int:
+        if len(self) > CACHE:
+            self.clear()
+        self[mark] = found = zlib.crc32(mark.encode("utf-8", "surrogatepass")) % SURFACE
+        return found
+
+    def of(self, w: str) -> tuple[int, int, int]:
+        if w.isalpha() and w.islower():
+            s = "sa"  # the usual case of shape()
+        elif w[:-1].isalpha() and w[:-1].islower() and len(w) <= 24 and not w[-1].isalnum():
+            s = "sa" + w[-1]
+        else:
+            s = "s" + shape(w)
+        return self[s], self["b" + w[:2].lower()], self["e" + w[-2:].lower()]
+
+
 class Ids(dict):
     """Words' buckets; starts anew once it is large."""
 
@@ -66,19 +86,22 @@ def contexts(docs: DataFrame, text: str = "text", reach: int = 2) -> np.ndarray:
     def count(batches):
         import pandas as pd
 
-        index, total, ids = index_vectors(BUCKETS).astype(np.int32), np.zeros((BUCKETS, DIM), np.int64), Ids()
+        index, total, ids = index_vectors(BUCKETS).astype(np.int16), np.zeros((BUCKETS, DIM), np.int64), Ids()
 
         def add(at):
+            """Sums the neighbours' index vectors at each place, then those of places of one word."""
+            own = index[at]
+            near = np.zeros_like(own)
             for step in range(1, reach + 1):
-                for a, b in ((at[:-step], at[step:]), (at[step:], at[:-step])):
-                    if len(a):
-                        order = np.argsort(a.astype(np.uint16), kind="stable")
-                        key = a[order]
-                        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-                        total[key[starts]] += np.add.reduceat(index[b[order]], starts, axis=0)
+                near[:-step] += own[step:]
+                near[step:] += own[:-step]
+            order = np.argsort(at.astype(np.uint16), kind="stable")
+            key = at[order]
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            total[key[starts]] += np.add.reduceat(near[order], starts, axis=0, dtype=np.int32)
 
         # documents follow each other with `reach` empty places between, whose index vector is zero
-        index = np.vstack([index, np.zeros((1, DIM), np.int32)])
+        index = np.vstack([index, np.zeros((1, DIM), np.int16)])
         total = np.vstack([total, np.zeros((1, DIM), np.int64)])
         gap, held, size = np.full(reach, BUCKETS), [], 0
         for p in batches:
@@ -102,7 +125,7 @@ def contexts(docs: DataFrame, text: str = "text", reach: int = 2) -> np.ndarray:
     def add_overlap(total, index, x, reach):
         for step in range(1, reach):
             for a, b in ((x[:-step], x[step:]), (x[step:], x[:-step])):
-                np.subtract.at(total, a, index[b])
+                np.subtract.at(total, a, index[b].astype(np.int64))
 
     names = [f"d{i}" for i in range(DIM)]
     parts = docs.select(F.col(text).alias("t")).mapInPandas(count, "b long, " + ", ".join(f"{n} long" for n in names))
@@ -113,50 +136,77 @@ def contexts(docs: DataFrame, text: str = "text", reach: int = 2) -> np.ndarray:
     return out
 
 
+class Places(dict):
+    """A place for each word, given as it is first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = len(self)
+        self.new.append(word)
+        return found
+
+
 class Pooler:
     """Features of texts: 2 x (DIM of context and DIM of surface), the length, and the shares of
     words that are new and that repeat the word before."""
 
     def __init__(self, table: np.ndarray):
         self.table, self.surface = table, index_vectors(SURFACE, seed=7).astype(np.float32) / np.sqrt(SPARSE)
-        self.ids: dict[str, int] = {}
+        self.places, self.marks = Places(), Marks()
         self.rows = np.zeros((1024, 2 * DIM), np.float32)
 
-    def vector(self, w: str) -> np.ndarray:
-        marks = ("s" + shape(w), "b" + w[:2].lower(), "e" + w[-2:].lower())
-        s = self.surface[[zlib.crc32(m.encode("utf-8", "surrogatepass")) % SURFACE for m in marks]].sum(0)
-        return np.concatenate([self.table[bucket(w)], s])
-
-    def learn(self, words) -> None:
-        if len(self.ids) > CACHE:
-            self.ids.clear()
-        for w in words:
-            if w not in self.ids:
-                if len(self.ids) == len(self.rows):
-                    self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-                self.rows[len(self.ids)] = self.vector(w)
-                self.ids[w] = len(self.ids)
+    def learn(self) -> None:
+        """Vectors of the words that have just got their place."""
+        new, self.places.new = self.places.new, []
+        if new:
+            end = len(self.places)
+            while end > len(self.rows):
+                self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
+            own = self.rows[end - len(new) : end]
+            own[:, :DIM] = self.table[[bucket(w) for w in new]]
+            marks = np.array(list(map(self.marks.of, new)))
+            own[:, DIM:] = self.surface[marks[:, 0]] + self.surface[marks[:, 1]] + self.surface[marks[:, 2]]
 
     def features(self, text: str | None) -> np.ndarray:
         words = text.split() if text else []
-        kinds = list(dict.fromkeys(words))
-        total, kind = np.zeros(2 * DIM), np.zeros(2 * DIM)
-        for at in range(0, len(kinds), CHUNK // 2):
-            part = kinds[at : at + CHUNK // 2]
-            self.learn(part)
-            kind += self.rows[list(map(self.ids.__getitem__, part))].sum(0, dtype=np.float64)
-        if len(kinds) <= CHUNK // 2:
-            for at in range(0, len(words), CHUNK // 8):
-                total += self.rows[list(map(self.ids.__getitem__, words[at : at + CHUNK // 8]))].sum(0, dtype=np.float64)
-        else:  # too many kinds to keep: count by part
-            for at in range(0, len(words), CHUNK // 8):
-                part = words[at : at + CHUNK // 8]
-                self.learn(part)
-                total += self.rows[list(map(self.ids.__getitem__, part))].sum(0, dtype=np.float64)
-        n, k = max(len(words), 1), max(len(kinds), 1)
+        total, kind, kinds = np.zeros(2 * DIM), np.zeros(2 * DIM), len(set(words))
+        if len(self.places) + kinds > CACHE:
+            self.places.clear()
+        if kinds <= CACHE:
+            at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+            self.learn()
+            places, counts = np.unique(at, return_counts=True)
+            for a in range(0, len(places), CHUNK // 8):
+                rows = self.rows[places[a : a + CHUNK // 8]]
+                total += counts[a : a + CHUNK // 8].astype(np.float32) @ rows
+                kind += rows.sum(0)
+        else:  # too many kinds to keep at once: part by part, each kind with its count
+            counted = list(Counter(words).items())
+            for a in range(0, kinds, CHUNK // 8):
+                self.places.clear()
+                part = counted[a : a + CHUNK // 8]
+                at = [self.places[w] for w, _ in part]
+                self.learn()
+                total += np.array([c for _, c in part], np.float32) @ self.rows[at]
+                kind += self.rows[at].sum(0)
+        n, k = max(len(words), 1), max(kinds, 1)
         return np.concatenate([total / n, kind / k, [np.log1p(len(words)) / 10, k / n if words else 0.0, sum(map(eq, words, islice(words, 1, None))) / n]])
 
 
+_poolers: dict[int, Pooler] = {}
+
+
+def pooler(table: np.ndarray) -> Pooler:
+    """One for each table and worker process, which serves many tasks."""
+    key = zlib.crc32(table.tobytes())
+    if key not in _poolers:
+        _poolers.clear()
+        _poolers[key] = Pooler(table)
+    return _poolers[key]
+
+
 class Network:
     """Two layers, tanh and logistic, by Adam; then the temperature."""
 
@@ -219,9 +269,9 @@ def learned(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int
     def pooled(batches):
         import pandas as pd
 
-        pooler = Pooler(shared.value)
+        own = pooler(shared.value)
         for p in batches:
-            yield pd.DataFrame({"k": p["k"], "y": p["y"], "x": [pooler.features(t).astype("<f4").tobytes() for t in p["text"]]})
+            yield pd.DataFrame({"k": p["k"], "y": p["y"], "x": [own.features(t).astype("<f4").tobytes() for t in p["text"]]})
 
     # the labels are `sample` rows of two numbers at most
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("k")).select("k", "y", "text")
@@ -237,9 +287,9 @@ def scored(docs: DataFrame, table: np.ndarray, network: Network, text: str = "te
     shared = docs.sparkSession.sparkContext.broadcast((table, network))
 
     def of(series):
-        pooler = Pooler(shared.value[0])
+        own = pooler(shared.value[0])
         for s in series:
-            yield pd.Series(shared.value[1].score(np.array([pooler.features(t) for t in s]).reshape(len(s), -1)))
+            yield pd.Series(shared.value[1].score(np.array([own.features(t) for t in s]).reshape(len(s), -1)))
 
     of.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn(out, F.pandas_udf(of, "double")(F.col(text)))
