@@ -25,6 +25,7 @@ from .common import Scratch
 
 BUCKETS, DIM, SPARSE = 4096, 48, 6
 SURFACE = 1024
+FEATURES = 4 * DIM + 3
 CACHE = 200_000
 CHUNK = 1 << 18
 
@@ -276,7 +277,7 @@ def learned(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int
     # the labels are `sample` rows of two numbers at most
     rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("k")).select("k", "y", "text")
     got = rows.mapInPandas(pooled, "k long, y int, x binary").orderBy("k", "x").limit(2 * sample).collect()
-    x = np.array([np.frombuffer(r["x"], "<f4") for r in got], np.float64).reshape(len(got), -1)
+    x = np.array([np.frombuffer(r["x"], "<f4") for r in got], np.float64).reshape(len(got), FEATURES)
     return table, Network(x, np.array([r["y"] for r in got], np.float64))
 
 
@@ -289,7 +290,7 @@ def scored(docs: DataFrame, table: np.ndarray, network: Network, text: str = "te
     def of(series):
         own = pooler(shared.value[0])
         for s in series:
-            yield pd.Series(shared.value[1].score(np.array([own.features(t) for t in s]).reshape(len(s), -1)))
+            yield pd.Series(shared.value[1].score(np.array([own.features(t) for t in s]).reshape(len(s), FEATURES)))
 
     of.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn(out, F.pandas_udf(of, "double")(F.col(text)))
