@@ -63,7 +63,7 @@ def strings(data: bytes, width: int):
 
 def finder(width: int):
     """Rows (kind, m, s, d, t, start, n) of all texts: kind 1 for the first occurrence of a string
-    in this task, kind 0 for stretches that repeat an earlier one of the task."""
+    in this batch, kind 0 for stretches that repeat an earlier one of the batch."""
 
     def find(batches):
         import pandas as pd
@@ -80,6 +80,8 @@ def finder(width: int):
                 o = np.lexsort((start, t, d, s, m))
                 m, s = m[o], s[o]
                 first = np.concatenate([[True], (m[1:] != m[:-1]) | (s[1:] != s[:-1])])
+                # stretches that are done are not dealt by their minimizer, which may be a very common one
+                m = np.where(first, m, mixed(d[o].astype(np.uint64) * U(0x9E3779B97F4A7C15) + start[o].astype(np.uint64)).view(np.int64))
                 yield pd.DataFrame({"kind": first.astype(np.int32), "m": m, "s": s, "d": d[o], "t": t[o].astype(np.int32), "start": start[o], "n": n[o].astype(np.int32)})
 
     return find
