@@ -13,8 +13,8 @@ A block holds whole documents in order of doc_id and describes itself:
     control bytes, ceil(tokens / 4); the last is filled with zeros
     data bytes, little-endian
 
-all little-endian. Blocks are rows of a Parquet table (shard, block, start, documents, tokens, first and
-last doc_id, data), written by Spark's committer, so that a lost executor leaves no half-written
+all little-endian. Blocks are rows of a Parquet table (shard, block, before, documents, tokens, first and
+last doc_id, data; before counts the tokens of the shard's earlier blocks), written by Spark's committer, so that a lost executor leaves no half-written
 file and any store that Spark writes to will do. Beside them stands the table of ranks.
 """
 
@@ -212,42 +212,43 @@ def write(spark: SparkSession, docs: DataFrame, out: str, path: str, end: int |
         from pyspark import TaskContext
 
         shard, block = TaskContext.get().partitionId(), 0
-        held, size = [], 0
+        held, size, before = [], 0, 0
         for p in batches:
             for d, x in zip(p["doc_id"], p["ids"]):
                 held.append((d, np.frombuffer(x, dtype)))
                 size += len(held[-1][1])
                 if size >= tokens:
-                    yield one(pd, shard, block, held)
-                    held, size, block = [], 0, block + 1
+                    yield one(pd, shard, block, before, held)
+                    held, size, block, before = [], 0, block + 1, before + size
         if held:
-            yield one(pd, shard, block, held)
+            yield one(pd, shard, block, before, held)
 
-    def one(pd, shard, block, held):
+    def one(pd, shard, block, before, held):
         values, counts = rank[np.concatenate([x for _, x in held])], np.array([len(x) for _, x in held])
         names = [None if d is None or d != d else int(d) for d, _ in held]
         coded = encode_block(values, counts, np.array([NULL if d is None else d for d in names], np.int64))
-        row = (shard, block, len(held), len(values), names[0], names[-1], coded)
-        return pd.DataFrame([row], columns=["shard", "block", "documents", "tokens", "first_id", "last_id", "data"]).astype({"first_id": "Int64", "last_id": "Int64"})
+        row = (shard, block, before, len(held), len(values), names[0], names[-1], coded)
+        return pd.DataFrame([row], columns=["shard", "block", "before", "documents", "tokens", "first_id", "last_id", "data"]).astype({"first_id": "Int64", "last_id": "Int64"})
 
     # ids of one document sort as equal or not; the count of partitions follows the data
     spread = ids.repartitionByRange(*([partitions] if partitions else []), "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
-    made = spread.mapInPandas(blocks, "shard int, block int, documents long, tokens long, first_id long, last_id long, data binary")
+    made = spread.mapInPandas(blocks, "shard int, block int, before long, documents long, tokens long, first_id long, last_id long, data binary")
     made.write.option("compression", "none").parquet(f"{out}/blocks")
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(by_rank)], "rank int, id long").coalesce(1).write.parquet(f"{out}/ranks")
     scratch.drop()
 
 
 def offsets(spark: SparkSession, out: str) -> DataFrame:
-    """The blocks of a file with start, the number of tokens before each. Sums run within a shard
-    and over the shards' totals, which are one row a shard."""
+    """The blocks of a file with start, the number of tokens before each: those of its shard, and
+    the totals of the shards before, one row a shard. Blocks themselves are not shuffled unless
+    there are more shards than a task should hold."""
     blocks = spark.read.parquet(f"{out}/blocks")
     totals = blocks.groupBy("shard").agg(F.sum("tokens").alias("t"))
-    before = totals.select(F.col("shard").alias("s"), F.coalesce(F.sum("t").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    inside = F.coalesce(F.sum("tokens").over(Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    index = blocks.select("shard", "block", "tokens").select("shard", "block", inside.alias("inside"))
-    index = index.join(before, F.col("shard") == F.col("s")).select(F.col("shard").alias("s"), F.col("block").alias("b"), (F.col("before") + F.col("inside")).alias("start"))
-    return blocks.join(index, (F.col("shard") == F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
+    ahead = F.coalesce(F.sum("t").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = totals.select(F.col("shard").alias("s"), ahead.alias("ahead"))
+    few = totals.count() <= 100_000
+    joined = blocks.join(F.broadcast(ahead) if few else ahead, F.col("shard") == F.col("s"))
+    return joined.withColumn("start", F.col("ahead") + F.col("before")).drop("s", "ahead")
 
 
 def read(spark: SparkSession, out: str) -> DataFrame:
