@@ -180,13 +180,18 @@ def fit(rows: DataFrame, sample: int = 4000, seed: int = 42) -> Model:
     of languages rows, at most, that have the smallest seeded hash of key and text. What goes to
     the driver is bounded by `sample` profiles of 64 KB each."""
     rows = rows.where("lang is not null and text is not null").select("lang", "text", F.xxhash64(F.lit(seed), "key", "text").alias("h"))
-    n = rows.select("lang").distinct().count()
+    counts = rows.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("c"))
+    n = counts.count()
     if not n:
         return Model([], [])
-    first = rows.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    least = first.where(F.col("r") <= max(1, sample // n)).groupBy("lang").agg(F.max("h").alias("top"))
-    least = least.withColumnRenamed("lang", "l")  # a row for each language
-    chosen = rows.join(F.broadcast(least) if n <= 10_000 else least, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
+    few = lambda df: F.broadcast(df) if n <= 10_000 else df  # noqa: E731  a row for each language
+    most = max(1, sample // n)
+    # hashes are uniform: about 2 x `most` rows of a language lie below this, and only they are ranked
+    counts = counts.withColumn("under", F.least(F.lit(1.0), F.lit(2.0 * most + 100) / F.col("c")))
+    low = rows.select("lang", "h").join(few(counts), F.col("lang") == F.col("l")).where((F.col("h") / 2.0**64 + 0.5) <= F.col("under"))
+    first = low.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    least = first.where(F.col("r") <= most).groupBy("lang").agg(F.max("h").alias("top")).withColumnRenamed("lang", "l")
+    chosen = rows.join(few(least), (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
     got = profiled(chosen).orderBy("lang", "at", "v").collect()
     return Model([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["v"], np.float32)) for r in got], [r["lang"] for r in got])
 
