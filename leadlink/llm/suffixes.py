@@ -7,7 +7,8 @@ A byte goes if some string of `width` bytes around it starts earlier elsewhere.
    is one string. A string whose minimizer occurs once is done; a string that occurs again, as a
    whole, has all its bytes removed at every later place. What is left are different strings
    around one minimizer, which may share windows.
-2. These strings are brought together by minimizer, in batches. A batch is cut into shards; the
+2. These strings are brought together by minimizer (a very common one gets a second key, the
+   bytes beside it), in batches. A batch is cut into shards; the
    suffixes of each shard are sorted and give its Burrows-Wheeler transform. The transforms are
    merged by refining their interleave (Holt and McMillan, 2014): a vector says which shard each
    place of the merged order comes from; a stable sort of it by the transforms' symbols refines it
@@ -41,8 +42,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def strings(data: bytes, width: int):
-    """(minimizer hash, start, number of windows) of the runs of windows with one minimizer, for
-    slices of a text. The leftmost minimizer counts, so equal windows have it at equal places."""
+    """(minimizer hash, start, number of windows, offset of the minimizer) of the runs of windows
+    with one minimizer, for slices of a text. The leftmost minimizer counts, so equal windows have
+    it at equal places."""
     step = SLICE
     for at in range(0, max(len(data) - width + 1, 0), step):
         part = data[at : at + step + width - 1]
@@ -58,11 +60,12 @@ def strings(data: bytes, width: int):
             least = np.minimum(least[: len(least) - (span - s)], least[span - s :])
         starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         ends = np.concatenate([starts[1:], [len(least)]])
-        yield h[(least[starts] & U(0xFFFFFF)).astype(np.int64)].view(np.int64), starts + at, ends - starts
+        place = (least[starts] & U(0xFFFFFF)).astype(np.int64)
+        yield h[place].view(np.int64), starts + at, ends - starts, place - starts
 
 
 def finder(width: int):
-    """Rows (kind, m, s, d, t, start, n) of all texts: kind 1 for the first occurrence of a string
+    """Rows (kind, m, s, d, t, start, n, a) of all texts: kind 1 for the first occurrence of a string
     in this batch, kind 0 for stretches that repeat an earlier one of the batch."""
 
     def find(batches):
@@ -72,59 +75,85 @@ def finder(width: int):
         for p in batches:
             held = []
             for d, t, data in zip(p["d"].tolist(), p["t"].tolist(), p["data"]):
-                for m, starts, counts in strings(data, width):
+                for m, starts, counts, place in strings(data, width):
                     s = np.array([xxh64_intdigest(data[a : a + n + width - 1], 1) for a, n in zip(starts.tolist(), counts.tolist())], np.uint64).view(np.int64)
-                    held.append((m, s, np.full(len(m), d), np.full(len(m), t), starts, counts))
+                    held.append((m, s, np.full(len(m), d), np.full(len(m), t), starts, counts, place))
             if held:
-                m, s, d, t, start, n = map(np.concatenate, zip(*held))
+                m, s, d, t, start, n, a = map(np.concatenate, zip(*held))
                 o = np.lexsort((start, t, d, s, m))
                 m, s = m[o], s[o]
                 first = np.concatenate([[True], (m[1:] != m[:-1]) | (s[1:] != s[:-1])])
                 # stretches that are done are not dealt by their minimizer, which may be a very common one
                 m = np.where(first, m, mixed(d[o].astype(np.uint64) * U(0x9E3779B97F4A7C15) + start[o].astype(np.uint64)).view(np.int64))
-                yield pd.DataFrame({"kind": first.astype(np.int32), "m": m, "s": s, "d": d[o], "t": t[o].astype(np.int32), "start": start[o], "n": n[o].astype(np.int32)})
+                yield pd.DataFrame({"kind": first.astype(np.int32), "m": m, "s": s, "d": d[o], "t": t[o].astype(np.int32), "start": start[o], "n": n[o].astype(np.int32), "a": a[o].astype(np.int32)})
 
     return find
 
 
-def sorter(batches):
+def sorter(crowd: int):
     """Over rows sorted by (m, s, d, t, start): passes kind 0 on; makes later equal strings kind 0;
-    keeps as kind 1 the first of each string of a minimizer that has different ones."""
-    import pandas as pd
-
-    rest = None
-    for p in batches:
-        gone = p["kind"].to_numpy() == 0
-        if gone.any():
-            yield p[gone].drop(columns="s")
-        p = p[~gone]
-        p = p if rest is None else pd.concat([rest, p], ignore_index=True)
-        if not len(p):
-            continue
-        m = p["m"].to_numpy()
-        cut = int(np.searchsorted(m, m[-1]))  # the last minimizer may go on
-        rest = p.iloc[cut:]
-        if len(rest) > 50_000:  # a long one: equal strings of it go now, the firsts stay
-            same = rest["s"].duplicated().to_numpy()
-            yield rest[same].assign(kind=0).astype({"kind": "int32"}).drop(columns="s")
-            rest = rest[~same]
-        yield from groups(p.iloc[:cut])
-    if rest is not None:
-        yield from groups(rest)
-
-
-def groups(p):
+    keeps the first of each string of a minimizer that has different ones, as kind 1, or as kind 2
+    where there are over `crowd`. It holds `crowd` rows of one minimizer at most."""
+
+    def sort(batches):
+        import pandas as pd
+
+        rest, crowded = None, None
+        for p in batches:
+            gone = p["kind"].to_numpy() == 0
+            if gone.any():
+                yield p[gone].drop(columns="s")
+            p = p[~gone]
+            p = p if rest is None else pd.concat([rest, p], ignore_index=True)
+            if not len(p):
+                continue
+            m = p["m"].to_numpy()
+            cut = int(np.searchsorted(m, m[-1]))  # the last minimizer may go on
+            yield from groups(p.iloc[:cut], crowd, crowded)
+            rest = p.iloc[cut:]
+            if len(rest) > crowd:
+                first = (rest["s"] != rest["s"].shift()).to_numpy()
+                first[:1] = True
+                yield as_kind(rest[~first], 0)
+                rest = rest[first]
+                if len(rest) > 1:
+                    yield as_kind(rest.iloc[:-1], 2)
+                    rest, crowded = rest.iloc[-1:], m[-1]
+        if rest is not None:
+            yield from groups(rest, crowd, crowded)
+
+    return sort
+
+
+def as_kind(p, kind):
+    return p.assign(kind=np.full(len(p), kind, np.int32)).drop(columns="s")
+
+
+def groups(p, crowd, crowded):
     if len(p):
         m, s = p["m"].to_numpy(), p["s"].to_numpy()
         new = np.concatenate([[True], m[1:] != m[:-1]])
         first = new | np.concatenate([[True], s[1:] != s[:-1]])
-        later = p[~first].assign(kind=0).astype({"kind": "int32"})
-        if len(later):
-            yield later.drop(columns="s")
+        yield as_kind(p[~first], 0)
         of = np.cumsum(new) - 1
-        several = np.bincount(of, weights=first)[of] > 1
-        if (first & several).any():
-            yield p[first & several].drop(columns="s")
+        n = np.bincount(of, weights=first)[of]
+        long = (n > crowd) | (m == crowded if crowded is not None else False)
+        yield as_kind(p[first & (n > 1) & ~long], 1)
+        yield as_kind(p[first & long], 2)
+
+
+def pieces(width: int) -> str:
+    """SQL for the strings to compare, with their key. Those of a crowded minimizer are cut in two:
+    windows that reach `ext` bytes or more to its left are keyed by these bytes, too, the others,
+    which reach as far to its right, by those. Equal windows still share a key."""
+    ext = (width - GRAM) // 2
+    part = lambda at, n: f"substring(data, CAST({at} AS INT) + 1, CAST({n} AS INT))"
+    row = lambda m, at, n: f"named_struct('m', {m}, 'start', {at}, 'data', {part(at, n)})"
+    skip = f"greatest(0, w.a - {ext - 1})"
+    left = row(f"xxhash64(w.m, 0, {part(f'w.start + w.a - {ext}', ext)})", "w.start", f"least(w.n, w.a - {ext} + 1) + {width - 1}")
+    right = row(f"xxhash64(w.m, 1, {part(f'w.start + w.a + {GRAM}', ext)})", f"w.start + {skip}", f"w.n - {skip} + {width - 1}")
+    return f"""CASE WHEN w.kind = 1 THEN array({row('w.m', 'w.start', f'w.n + {width - 1}')})
+      ELSE array_compact(array(CASE WHEN w.a >= {ext} THEN {left} END, CASE WHEN w.n > {skip} THEN {right} END)) END"""
 
 
 def shard_order(text: np.ndarray, after: np.ndarray, width: int) -> np.ndarray:
@@ -273,23 +302,23 @@ def digest(width: int):
     return of
 
 
-def stretches(scratch: Scratch, docs: DataFrame, width: int = WIDTH, batch: int = 1 << 21) -> DataFrame:
+def stretches(scratch: Scratch, docs: DataFrame, width: int = WIDTH, batch: int = 1 << 21, crowd: int = 50_000) -> DataFrame:
     """(d, t, start, n): runs of n windows, all of which start earlier elsewhere too."""
     if width < GRAM + 1:
         raise ValueError(f"the width must be over {GRAM}")
     rows = docs.where(F.octet_length("data") >= width).select("d", "t", "data")
-    found = rows.mapInPandas(finder(width), "kind int, m long, s long, d long, t int, start long, n int")
+    found = rows.mapInPandas(finder(width), "kind int, m long, s long, d long, t int, start long, n int, a int")
     found = found.repartition("m").sortWithinPartitions("m", "s", "d", "t", "start")
-    known = scratch.table(found.mapInPandas(sorter, "kind int, m long, d long, t int, start long, n int"), "known")
-    open_ = known.where("kind = 1").groupBy("d", "t").agg(F.collect_list(F.struct("m", "start", "n")).alias("w"))
+    known = scratch.table(found.mapInPandas(sorter(crowd), "kind int, m long, d long, t int, start long, n int, a int"), "known")
+    open_ = known.where("kind > 0").groupBy("d", "t").agg(F.collect_list(F.struct("kind", "m", "start", "n", "a")).alias("w"))
     cut = docs.join(open_, ["d", "t"]).select("d", "t", "data", F.explode("w").alias("w"))
-    cut = cut.select("w.m", "d", "t", "w.start", F.expr(f"substring(data, CAST(w.start AS INT) + 1, w.n + {width - 1})").alias("data"))
+    cut = cut.select("d", "t", F.explode(F.expr(pieces(width))).alias("x")).select("x.m", "d", "t", "x.start", "x.data")
     parts = cut.repartition("m").sortWithinPartitions("m")
     merged = scratch.table(parts.mapInPandas(merger(width, batch), "d long, t int, start long, n int"), "merged")
     return known.where("kind = 0").select("d", "t", "start", "n").union(merged)
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text", crowd: int = 50_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of docs.
 
     A null text is as an empty one. Texts shorter than `width` stay whole. A null doc_id comes
@@ -298,7 +327,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, doc
     are ignored, whatever they are named."""
     scratch = Scratch(spark, "suffixes")
     own, single = keyed(docs, doc_id, text)
-    gone = stretches(scratch, single, width).groupBy("d", "t").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts"))
+    gone = stretches(scratch, single, width, crowd=crowd).groupBy("d", "t").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts"))
     joined = own.join(gone, ["d", "t"], "left").select("doc_id", "data", "starts", "counts")
     return joined.mapInPandas(digest(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 

@@ -166,12 +166,12 @@ def brute_bytes(texts, width):
     return out
 
 
-@pytest.mark.parametrize("width", [28, 100])
-def test_suffixes_against_brute_force(spark, docs, width):
+@pytest.mark.parametrize("width, crowd", [(28, 50_000), (100, 50_000), (100, 2)])
+def test_suffixes_against_brute_force(spark, docs, width, crowd):
     rng = random.Random(4)
     base = [prose(rng, 40) for _ in range(5)] + ["a" * 300, "ab" * 200, "é" * 90]
     texts = ["".join(rng.choice(base)[rng.randrange(20) :] for _ in range(rng.randint(0, 4))) for _ in range(40)] + ["", None, base[0], base[0]]
-    got = {r["doc_id"]: tuple(r)[1:] for r in suffixes.remove_repeats(spark, docs(texts), width).collect()}
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffixes.remove_repeats(spark, docs(texts), width, crowd=crowd).collect()}
     assert [got[i] for i in range(len(texts))] == brute_bytes(texts, width)
 
 
@@ -181,7 +181,7 @@ def test_suffixes_across_slices(monkeypatch):
     whole = [np.concatenate(x) for x in zip(*suffixes.strings(data, 100))]
     monkeypatch.setattr(suffixes, "SLICE", 1000)
     parts = [np.concatenate(x) for x in zip(*suffixes.strings(data, 100))]
-    for m, s, n in (whole, parts):
+    for _, s, n, _ in (whole, parts):
         assert n.sum() == len(data) - 99 and (s[1:] == s[:-1] + n[:-1]).all()
 
 
