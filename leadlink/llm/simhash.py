@@ -15,6 +15,10 @@ that share a point are within the radius, and two within the radius share one.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from math import comb
+from random import Random
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,15 +28,21 @@ from .common import Scratch, components
 BITS = 64
 
 
+@lru_cache
 def masks(radius: int) -> list[int]:
-    """One mask for each table, as signed 64-bit integers."""
+    """One mask for each table, as signed 64-bit integers. The vectors are those, of a few plain
+    and some seeded choices, whose thinnest mask keeps the most positions, so that buckets are small
+    in every table (for 4 bits 32 positions, for 6 bits 32: a Reed-Muller code)."""
     size = 2 ** (radius + 1)
-    vectors = [1 + i % (size - 1) for i in range(BITS)]
-    found = []
-    for v in range(1, size):
-        m = sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2)
-        found.append(m - (1 << 64) if m >> 63 else m)
-    return found
+    choices = [[1 + i % (size - 1) for i in range(BITS)], [size // 2 + i % (size // 2) for i in range(BITS)]]
+    rng = Random(42)
+    choices += [[rng.randrange(1, size) for _ in range(BITS)] for _ in range(8)]
+
+    def kept(vectors):
+        return [sum(1 << i for i, x in enumerate(vectors) if (x & v).bit_count() % 2) for v in range(1, size)]
+
+    best = max(map(kept, choices), key=lambda m: min(x.bit_count() for x in m))
+    return [m - (1 << 64) if m >> 63 else m for m in best]
 
 
 def fingerprint(data: bytes, words: int) -> int:
@@ -138,8 +148,15 @@ def balls(rows: DataFrame, flips: int) -> DataFrame:
     return rows.select("u", "z")
 
 
-def links(scratch: Scratch, nodes: DataFrame, radius: int = 4, dense: int = 20_000) -> DataFrame:
+def crowd(radius: int) -> int:
+    """Fingerprints of a bucket from which on the linear way, with so many points for each, is less
+    work than comparing them."""
+    return max(20_000, sum(comb(BITS, i) for i in range(radius // 2 + 1)))
+
+
+def links(scratch: Scratch, nodes: DataFrame, radius: int = 4, dense: int | None = None) -> DataFrame:
     """(u, v): links that connect the distinct fingerprints `fp` of nodes as all links would."""
+    dense = dense or crowd(radius)
     if radius % 2:
         raise ValueError("the radius must be even")
     tables = F.array(*[F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for i, m in enumerate(masks(radius))])
@@ -152,7 +169,7 @@ def links(scratch: Scratch, nodes: DataFrame, radius: int = 4, dense: int = 20_0
     return found.where("kind = 0").select("u", "v").union(shared.join(least, "z").where("u <> v").select("u", "v").distinct())
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text", dense: int = 20_000) -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, radius: int = 4, doc_id: str = "doc_id", text: str = "text", dense: int | None = None) -> DataFrame:
     """doc_id, fp (signed long) and component_id of every row of docs.
 
     Documents whose fingerprints differ in at most `radius` bits are linked; component_id is the
