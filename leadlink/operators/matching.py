@@ -61,18 +61,18 @@ def knn_matmul(leads: DataFrame, pos: DataFrame, block: str, k: int = R.top_k, g
     counts = parts(left, "l").join(parts(right, "r"), block)
     left = left.join(counts, block).withColumn("i", F.pmod(F.xxhash64("lead_id"), F.col("n_l")).cast("int"))
     right = right.join(counts, block).withColumn("j", F.pmod(F.xxhash64("pos_id"), F.col("n_r")).cast("int"))
-    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_r") - 1))).select(F.col(block).alias("lb"), F.col("i").alias("li"), F.col("j").alias("lj"), "lead_id", "v")
-    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_l") - 1))).select(F.col(block).alias("rb"), F.col("i").alias("ri"), F.col("j").alias("rj"), "pos_id", "v")
+    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_r") - 1))).select(F.col(block).alias("lb"), F.col("i").alias("li"), F.col("j").alias("lj"), F.col("lead_id").alias("l"), F.col("v").alias("x"))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_l") - 1))).select(F.col(block).alias("rb"), F.col("i").alias("ri"), F.col("j").alias("rj"), F.col("pos_id").alias("p"), F.col("v").alias("y"))
 
     def best(key, a, b):
         import pandas as pd
 
         out = []
         if len(a) and len(b):
-            b = b.sort_values("pos_id")
-            x, y = (np.array(f["v"].tolist(), np.float64) for f in (a, b))
-            ids = b["pos_id"].to_numpy()
-            for lead, row in zip(a["lead_id"].to_numpy(), x @ y.T * 100):
+            b = b.sort_values("p")
+            x, y = np.array(a["x"].tolist(), np.float64), np.array(b["y"].tolist(), np.float64)
+            ids = b["p"].to_numpy()
+            for lead, row in zip(a["l"].to_numpy(), x @ y.T * 100):
                 row = np.where(ids == lead, -np.inf, row) if distinct_ids else row
                 at = np.argsort(-row, kind="stable")[:k]
                 out += [(key[0], lead, ids[t], row[t]) for t in at if row[t] >= gate - 1e-9]

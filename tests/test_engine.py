@@ -171,3 +171,51 @@ def test_knn_plan_limits_groups_early(spark):
     found = matching.knn_blocked(e.withColumnRenamed("id", "lead_id"), e.withColumnRenamed("id", "pos_id"), "territory", 2, 0.0)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan
+
+
+def test_golden_scenarios(spark, tmp_path):
+    from leadlink import engine, synth
+    from leadlink.__main__ import main
+
+    leads, pos, expected = synth.scenarios()
+    leads = spark.createDataFrame(leads, f"lead_id string, {synth.COLUMNS}")
+    pos = spark.createDataFrame(pos, f"pos_id string, {synth.COLUMNS}")
+    run = engine.match(leads, pos, "r", Rules(recall_gate=50.0))
+    rows = run.decisions.collect()
+    assert len({r["pos_id"] for r in rows}) == len(rows)
+    kind = {r["lead_id"]: r["match_type"] for r in rows if r["lead_id"][1:] == r["pos_id"][1:]}
+    for lead, relation in expected.items():
+        if relation == "exact_single":
+            assert kind[lead] == "Exact"
+        elif relation == "fuzzy_candidate":
+            assert kind[lead] in ("Fuzzy", "Manual Review")
+        else:
+            assert lead not in kind
+    assert all(r["final_score"] == 100 if r["match_type"] == "Exact" else 70 <= r["final_score"] <= 99.999 for r in rows)
+    primary = [r["lead_id"] for r in rows if r["primary_transaction"]]
+    assert len(primary) == len(set(primary))
+    stubs = {r["lead_id"] for r in run.ce_stubs.collect() if r["lead_id"][1:] == r["pos_id"][1:]}
+    assert stubs == {k for k, v in expected.items() if v == "closed_existing"}
+    leads.write.parquet(f"file://{tmp_path}/leads")
+    pos.write.parquet(f"file://{tmp_path}/transactions")
+    (tmp_path / "rules.json").write_text('{"recall_gate": 50}')
+    for task in ("preflight", "match", "report", "smoke", "summary"):
+        assert main([task, f"file://{tmp_path}", "--rules", f"{tmp_path}/rules.json"]) == 0
+
+
+def test_steps(spark):
+    from leadlink.operators import steps
+
+    df = spark.createDataFrame([("a", " ", "x"), ("a", "y", None), ("b", None, "")], "id string, p string, q string")
+    assert [r["f"] for r in steps.fallback(df, "f", ["p", "q"]).collect()] == ["x", "y", None]
+    assert sorted(r["id"] for r in steps.without_collisions(df, "id", ["q"]).collect()) == ["a", "a-2", "b"]
+    assert [r["p"] for r in steps.blank_out(df, ["p"], F.col("id") == "a").collect()] == [None, None, None]
+    assert [r["id"] for r in steps.keyset_page(df, "id", "a", 5).collect()] == ["b"]
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "id int, v array<double>")
+    with pytest.raises(ValueError):
+        steps.knn_global(v.withColumnRenamed("id", "lead_id"), v.withColumnRenamed("id", "pos_id"))
+    assert steps.knn_global(v.withColumnRenamed("id", "lead_id"), v.withColumnRenamed("id", "pos_id"), gate=50, allowed=True).count() == 2
+    leads = spark.createDataFrame([(1, 7, 10), (2, 8, 20)], "lead_id int, territory int, account_id int")
+    tables = {"lead": leads, "account": spark.createDataFrame([(10,), (20,), (None,)], "account_id int"), "contact": spark.createDataFrame([(1, "c"), (2, "d")], "lead_id int, c string")}
+    left = steps.purge(tables, 7)
+    assert [left[n].collect()[0][0] for n in ("lead", "account", "contact")] == [2, 20, 2] and left["account"].count() == 1
