@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..config import Rules
 from ..functions import embed, fiscal, normalize, scores, vectors
-from ..operators import analytics, matching, writeback
+from ..operators import analytics, matching, steps, writeback
+from ..schemas import OUTPUT_36, conform
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -592,3 +593,94 @@ def q_embed(spark, d):
     # hashed n-grams have no SQL; the tests hold them against a plain loop
     c = proxy(spark, d, "SELECT c_name AS a, c_mktsegment AS b FROM customer")
     return embed.embed_distinct(c, ["a", "b"]).select("text", F.round(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x), 4).alias("norm"))
+
+
+# ---- steps around the match ----
+LEADS = "SELECT c_custkey AS lead_id, c_nationkey AS account_id, CAST(c_custkey % 25 AS INT) AS territory, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_name END AS name FROM customer"
+ACCOUNTS = "SELECT n_nationkey AS account_id, n_name AS city FROM nation"
+
+
+@query("q_lead_source_scan", f"""SELECT lead_id, account_id, territory, coalesce(name, '') AS name, city FROM ({LEADS}) l JOIN ({ACCOUNTS}) USING (account_id) WHERE territory IN (3, 4, 5, 6)
+  AND NOT EXISTS (SELECT 1 FROM embeddings WHERE vec_id = l.lead_id) AND NOT EXISTS (SELECT 1 FROM ({DECIDED}) x WHERE x.lead_id = l.lead_id AND {EXACT})""")
+def q_lead_scan(spark, d):
+    done = embeddings(spark, d).select(F.col("vec_id").alias("lead_id"))
+    return steps.lead_scan(proxy(spark, d, LEADS), proxy(spark, d, ACCOUNTS), done, decisions(spark, d), frozenset({3, 4, 5, 6})).select("lead_id", "account_id", "territory", "name", "city")
+
+
+@query("q_pos_source_scan", f"""SELECT pos_id FROM ({TRANSACTIONS}) t WHERE pos_id % 16 <> 0 AND NOT EXISTS (SELECT 1 FROM embeddings WHERE vec_id = t.pos_id) AND NOT EXISTS (SELECT 1 FROM ({DECIDED}) x WHERE x.pos_id = t.pos_id AND {EXACT})""")
+def q_pos_scan(spark, d):
+    done = embeddings(spark, d).select(F.col("vec_id").alias("pos_id"))
+    t = proxy(spark, d, TRANSACTIONS).withColumn("is_processed", F.col("pos_id") % 16 == 0)
+    return steps.pos_scan(t, done, decisions(spark, d)).select("pos_id")
+
+
+@query("q_purge_territory", f"SELECT DISTINCT account_id, city FROM ({ACCOUNTS}) a WHERE EXISTS (SELECT 1 FROM ({LEADS}) l WHERE l.account_id = a.account_id AND territory <> 4 AND account_id IS NOT NULL)")
+def q_purge(spark, d):
+    return steps.purge({"lead": proxy(spark, d, LEADS), "account": proxy(spark, d, ACCOUNTS)}, 4)["account"]
+
+
+@query("q_fallback_blank_out", f"SELECT lead_id, CASE WHEN lead_id % 4 = 0 THEN NULL ELSE coalesce(name, city) END AS shown FROM ({LEADS}) JOIN ({ACCOUNTS}) USING (account_id)")
+def q_fallback(spark, d):
+    j = proxy(spark, d, LEADS).join(proxy(spark, d, ACCOUNTS), "account_id")
+    return steps.blank_out(steps.fallback(j, "shown", ["name", "city"]), ["shown"], F.col("lead_id") % 4 == 0).select("lead_id", "shown")
+
+
+@query("q_keyset_page", "SELECT c_custkey, c_name FROM customer WHERE c_custkey > 40 ORDER BY c_custkey LIMIT 100")
+def q_page(spark, d):
+    return steps.keyset_page(proxy(spark, d, "SELECT c_custkey, c_name FROM customer"), "c_custkey", 40, 100)
+
+
+@query("q_id_decollision", """SELECT CASE WHEN n > 1 THEN k || '-' || n ELSE k END AS k, l_partkey, l_quantity FROM
+  (SELECT *, row_number() OVER (PARTITION BY k ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_tax, l_discount) AS n FROM (SELECT *, l_orderkey || ':' || l_linenumber AS k FROM lineitem))""")
+def q_collide(spark, d):
+    x = proxy(spark, d, "SELECT *, concat(l_orderkey, ':', l_linenumber) AS k FROM lineitem")
+    return steps.without_collisions(x, "k", ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_tax", "l_discount"]).select("k", "l_partkey", "l_quantity")
+
+
+@query("q_set_operations", """SELECT 'union' AS op, k FROM (SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier) UNION ALL SELECT 'both', k FROM (SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier)
+  UNION ALL SELECT 'only', k FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT s_suppkey FROM supplier)""")
+def q_sets(spark, d):
+    c, s = (proxy(spark, d, f"SELECT {x}_nationkey AS k FROM {t}") for x, t in (("c", "customer"), ("s", "supplier")))
+    a, b = proxy(spark, d, "SELECT c_custkey AS k FROM customer"), proxy(spark, d, "SELECT s_suppkey AS k FROM supplier")
+    tag = lambda df, op: df.select(F.lit(op).alias("op"), F.col("k").cast("long").alias("k"))
+    return tag(c.union(s).distinct(), "union").union(tag(c.intersect(s), "both")).union(tag(a.distinct().join(b, "k", "left_anti"), "only"))
+
+
+@query("q_expected_relation", f"SELECT created, CASE WHEN created % 13 = 0 THEN 'closed_existing' WHEN final_score >= 100 THEN 'exact_single' WHEN final_score >= 70 THEN 'fuzzy_candidate' ELSE 'no_match' END AS expected_relation FROM ({DECIDED})")
+def q_expected(spark, d):
+    return decisions(spark, d).select("created", steps.expected_relation(F.col("final_score"), F.col("created") % 13 == 0).alias("expected_relation"))
+
+
+@query("q_score_buckets", f"""SELECT match_run_id, count(*) AS n, count(*) FILTER (final_score >= 95) AS n_95, count(*) FILTER (final_score >= 90 AND final_score < 95) AS n_90, count(*) FILTER (final_score >= 85 AND final_score < 90) AS n_85,
+  count(*) FILTER (final_score >= 70 AND final_score < 85) AS n_70 FROM ({DECIDED}) GROUP BY match_run_id""")
+def q_buckets(spark, d):
+    return steps.score_buckets(decisions(spark, d))
+
+
+@query("q_unmatched_leads", f"SELECT n_leads, matched, greatest(n_leads - matched, 0) AS unmatched FROM (SELECT count(*) AS n_leads FROM customer), (SELECT count(DISTINCT lead_id) AS matched FROM ({DECIDED}))")
+def q_unmatched(spark, d):
+    return steps.unmatched(proxy(spark, d, LEADS), decisions(spark, d))
+
+
+@query("q_json_artifacts", f"""WITH t AS (SELECT * FROM ({DECIDED}) ORDER BY final_score DESC NULLS LAST, lead_id, created LIMIT 20)
+  SELECT '[' || string_agg('{{"lead":' || lead_id || ',"order":' || created || '}}', ',' ORDER BY final_score DESC, lead_id, created) || ']' AS artifacts, count(*) AS n FROM t""")
+def q_artifacts(spark, d):
+    return steps.artifacts(decisions(spark, d))
+
+
+@query("q_null_counts", f"SELECT count(*) AS n, count(*) FILTER (final_score IS NULL) AS null_final_score, count(*) FILTER (match_type IS NULL) AS null_match_type FROM ({DECIDED})")
+def q_nulls(spark, d):
+    return steps.null_counts(decisions(spark, d), ["final_score", "match_type"])
+
+
+@query("q_elapsed", """SELECT user_id, printf('%dh %02dm %02ds', s // 3600, s // 60 % 60, s % 60) AS elapsed FROM (SELECT user_id, CAST(epoch(date_trunc('second', max(ts))) - epoch(date_trunc('second', min(ts))) AS BIGINT) AS s FROM events GROUP BY user_id)""")
+def q_elapsed(spark, d):
+    g = spark.read.parquet(f"{d}/events.parquet").groupBy("user_id").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    return g.select("user_id", steps.elapsed(F.col("a"), F.col("b")).alias("elapsed"))
+
+
+@query("q_report_36", f"""SELECT CAST(lead_id AS VARCHAR) AS lead_id, CAST(pos_id AS VARCHAR) AS pos_id, match_type, final_score AS similarity_score, pos_year AS fiscal_year_transaction, order_amount, 36::BIGINT AS n_columns FROM ({DECIDED})""")
+def q_report_36(spark, d):
+    x = decisions(spark, d).withColumns({"similarity_score": F.col("final_score"), "fiscal_year_transaction": F.col("pos_year"), "lead_id": F.col("lead_id").cast("string"), "pos_id": F.col("pos_id").cast("string")})
+    out = conform(x, OUTPUT_36)
+    return out.select("lead_id", "pos_id", "match_type", "similarity_score", "fiscal_year_transaction", "order_amount", F.lit(len(out.columns)).cast("long").alias("n_columns"))
