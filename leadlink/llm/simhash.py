@@ -91,11 +91,15 @@ def spanning(f: np.ndarray, radius: int) -> list[tuple[int, int]]:
     for i in range(1, len(f)):
         near = np.flatnonzero(np.bitwise_count(f[:i] ^ f[i]) <= radius)
         if near.size:
-            labels, first = np.unique(label[near], return_index=True)
-            edges += [(i, int(near[x])) for x in first]
-            label[i] = labels[0]
-            for x in labels[1:]:
-                label[label == x] = labels[0]
+            found = label[near]
+            low = found.min()
+            edges.append((i, int(near[found.argmin()])))
+            label[i] = low
+            if found.max() != low:
+                others, first = np.unique(found, return_index=True)
+                for x, at in zip(others[1:], first[1:]):
+                    edges.append((i, int(near[at])))
+                    label[label == x] = low
     return edges
 
 
