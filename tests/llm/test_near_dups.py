@@ -51,6 +51,18 @@ def test_masks_cover_every_pair(radius):
         assert any(x & flips == 0 for x in m)
 
 
+def test_spanning_forest_joins_what_all_links_join():
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        centres = rng.integers(0, 1 << 63, 5, dtype=np.uint64)
+        flips = lambda: sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 6), replace=False))
+        f = np.unique(np.array([int(centres[rng.integers(5)]) ^ flips() for _ in range(60)], np.uint64))
+        linked = [(a, b) for a in range(len(f)) for b in range(a) if int(f[a] ^ f[b]).bit_count() <= 4]
+        got = simhash.spanning(f, 4)
+        assert components(len(f), got) == components(len(f), linked)
+        assert len(got) == len(f) - len(set(components(len(f), linked)))
+
+
 @pytest.mark.parametrize("dense", [20_000, 3])
 def test_simhash_against_brute_force(spark, docs, dense):
     rng = random.Random(7)
