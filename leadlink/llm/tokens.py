@@ -230,8 +230,8 @@ def write(spark: SparkSession, docs: DataFrame, out: str, path: str, end: int |
         row = (shard, block, before, len(held), len(values), names[0], names[-1], coded)
         return pd.DataFrame([row], columns=["shard", "block", "before", "documents", "tokens", "first_id", "last_id", "data"]).astype({"first_id": "Int64", "last_id": "Int64"})
 
-    # ids of one document sort as equal or not; the count of partitions follows the data
-    spread = ids.repartitionByRange(*([partitions] if partitions else []), "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # ranges are of doc_ids alone: what the sampler sends to the driver are keys, never token ids
+    spread = ids.repartitionByRange(*([partitions] if partitions else []), "doc_id").sortWithinPartitions("doc_id", "ids")
     made = spread.mapInPandas(blocks, "shard int, block int, before long, documents long, tokens long, first_id long, last_id long, data binary")
     made.write.option("compression", "none").parquet(f"{out}/blocks")
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(by_rank)], "rank int, id long").coalesce(1).write.parquet(f"{out}/ranks")
