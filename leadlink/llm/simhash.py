@@ -192,13 +192,220 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, radius
     return prints.join(of, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int = 6) -> DataFrame:
+# ---- similar texts: candidates that can reach a Jaccard similarity, near by fingerprint, verified ----
+#: Texts differ in up to NEAR bits of a fingerprint of 128, or are not compared. At similarity 0.8
+#: about 20 bits differ (deviation 4), of unrelated texts 64 (6).
+NEAR = 44
+#: Up to so many fingerprints of a bucket, all near pairs are listed.
+SMALL = 64
+#: Shingles that so many of about SAMPLE texts have are common (the MOST most common ones).
+SAMPLE, COMMON, MOST = 20_000, 20, 200_000
+
+
+def shingle_set(data: bytes, words: int) -> tuple[bytes, set[bytes]]:
+    """A text's words joined by single spaces, and its distinct shingles (split as in fingerprint())."""
+    parts = data.lower().split()
+    k = min(words, len(parts))
+    return b" ".join(parts), {b" ".join(parts[i : i + k]) for i in range(len(parts) - k + 1)} if k else set()
+
+
+def digests(found: set[bytes]) -> np.ndarray:
+    """128 bits of each shingle, as rows of two signed longs."""
+    from xxhash import xxh3_128_digest
+
+    return np.frombuffer(b"".join(map(xxh3_128_digest, found)), np.int64).reshape(-1, 2)
+
+
+def long_print(h: np.ndarray) -> np.ndarray:
+    """SimHash of 128 bits, as two signed longs."""
+    ones = np.zeros(128, np.int64)
+    for at in range(0, len(h), 1 << 14):
+        ones += np.unpackbits(h[at : at + (1 << 14)].view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(ones * 2 > len(h)).view(np.int64)
+
+
+def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of common shingles, ascending, and in how many texts of a sample each is. Whichever are
+    in it, the search loses nothing; it keeps its buckets small."""
+
+    def of(batches):
+        import pandas as pd
+
+        for p in batches:
+            for x in p["text"]:
+                yield pd.DataFrame({"h": digests(shingle_set(x.encode("utf-8", "surrogatepass"), words)[1])[:, 0]})
+
+    part = F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // SAMPLE))) == 0
+    sample = docs.select("text").where(F.col("text").isNotNull() & part).distinct()
+    found = sample.mapInPandas(of, "h long").groupBy("h").count().where(F.col("count") >= COMMON)
+    rows = sorted(tuple(r) for r in found.orderBy(F.desc("count"), "h").limit(MOST).collect())
+    return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+
+
+def prefix(h: np.ndarray, share: float, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """The first n - ceil(share n) + 1 hashes of a set of n, rare ones first. Two sets of a Jaccard
+    similarity of at least share have share n in common, so a hash of one's prefix is in the other's."""
+    if not len(h):
+        return h
+    times = np.zeros(len(h), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
+        times = np.where(common[at] == h, often[at], 0)
+    return h[np.lexsort((h, times))[: len(h) - int(np.ceil(share * len(h) - 1e-9)) + 1]]
+
+
+def long_prints(docs: DataFrame, words: int, share: float) -> DataFrame:
+    """doc_id, text, node (a hash of the words: texts of equal words are one), s0, s1 (fingerprint
+    of distinct shingles) and keys (by which it is looked up) of every row."""
+    common, often = common_shingles(docs, words)
+
+    def of(batches):
+        from xxhash import xxh64_intdigest
+
+        for p in batches:
+            nodes, prints, keys = [], [], []
+            for x in p["text"]:
+                joined, found = shingle_set((x or "").encode("utf-8", "surrogatepass"), words)
+                h = digests(found)
+                nodes.append(xxh64_intdigest(joined, 42))
+                prints.append(long_print(h))
+                keys.append(prefix(h[:, 0], share, common, often))
+            p["node"] = np.array(nodes, np.uint64).view(np.int64)
+            p["s0"], p["s1"] = np.array(prints, np.int64).reshape(-1, 2).T
+            p["keys"] = keys
+            yield p
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInPandas(of, f"doc_id {kind}, text string, node long, s0 long, s1 long, keys array<long>")
+
+
+def distance(s: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(s ^ one).sum(-1, dtype=np.int32)
+
+
+def near_pairs(node: np.ndarray, s: np.ndarray) -> tuple[list, list, list]:
+    """Of one bucket, sorted by node: first links (each member to the least it is near to), the
+    other near pairs, and members among whom near pairs are not listed. A bucket of up to SMALL
+    lists all; in a larger one only members that are near to none before them list theirs."""
+    first, more, linked = [], [], np.zeros(len(node), bool)
+    for i in range(len(node)):
+        if linked[i] and len(node) > SMALL:
+            continue
+        near = np.flatnonzero(distance(s, s[i]) <= NEAR)
+        for j in near[near != i] if len(node) > SMALL else near[near > i]:
+            (more if linked[j] or j < i else first).append((int(node[i]), int(node[j])))
+            linked[j] |= j > i
+    return first, more, node[linked].tolist() if len(node) > SMALL and linked.sum() > 1 else []
+
+
+def buckets(columns: list[str], handle):
+    """mapInPandas over rows sorted by key: handle(key, arrays of a bucket) gives (kind, u, v) rows."""
+
+    def run(batches):
+        import pandas as pd
+
+        def frame(out):
+            return pd.DataFrame(out, columns=["kind", "u", "v"]).astype({"kind": "int32", "u": "int64", "v": "int64"})
+
+        held = None
+        for p in batches:
+            if held is not None:
+                p = pd.concat([held, p], ignore_index=True)
+            key = p["k"].to_numpy()
+            cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+            starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
+            held, starts, ends = p.iloc[int(starts[-1]) :], starts[:-1], ends[:-1]
+            some = np.flatnonzero(ends - starts >= 2)
+            x, out = [p[c].to_numpy() for c in columns], []
+            for a, b in zip(starts[some].tolist(), ends[some].tolist()):
+                out += handle(int(key[a]), *[c[a:b] for c in x])
+            yield frame(out)
+        if held is not None and len(held) > 1:
+            yield frame(handle(int(held["k"].iloc[0]), *[held[c].to_numpy() for c in columns]))
+
+    return run
+
+
+def in_bucket(key, node, s0, s1):
+    s = np.stack([s0, s1], 1).view(np.uint64)
+    if len(node) == 2:
+        return [(0, int(node[0]), int(node[1]))] if distance(s[1], s[0]) <= NEAR else []
+    if len(node) <= SMALL and not (np.bitwise_count(s[:, None] ^ s).sum(-1, dtype=np.int32) <= NEAR).sum() > len(node):
+        return []
+    first, more, rest = near_pairs(node, s)
+    return [(0, *x) for x in first] + [(1, *x) for x in more] + [(2, key, n) for n in rest]
+
+
+def across(key, node, s0, s1, label):
+    """Near pairs of a bucket, sorted by label, whose members are not linked yet."""
+    if label[0] == label[-1]:
+        return []
+    s, out = np.stack([s0, s1], 1).view(np.uint64), []
+    for i in np.flatnonzero(label > label[0]):
+        end = int(np.searchsorted(label, label[i]))
+        out += [(1, int(node[i]), int(node[j])) for j in np.flatnonzero(distance(s[:end], s[i]) <= NEAR)]
+    return out
+
+
+def verified(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, share: float, name: str) -> DataFrame:
+    """The pairs (u, v) of nodes whose distinct shingles have a Jaccard similarity of at least share."""
+
+    def exact(batches):
+        known = {}
+
+        def of(node, text):
+            if node not in known:
+                if len(known) >= 64:
+                    known.clear()
+                known[node] = shingle_set((text or "").encode("utf-8", "surrogatepass"), words)[1]
+            return known[node]
+
+        for p in batches:
+            keep = []
+            for u, v, a, b in zip(p["u"], p["v"], p["a"], p["b"]):
+                x, y = of(u, a), of(v, b)
+                both = len(x & y)
+                keep.append(both >= share * (len(x) + len(y) - both) - 1e-9)
+            yield p.loc[np.array(keep, bool), ["u", "v"]]
+
+    sought = scratch.table(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{name}-pairs")
+    of = sought.select(F.col("u").alias("node")).union(sought.select("v")).distinct()
+    own = scratch.table(texts.join(of, "node", "left_semi").select("node", "text").dropDuplicates(["node"]), f"{name}-texts")
+    both = sought.join(own.withColumnsRenamed({"node": "u", "text": "a"}), "u").join(own.withColumnsRenamed({"node": "v", "text": "b"}), "v")
+    return scratch.table(both.select("u", "v", "a", "b").mapInPandas(exact, "u long, v long"), name)
+
+
+def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
+    """doc_id, text and label of every row of docs: rows have one label if links connect them.
+
+    Linked are texts of equal words, and pairs with a Jaccard similarity of distinct shingles of at
+    least `share`. Candidates share a hash of their prefixes, which loses no such pair, and are near
+    by SimHash of 128 bits; all are verified by their shingles as texts, unless already linked by
+    others. First links go to the least member of a bucket; what these leave apart comes second."""
+    scratch = Scratch(spark, "similar")
+    rows = scratch.table(long_prints(docs, words, share), "rows")
+    nodes = scratch.table(rows.select("node", "s0", "s1", "keys").dropDuplicates(["node"]), "nodes")
+    met = nodes.select("node", "s0", "s1", F.explode("keys").alias("k")).repartition("k").sortWithinPartitions("k", "node")
+    found = scratch.table(met.mapInPandas(buckets(["node", "s0", "s1"], in_bucket), "kind int, u long, v long"), "found")
+    links = verified(scratch, found.where("kind = 0").select("u", "v"), rows, words, share, "first")
+    label = scratch.table(components(scratch, links, "u", "v"), "label")
+    named = nodes.join(label, "node", "left").select("node", "s0", "s1", F.coalesce("label", "node").alias("label"))
+    ends = [named.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "uv"]
+    apart = found.where("kind = 1").select("u", "v").distinct().join(ends[0], "u").join(ends[1], "v").where("lu <> lv").select("u", "v")
+    crowd = found.where("kind = 2").select(F.col("u").alias("k"), F.col("v").alias("node")).join(named, "node")
+    crowd = crowd.repartition("k").sortWithinPartitions("k", "label", "node")
+    apart = apart.union(crowd.mapInPandas(buckets(["node", "s0", "s1", "label"], across), "kind int, u long, v long").select("u", "v"))
+    links = links.union(verified(scratch, apart, rows, words, share, "second"))
+    label = components(Scratch(spark, "similar-all"), links, "u", "v")
+    return rows.join(label, "node", "left").select("doc_id", "text", F.coalesce("label", "node").alias("label"))
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
     """The rows of docs, one of each group of near duplicates: that with the smallest doc_id (of
     rows of one doc_id, that with the smallest text). Rows with a null doc_id cannot be named as
     one of a group and stay as they are."""
     named = docs.where("doc_id is not null")
-    found = near_duplicates(spark, named, words, radius)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    first = similar(spark, named, words, share).groupBy("label").agg(F.min("doc_id").alias("__id")).select("__id").distinct()
     kept = named.join(first, F.col("doc_id") == F.col("__id"), "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
     kept = kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")

@@ -236,3 +236,37 @@ def test_empty_tables(spark, docs):
     assert decontaminate.contamination(spark, none, items).count() == 0
     assert decontaminate.contamination(spark, docs(["a b c d e f"]), items).count() == 0
     assert embeddings.near_vectors(spark, spark.createDataFrame([], "vec_id long, label int, embedding array<float>")).count() == 0
+
+
+# ---- similar texts ----
+def jaccard(a, b):
+    x, y = [simhash.shingle_set((t or "").encode(), 5)[1] for t in (a, b)]
+    return len(x & y) / max(1, len(x | y))
+
+
+def test_similar_texts_down_to_the_share(spark, docs):
+    rng = random.Random(11)
+    texts = []
+    for i in range(30):
+        w = [f"v{rng.randrange(5000)}" for _ in range(400)]
+        v = list(w)
+        for at in range(7, 400, 52 if i % 2 else 30):
+            v[at] = "new"
+        texts += [" ".join(w), " ".join(v)]
+    # a loop of words, and the same with other words after it, are far apart as sets
+    texts += ["a b c d e f " * 200, "a b c d e f " * 200 + " ".join(f"z{i}" for i in range(40))]
+    shares = [jaccard(texts[i], texts[i + 1]) for i in range(0, len(texts), 2)]
+    kept = {r["doc_id"] for r in simhash.keep_one(spark, docs(texts)).collect()}
+    assert kept == {i for i in range(len(texts)) if i % 2 == 0 or shares[i // 2] < 0.8}
+    assert sum(0.8 <= s < 0.9 for s in shares) >= 10 and sum(s < 0.8 for s in shares) >= 10
+
+
+@pytest.mark.parametrize("small", [64, 3])
+def test_similar_groups_against_brute_force(spark, docs, small, monkeypatch):
+    monkeypatch.setattr(simhash, "SMALL", small)
+    rng = random.Random(12)
+    base = [" ".join(f"v{rng.randrange(5000)}" for _ in range(300)) for _ in range(4)]
+    texts = [near(base[i % 4], rng, rng.randint(0, 9)) for i in range(80)]
+    linked = [(a, b) for a in range(80) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8]
+    label = components(80, linked)
+    assert {r["doc_id"] for r in simhash.keep_one(spark, docs(texts)).collect()} == set(label)
