@@ -20,6 +20,7 @@ file and any store that Spark writes to will do. Beside them stands the table of
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from array import array
@@ -83,6 +84,10 @@ def kind(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
+#: White space that a text cut into pieces does not have.
+OTHER_SPACE = re.compile(r"[^\S \n]")
+
+
 class Words(dict):
     """Ids of the library's own pre-tokens, by its own model."""
 
@@ -102,8 +107,9 @@ class Encoder:
 
     Byte-level BPE with its own pattern works on pieces that no merge crosses. A text whose white
     space is single spaces and line ends is cut before every space and around every line end,
-    which are borders of such pieces, and pieces are looked up; every other text, and every other
-    kind of tokenizer, goes through encode() whole. Pieces that are new go through the library."""
+    which are borders of such pieces, and pieces are looked up; every other text (any other white
+    space is seen when its piece is new, and such pieces are never kept), and every other kind of
+    tokenizer, goes through encode() whole. Pieces that are new go through the library."""
 
     MOST = 700_000  # pieces and pre-tokens kept; then the table starts anew
 
@@ -141,6 +147,8 @@ class Encoder:
             known.clear()
         new = [x for x in dict.fromkeys(parts) if x not in known]
         for x in new:
+            if OTHER_SPACE.search(x):
+                return self.whole(text)
             known[x] = self.piece(x)
         return b"".join(map(known.__getitem__, parts))
 

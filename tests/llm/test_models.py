@@ -160,6 +160,16 @@ def test_tokens_against_the_library(spark, docs):
     assert len(rows) == len(ODD)
 
 
+def test_tokens_with_other_white_space():
+    import public_tokenizers
+
+    e = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    spaces = ["\xa0", "\t", "\r", "\u3000", "\x0b", "\x0c", "\x85", "\u2028", "\u2009", "\x1c"]
+    texts = [f"a{x}{y}{z}b c" for x in [" ", "\n"] for y in spaces for z in [*spaces, "", " ", "\n", "d "]]
+    for t in [*texts, *texts]:
+        assert np.frombuffer(e(t), e.kind).tolist() == reference_ids(t)[:-1].tolist(), repr(t)
+
+
 def test_tokens_odd_rows(spark, docs):
     rows = tokens.encode_documents(spark, docs(["a", "a", "b"], [3, 3, None])).orderBy("start").collect()
     assert [(r["doc_id"], r["start"]) for r in rows] == [(None, 0), (3, 2), (3, 4)]
