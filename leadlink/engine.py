@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,28 +34,56 @@ def identity(df: DataFrame, prefix: str) -> DataFrame:
     )
 
 
+def variants(pos: DataFrame, rules: Rules) -> tuple[DataFrame, list[str], list[str]]:
+    """pos_id and a transaction's texts by variant, normalised as the first ones, with the contacts
+    that go with each address; the columns of names and of addresses. Later variants are in
+    columns of the same names with _2, _3; those that are not there are null."""
+    raw = lambda n, i: F.col(x) if (x := n if i == 0 else f"{n}_{i + 1}") in pos.columns else F.lit(None).cast("string")
+    blank = lambda x: F.nullif(x, F.lit(""))
+    names, addresses = ({x: f"{kind}_{x}" for x in range(1 + max(s[at] for s in rules.sets))} for at, kind in enumerate(("name", "address")))
+    cols = [blank(normalize.text(raw("name", i), True)).alias(c) for i, c in names.items()]
+    for i, c in addresses.items():
+        parts = [normalize.address(raw("street", i)), normalize.text(raw("town", i), True), normalize.state(raw("region", i)), normalize.zip_code(raw("postcode", i))]
+        text = F.concat_ws(" ", *parts)
+        cols += [F.when(F.trim(text) != "", text).alias(c), normalize.email(raw("email", i)).alias(f"email_{i}"), normalize.phone(raw("phone", i)).alias(f"phone_{i}")]
+    return pos.select("pos_id", *cols), list(names.values()), list(addresses.values())
+
+
 def match(leads: DataFrame, pos: DataFrame, run: str, rules: Rules = R, embedder=embed.hashed) -> Run:
     """Leads and transactions have id, territory, year, period, week, name, street, town, region,
-    postcode, email and phone; every pair of a block is scored once, in one lazy plan."""
+    postcode, email and phone; transactions may have more of the last seven (see variants). Every
+    pair that any address variant finds is scored once by the best of the sets, in one lazy plan."""
     a, b = identity(leads, "lead"), identity(pos, "pos")
     exact = matching.with_fiscal_class(matching.exact_pairs(a, b, KEYS), rules).where("fiscal_class = 'NORMAL'")
-    exact = exact.select("lead_id", "pos_id", "territory", "pos_year", "pos_period", "pos_week", F.lit(rules.exact_score).alias("final_score"), F.lit("Exact").alias("match_type"))
-    full = lambda df: df.withColumn("address_text", F.nullif(F.concat_ws(" ", "address", "city", "state", "zip"), F.lit("   ")))
-    rest_a, rest_b = full(a.join(exact.select("lead_id"), "lead_id", "left_anti")), full(b.join(exact.select("pos_id"), "pos_id", "left_anti"))
-    names = embed.embed_distinct(rest_a.select("business_name", "address_text").union(rest_b.select("business_name", "address_text")), ["business_name", "address_text"], embedder)
-
-    def vectored(df, keep):
-        n, s = names.withColumnsRenamed({"text": "business_name", "v": "name_v"}), names.withColumnsRenamed({"text": "address_text", "v": "address_v"})
-        return df.join(n, "business_name").join(s, "address_text", "left").select("territory", *keep, "name_v", F.col("address_v").alias("v"))
-
-    x = vectored(rest_a, ["lead_id", "lead_year", "lead_period", "lead_week", "lead_email", "lead_phone"])
-    y = vectored(rest_b, ["pos_id", "pos_year", "pos_period", "pos_week", "pos_email", "pos_phone"])
-    near = matching.knn_blocked(x.select("territory", "lead_id", "v"), y.select("territory", "pos_id", "v"), "territory", rules.top_k, rules.recall_gate)
-    pairs = near.join(x.drop("territory", "v"), "lead_id").join(y.drop("territory", "v").withColumnRenamed("name_v", "pos_name_v"), "pos_id")
-    pairs = matching.with_fiscal_class(pairs, rules).withColumn("name_score", vectors.nan_as_zero(vectors.score(F.col("name_v"), F.col("pos_name_v"))))
-    same = lambda p: (F.col(f"lead_{p}") != "") & (F.col(f"lead_{p}") == F.col(f"pos_{p}"))
-    raw = scores.set_score(F.col("raw"), F.col("name_score"), rules) + scores.boost(same("email"), same("phone"), rules)
-    scored = pairs.withColumn("final_score", scores.final_score(raw, rules)).drop("name_v", "pos_name_v")
+    exact = exact.select("lead_id", "pos_id", "territory", "pos_year", "pos_period", "pos_week", F.lit(rules.exact_score).alias("final_score"), F.lit("Exact").alias("match_type"), F.lit(None).cast("int").alias("winning_set"))
+    rest_a, rest_b = a.join(exact.select("lead_id"), "lead_id", "left_anti"), b.join(exact.select("pos_id"), "pos_id", "left_anti")
+    rest_a = rest_a.withColumn("address_text", F.nullif(F.concat_ws(" ", "address", "city", "state", "zip"), F.lit("   ")))
+    texts, names, addresses = variants(pos, rules)
+    rest_b = rest_b.select("pos_id", "territory", "pos_year", "pos_period", "pos_week").join(texts, "pos_id")
+    every = rest_a.select(F.array("business_name", "address_text").alias("t")).union(rest_b.select(F.array(*names, *addresses)))
+    known = embed.embed_distinct(every.select(F.explode("t").alias("text")), ["text"], embedder)
+
+    def vectored(df, columns):
+        for c in columns:
+            df = df.join(known.withColumnsRenamed({"text": c, "v": f"{c}_v"}), c, "left").drop(c)
+        return df
+
+    x = vectored(rest_a, ["business_name", "address_text"]).where("business_name_v is not null")
+    x = x.select("territory", "lead_id", "lead_year", "lead_period", "lead_week", "lead_email", "lead_phone", F.col("business_name_v").alias("name_v"), F.col("address_text_v").alias("v"))
+    y = vectored(rest_b, [*names, *addresses])
+    # what one address variant finds does not take the place of what another finds
+    near = [matching.knn_blocked(x.select("territory", "lead_id", "v"), y.select("territory", "pos_id", F.col(f"{c}_v").alias("v")), "territory", rules.top_k, rules.recall_gate) for c in addresses]
+    near = reduce(DataFrame.unionByName, near).groupBy("territory", "lead_id", "pos_id").agg(F.max("raw").alias("raw"), F.min("rank").alias("rank"))
+    pairs = matching.with_fiscal_class(near.join(x.drop("territory"), "lead_id").join(y.drop("territory"), "pos_id"), rules)
+    pairs = pairs.withColumns({f"{c}_s": vectors.score(F.col("name_v"), F.col(f"{c}_v")) for c in names} | {f"{c}_s": vectors.score(F.col("v"), F.col(f"{c}_v")) for c in addresses})
+    scored = matching.score_sets(pairs, [f"{c}_s" for c in names], [f"{c}_s" for c in addresses], rules)
+    own = lambda kind: F.element_at(F.array(*[F.col(f"{kind}_{s[1]}") for s in rules.sets]), F.col("winning_set"))
+    same = lambda kind: F.coalesce((F.col(f"lead_{kind}") != "") & (F.col(f"lead_{kind}") == own(kind)), F.lit(False))
+    none = F.lit(False)
+    scored = scored.withColumns({"email_boost": scores.boost(same("email"), none, rules), "phone_boost": scores.boost(none, same("phone"), rules)})
+    scored = scored.withColumn("final_score", scores.final_score(F.col("best_score") + F.col("email_boost") + F.col("phone_boost"), rules))
+    spare = [f"{c}_{e}" for c in (*names, *addresses) for e in "vs"] + [f"{k}_{i}" for i in range(len(addresses)) for k in ("email", "phone")]
+    scored = scored.drop("name_v", "v", *spare)
     fuzzy = matching.resolve(scored.where("fiscal_class = 'NORMAL'"), rules)
     decided = matching.combine(exact, fuzzy.select(*exact.columns)).withColumn("match_run_id", F.lit(run))
     decided = decided.withColumn("lifecycle_state", scores.lifecycle(F.col("match_type"), F.col("final_score"), rules))

@@ -203,6 +203,25 @@ def test_golden_scenarios(spark, tmp_path):
         assert main([task, f"file://{tmp_path}", "--rules", f"{tmp_path}/rules.json"]) == 0
 
 
+@pytest.mark.parametrize("shown, other, won", [("name", "name_2", 3), ("name", "name_3", 5), ("street", "street_2", 2)])
+def test_match_by_a_later_variant_only(spark, shown, other, won):
+    from leadlink import engine, synth
+
+    base = {"territory": 1, "year": 2024, "period": 5, "week": 1, "name": "Harbor Light Bakery", "street": "12 Quay Street", "town": "Salem", "region": "OR", "postcode": "97301", "email": "a@b.co", "phone": ""}
+    fields = synth.COLUMNS + ", name_2 string, name_3 string, street_2 string, town_2 string, region_2 string, postcode_2 string, email_2 string"
+    row = base | {"pos_id": "p", "email": "x@y.co", shown: "Zyqx Vwmk 7788"} | {k: None for k in ("name_2", "name_3", "street_2", "town_2", "region_2", "postcode_2", "email_2")}
+    if shown == "street":
+        row |= {"town": "Juneau", "region": "AK", "postcode": "99801", "town_2": "Salem", "region_2": "OR", "postcode_2": "97301", "email_2": "a@b.co"}
+    row[other] = base[shown]
+    leads = spark.createDataFrame([base | {"lead_id": "l"}], f"lead_id string, {synth.COLUMNS}")
+    pos = spark.createDataFrame([row], f"pos_id string, {fields}")
+    run = engine.match(leads, pos, "r", Rules())
+    (got,) = run.decisions.collect()
+    assert (got["lead_id"], got["match_type"], got["winning_set"]) == ("l", "Fuzzy", won) and got["final_score"] >= 99
+    boosts = [(r["email_boost"], r["phone_boost"]) for r in run.candidates.collect()]
+    assert boosts == [(5.0 if shown == "street" else 0.0, 0.0)]
+
+
 def test_steps(spark):
     from leadlink.operators import steps
 
