@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components
+from .common import Scratch, components, text_key
 
 BITS = 64
 
@@ -402,12 +402,14 @@ def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float =
 
 def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
     """The rows of docs, one of each group of near duplicates: that with the smallest doc_id (of
-    rows of one doc_id, that with the smallest text). Rows with a null doc_id cannot be named as
-    one of a group and stay as they are."""
+    rows of one doc_id in the group, that with the smallest hash of its text). Rows with a null
+    doc_id cannot be named as one of a group and stay as they are."""
     named = docs.where("doc_id is not null")
-    first = similar(spark, named, words, share).groupBy("label").agg(F.min("doc_id").alias("__id")).select("__id").distinct()
-    kept = named.join(first, F.col("doc_id") == F.col("__id"), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
+    h1, h2 = text_key(F.col("text"))
+    best = similar(spark, named, words, share).groupBy("label").agg(F.min(F.struct("doc_id", h1.alias("k1"), h2.alias("k2"))).alias("b"))
+    best = best.select(F.col("b.doc_id").alias("__id"), F.col("b.k1").alias("__1"), F.col("b.k2").alias("__2"))
+    kept = named.join(best, (F.col("doc_id") == F.col("__id")) & (h1 == F.col("__1")) & (h2 == F.col("__2")), "left_semi")
+    order = Window.partitionBy("doc_id", h1, h2).orderBy(F.xxhash64(*docs.columns))
     kept = kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
     return kept.union(docs.where("doc_id is null"))
 

@@ -270,3 +270,12 @@ def test_similar_groups_against_brute_force(spark, docs, small, monkeypatch):
     linked = [(a, b) for a in range(80) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8]
     label = components(80, linked)
     assert {r["doc_id"] for r in simhash.keep_one(spark, docs(texts)).collect()} == set(label)
+
+
+def test_keep_one_with_repeated_doc_ids(spark, docs):
+    rng = random.Random(13)
+    a, b, c = prose(rng, 200), prose(rng, 200), prose(rng, 200)
+    # two texts of their own under one doc_id; a copy of 2's text and one of its own under another
+    rows = [(5, a), (5, b), (2, c), (7, c), (7, "only here"), (7, "only here")]
+    got = simhash.keep_one(spark, docs([t for _, t in rows], [i for i, _ in rows]))
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted([(5, a), (5, b), (2, c), (7, "only here")])
