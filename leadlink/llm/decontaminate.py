@@ -56,9 +56,8 @@ def signatures(items: DataFrame, size: int, share: float) -> DataFrame:
     return own.select("item_id", "s", "n", least.alias("need"), F.slice("h", F.lit(1), F.col("n") - least + 1).alias("h"))
 
 
-def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WORDS, share: float = SHARE, inline: int = INLINE) -> DataFrame:
-    """doc_id, item_id, n_shingles (of the item), n_shared and containment for every document and
-    item with containment of at least `share`.
+def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WORDS, share: float = SHARE, inline: int = INLINE) -> DataFrame:
+    """The rows of contamination(), with the key (k1, k2) of the document's text.
 
     Null texts, and texts and items of fewer than `size` words, contain and are nothing; nor are
     items with a null item_id. Equal items with ids of their own are found each. Rows that repeat
@@ -84,17 +83,24 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, size:
     pairs = pairs.withColumnsRenamed({"doc_id": "d", "k1": "i", "k2": "j"})
     both = base.join(pairs, base["doc_id"].eqNullSafe(pairs["d"]) & (base["k1"] == pairs["i"]) & (base["k2"] == pairs["j"]))
     sizes = known.select(F.col("item_id").alias("item"), "s", "need")
-    both = pinned(both.select("doc_id", "item_id", "text").join(sizes, F.col("item_id") == F.col("item")), "w", words_of("text"))
+    both = pinned(both.select("doc_id", "item_id", "text", "k1", "k2").join(sizes, F.col("item_id") == F.col("item")), "w", words_of("text"))
     both = pinned(both, "shared", f"size(array_intersect({shingles('w', size)}, s))")
-    exact = both.select("doc_id", "item_id", F.size("s").alias("n_shingles"), F.col("shared").alias("n_shared"), "need")
+    exact = both.select("doc_id", "k1", "k2", "item_id", F.size("s").alias("n_shingles"), F.col("shared").alias("n_shared"), "need")
     exact = exact.where("n_shared >= need")
-    return exact.select("doc_id", "item_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.col("n_shared").cast("long").alias("n_shared"), (F.col("n_shared") / F.col("n_shingles")).alias("containment")).distinct()
+    return exact.select("doc_id", "k1", "k2", "item_id", F.col("n_shingles").cast("long").alias("n_shingles"), F.col("n_shared").cast("long").alias("n_shared"), (F.col("n_shared") / F.col("n_shingles")).alias("containment"))
+
+
+def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WORDS, share: float = SHARE, inline: int = INLINE) -> DataFrame:
+    """doc_id, item_id, n_shingles (of the item), n_shared and containment for every document and
+    item with containment of at least `share` (see matches)."""
+    return matches(spark, docs, items, size, share, inline).drop("k1", "k2").distinct()
 
 
 def clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs, as they are, whose doc_id no item was found with. A null doc_id stays."""
-    bad = contamination(spark, docs, items).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("__bad"), "left_anti")
+    """The rows of docs, as they are, in which no item was found (by doc_id, null or not, and text)."""
+    bad = matches(spark, docs, items).select(F.col("doc_id").alias("__bad"), F.col("k1").alias("__1"), F.col("k2").alias("__2")).distinct()
+    h1, h2 = text_key(F.col("text"))
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")) & (h1 == F.col("__1")) & (h2 == F.col("__2")), "left_anti")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -279,3 +279,12 @@ def test_keep_one_with_repeated_doc_ids(spark, docs):
     rows = [(5, a), (5, b), (2, c), (7, c), (7, "only here"), (7, "only here")]
     got = simhash.keep_one(spark, docs([t for _, t in rows], [i for i, _ in rows]))
     assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == sorted([(5, a), (5, b), (2, c), (7, "only here")])
+
+
+def test_clean_with_null_and_repeated_doc_ids(spark, docs):
+    rng = random.Random(14)
+    item = prose(rng, 30)
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"start {item} end"), (None, "clean " * 9), (3, f"more {item}"), (3, "also clean"), (4, None)]
+    kept = decontaminate.clean(spark, docs([t for _, t in rows], [i for i, _ in rows]), b).collect()
+    assert {(r["doc_id"], r["text"]) for r in kept} == {rows[1], rows[3], rows[4]}
