@@ -319,6 +319,9 @@ def buckets(columns: list[str], handle):
             x, out = [p[c].to_numpy() for c in columns], []
             for a, b in zip(starts[some].tolist(), ends[some].tolist()):
                 out += handle(int(key[a]), *[c[a:b] for c in x])
+                if len(out) > 10_000:
+                    yield frame(out)
+                    out = []
             yield frame(out)
         if held is not None and len(held) > 1:
             yield frame(handle(int(held["k"].iloc[0]), *[held[c].to_numpy() for c in columns]))
@@ -355,7 +358,7 @@ def verified(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, s
 
         def of(node, text):
             if node not in known:
-                if len(known) >= 64:
+                if len(known) >= 16:
                     known.clear()
                 known[node] = shingle_set((text or "").encode("utf-8", "surrogatepass"), words)[1]
             return known[node]
