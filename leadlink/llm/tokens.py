@@ -102,14 +102,32 @@ class Words(dict):
         return found
 
 
+class Odd(Exception):
+    """A piece holds other white space than single blanks and line ends."""
+
+
+class Pieces(dict):
+    """Ids of the pieces of texts; what is new is cut by the encoder."""
+
+    def __init__(self, cut):
+        self.cut = cut
+
+    def __missing__(self, x: str) -> bytes:
+        if OTHER_SPACE.search(x):
+            raise Odd
+        self[x] = found = self.cut(x)
+        return found
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, each distinct piece of a text encoded once.
 
     Byte-level BPE with its own pattern works on pieces that no merge crosses. A text whose white
     space is single spaces and line ends is cut before every space and around every line end,
     which are borders of such pieces, and pieces are looked up; every other text (any other white
-    space is seen when its piece is new, and such pieces are never kept), and every other kind of
-    tokenizer, goes through encode() whole. Pieces that are new go through the library."""
+    space is seen when its piece is new, and such pieces are never kept), every text that holds an
+    added token, and every other kind of tokenizer, goes through encode() whole. Pieces that are
+    new go through the library."""
 
     MOST = 700_000  # pieces and pre-tokens kept; then the table starts anew
 
@@ -117,10 +135,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.t = Tokenizer.from_file(path)
-        self.t.encode_special_tokens = True
         p = str(self.t.pre_tokenizer)
         self.simple = p.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in p and self.t.normalizer is None and type(self.t.model).__name__ == "BPE"
-        self.pieces: dict[str, bytes] = {}
+        self.added = [x.content for x in self.t.get_added_tokens_decoder().values()]
+        self.pieces = Pieces(self.piece)
         self.words = Words(self.t, kind(self.t.get_vocab_size()), self.MOST)
         self.cut = self.t.pre_tokenizer.pre_tokenize_str if self.simple else None
         self.kind = kind(self.t.get_vocab_size())
@@ -139,18 +157,14 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """The ids, little-endian, of the narrowest kind that the vocabulary allows."""
-        if not self.simple or "\x00" in text or len(text.split()) - 1 != text.count(" ") + text.count("\n"):
+        if not self.simple or "\x00" in text or len(text.split()) - 1 != text.count(" ") + text.count("\n") or any(x in text for x in self.added):
+            return self.whole(text)
+        if len(self.pieces) > self.MOST:
+            self.pieces.clear()
+        try:
+            return b"".join(map(self.pieces.__getitem__, text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")))
+        except Odd:
             return self.whole(text)
-        parts = text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
-        known = self.pieces
-        if len(known) > self.MOST:
-            known.clear()
-        new = [x for x in dict.fromkeys(parts) if x not in known]
-        for x in new:
-            if OTHER_SPACE.search(x):
-                return self.whole(text)
-            known[x] = self.piece(x)
-        return b"".join(map(known.__getitem__, parts))
 
 
 _encoders: dict[str, Encoder] = {}
@@ -185,11 +199,10 @@ def frequencies(ids: DataFrame, dtype: str) -> DataFrame:
 
         total = np.zeros(0, np.int64)
         for p in batches:
-            for x in p["ids"]:
-                c = np.bincount(np.frombuffer(x, dtype))
-                if len(c) > len(total):
-                    total = np.concatenate([total, np.zeros(len(c) - len(total), np.int64)])
-                total[: len(c)] += c
+            c = np.bincount(np.frombuffer(b"".join(p["ids"]), dtype))
+            if len(c) > len(total):
+                c, total = total, c
+            total[: len(c)] += c
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"id": seen, "n": total[seen]})
 

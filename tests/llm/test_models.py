@@ -1,5 +1,6 @@
 """Classifiers, mixing, sharding, tokens and the pipeline."""
 
+import functools
 import heapq
 import itertools
 import os
@@ -137,13 +138,16 @@ def test_blocks_round_trip():
             tokens.decode_block(block[:-1] + bytes([block[-1] ^ 1]))
 
 
-def reference_ids(text):
+@functools.cache
+def library():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def reference_ids(text):
+    return np.array([*library().encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
 ODD = ["a  b", "a\n \nb", " lead", "trail ", "a\n b", "a \n\nb", "x's y'll", "tab\tq", "é ü\nß 12,3 a.b", "", None, "<|endoftext|> hi", "a b c", "a\x1cb", "a\x00b c", "日本 語。 ½ ²", "word. Word!? (x) don't", "a" * 5000]
@@ -170,6 +174,17 @@ def test_tokens_with_other_white_space():
         assert np.frombuffer(e(t), e.kind).tolist() == reference_ids(t)[:-1].tolist(), repr(t)
 
 
+def test_tokens_of_random_texts():
+    """The library itself, on all white space, marks and added tokens side by side."""
+    import public_tokenizers
+
+    e, t, rng = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json")), library(), random.Random(15)
+    signs = [" ", "\n", " ", "\n", "\t", "\r", "\xa0", "\u3000", "\x0b", "\x1c", "\x85", "\u2028", "a", "b", "Word", "é", "日", "1", "23", "'s", "'", ".", "!?", "<|endoftext|>", "½", "\x00", "\u200b", "\U0001f600", "_"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(signs, k=rng.randint(0, 9)))
+        assert np.frombuffer(e(text), e.kind).tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_tokens_odd_rows(spark, docs):
     rows = tokens.encode_documents(spark, docs(["a", "a", "b"], [3, 3, None])).orderBy("start").collect()
     assert [(r["doc_id"], r["start"]) for r in rows] == [(None, 0), (3, 2), (3, 4)]
