@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,10 +16,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset
-    (one machine, tests), a temporary folder is made and set, and removed at exit."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset on one
+    machine (tests), a temporary folder is made and set, and removed at exit; on a cluster, where
+    executors do not share a temporary folder, RuntimeError asks for the setting."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="leadlink-")
         atexit.register(shutil.rmtree, own, True)
         base = f"file://{own}"
@@ -26,13 +30,24 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Folders of the operators that run now, innermost last (see released()).
+_open: list[list[Scratch]] = []
+
+
 class Scratch:
     """Tables that one run of an operator writes to the shared folder, so that no plan is run
-    twice and a lost executor costs only the tasks it held."""
+    twice and a lost executor costs only the tasks it held. The folder goes when the application
+    ends, or earlier by drop() or released()."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        if _open:
+            _open[-1].append(self)
 
     def table(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).parquet(f"{self.path}/{name}")
@@ -44,6 +59,28 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def released():
+    """Deletes at the end what operators wrote within; for callers that have kept their results."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for scratch in _open.pop():
+            scratch.drop()
+
+
+def spread(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int, shares: int = 10_000) -> DataFrame:
+    """rows joined with table by not null columns `on`. The table has one row for each key, and in
+    `weight` how many of rows (`total` in all) have it. Keys of over 1 / shares of all rows are less
+    than `shares` in number: they are broadcast, and none of their rows moves. The other keys are
+    shuffled; none of them is large. Give a written table, as it is read twice."""
+    least = max(100, total // shares)
+    hot = F.broadcast(table.where(F.col(weight) > least).drop(weight))
+    rest = rows.join(hot.select(*on), on, "left_anti").join(table.where(F.col(weight) <= least).drop(weight), on)
+    return rows.join(hot, on).unionByName(rest)
+
+
 def text_key(text: Column) -> list[Column]:
     """128 bits that stand for a whole text; null has a key of its own."""
     t = F.coalesce(text, F.lit(""))
@@ -53,13 +90,15 @@ def text_key(text: Column) -> list[Column]:
     ]
 
 
-def ranks(df: DataFrame, keys: list[str], order: list[str], out: str = "rank", buckets: int = 256, also: DataFrame | None = None) -> DataFrame:
+def ranks(df: DataFrame, keys: list[str], order: list[str], out: str = "rank", buckets: int | None = None, also: DataFrame | None = None, total: int | None = None) -> DataFrame:
     """Adds a gapless rank from 0 within each key. No key is sorted in one task: its rows are
     dealt to buckets by a hash of the order columns, the counts of the buckets (one row for
-    each key and bucket) are summed up, and rows are numbered within a bucket.
+    each key and bucket) are summed up, and rows are numbered within a bucket. There is a bucket
+    for every 10,000 of `total` rows (counted where it is not given), 256 at least.
 
     The rank follows (bucket, order columns), which is a fixed order for fixed rows. `also` has
     one row for each key, whose other columns are added on the way."""
+    buckets = buckets or max(256, (df.count() if total is None else total) // 10_000)
     b, n, before = f"__b_{out}", f"__n_{out}", f"__o_{out}"
     df = df.withColumn(b, F.pmod(F.xxhash64(F.lit(out), *order), F.lit(buckets)).cast("int"))
     counts = df.groupBy(*keys, b).agg(F.count(F.lit(1)).alias(n))

@@ -16,6 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 SIZE = 1 << 13
 CHUNK = 1 << 18
 UNDETERMINED = "und"
@@ -27,11 +29,12 @@ def profile(text: str | None) -> np.ndarray | None:
     if not text:
         return None
     counts, tail = np.zeros(SIZE), np.zeros(0, np.uint32)
-    border = True
+    border, any_letter = True, False
     for at in range(0, len(text), CHUNK):
         piece = text[at : at + CHUNK].lower()
         code = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), "<u4")
         letter = letters(code)
+        any_letter |= bool(letter.any())
         code = np.where(letter, code, 32)
         keep = letter | np.concatenate([[not border], letter[:-1]])  # the first of each run of borders
         border = not letter[-1]
@@ -47,8 +50,8 @@ def profile(text: str | None) -> np.ndarray | None:
                 h = (h ^ c[begin + i : len(c) - n + 1 + i]) * np.uint32(0x01000193) + np.uint32(mul)
             counts += np.bincount((h ^ (h >> np.uint32(15))) & np.uint32(SIZE - 1), minlength=SIZE)
         tail = c[-2:]
-        if at + CHUNK >= len(text) and not any_letter(counts):
-            return None
+    if not any_letter:
+        return None
     norm = np.sqrt(counts.sum())
     return np.sqrt(counts) / norm
 
@@ -64,19 +67,6 @@ def letters(code: np.ndarray) -> np.ndarray:
     return _letter[code]
 
 
-#: Where a text of nothing but borders counts.
-_only = None
-
-
-def any_letter(counts: np.ndarray) -> bool:
-    global _only
-    if _only is None:
-        h = (np.uint32(0) ^ np.uint32(32)) * np.uint64(0x01000193) + np.uint64(1) & np.uint64(0xFFFFFFFF)
-        h = np.uint32(h)
-        _only = int((h ^ (h >> np.uint32(15))) & np.uint32(SIZE - 1))
-    return counts.sum() > counts[_only]
-
-
 def svm(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, c: float = 10.0, passes: int = 60, seed: int = 42) -> np.ndarray:
     """Weights, and last the bias, of a linear SVM (hinge loss, L2) by dual coordinate descent over
     sparse rows (places, values); y is -1 or 1."""
@@ -175,24 +165,31 @@ def profiled(rows: DataFrame) -> DataFrame:
     return rows.select("text", "lang").mapInPandas(of, "lang string, at binary, v binary")
 
 
+def chosen(scratch: Scratch, rows: DataFrame, sample: int, seed: int) -> DataFrame:
+    """lang and text of the rows that are learned from (see fit)."""
+    h = [F.xxhash64(F.lit(seed + i), "key", "text").alias(f"h{i}") for i in range(2)]
+    rows = rows.where("lang is not null and text is not null").select("lang", "text", *h)
+    kinds = scratch.table(rows.select("lang", "h0", "h1").distinct(), "kinds")
+    counts = kinds.groupBy("lang").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("c"), "lang").limit(sample)
+    counts = scratch.table(counts, "counts")
+    most = max(1, sample // max(1, counts.count()))
+    # different rows have uniform hashes: about 2 x `most` of a language lie below this, and only they are ranked
+    under = F.least(F.lit(1.0), F.lit(2.0 * most + 100) / F.col("c"))
+    low = kinds.join(F.broadcast(counts.select(F.col("lang").alias("l"), under.alias("under"))), F.col("lang") == F.col("l"))
+    low = low.where((F.col("h0") / 2.0**64 + 0.5) <= F.col("under")).select("lang", "h0", "h1")
+    first = low.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h0", "h1"))).where(F.col("r") <= most).drop("r")
+    # `sample` rows of two hashes at most
+    return rows.join(F.broadcast(scratch.table(first, "first")), ["lang", "h0", "h1"]).groupBy("lang", "h0", "h1").agg(F.min("text").alias("text")).select("lang", "text")
+
+
 def fit(rows: DataFrame, sample: int = 4000, seed: int = 42) -> Model:
-    """Learns from (key, text, lang) rows with a language: of each language the `sample` / number
-    of languages rows, at most, that have the smallest seeded hash of key and text. What goes to
-    the driver is bounded by `sample` profiles of 64 KB each."""
-    rows = rows.where("lang is not null and text is not null").select("lang", "text", F.xxhash64(F.lit(seed), "key", "text").alias("h"))
-    counts = rows.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("c"))
-    n = counts.count()
-    if not n:
-        return Model([], [])
-    few = lambda df: F.broadcast(df) if n <= 10_000 else df  # noqa: E731  a row for each language
-    most = max(1, sample // n)
-    # hashes are uniform: about 2 x `most` rows of a language lie below this, and only they are ranked
-    counts = counts.withColumn("under", F.least(F.lit(1.0), F.lit(2.0 * most + 100) / F.col("c")))
-    low = rows.select("lang", "h").join(few(counts), F.col("lang") == F.col("l")).where((F.col("h") / 2.0**64 + 0.5) <= F.col("under"))
-    first = low.select("lang", "h").withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-    least = first.where(F.col("r") <= most).groupBy("lang").agg(F.max("h").alias("top")).withColumnRenamed("lang", "l")
-    chosen = rows.join(few(least), (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
-    got = profiled(chosen).orderBy("lang", "at", "v").collect()
+    """Learns from (key, text, lang) rows with a language. Rows that repeat all three count once. Of
+    each language it takes the `sample` / number of languages rows, at most, that have the smallest
+    seeded hash of key and text; of over `sample` languages, the `sample` that have most rows (ties
+    by name). So `sample` profiles, of 64 KB at most each, go to the driver, however rows repeat."""
+    scratch = Scratch(rows.sparkSession, "language")
+    got = profiled(chosen(scratch, rows, sample, seed)).orderBy("lang", "at", "v").collect()
+    scratch.drop()
     return Model([(np.frombuffer(r["at"], np.int32), np.frombuffer(r["v"], np.float32)) for r in got], [r["lang"] for r in got])
 
 
@@ -210,7 +207,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     of.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     out = F.pandas_udf(of, "lang_pred string, score double")
-    return docs.withColumn("__p", out(F.col(text))).select(*docs.columns, "__p.lang_pred", "__p.score")
+    return docs.select(F.struct("*").alias("row"), out(F.col(text)).alias("p")).select("row.*", "p.lang_pred", "p.score")
 
 
 def identify(spark: SparkSession, docs: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:

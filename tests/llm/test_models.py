@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leadlink.llm import language, mixing, quality, sharding, tokens
+from leadlink.llm import common, language, mixing, quality, sharding, tokens
 
 DIR = "/root/testdata/sf0.001"
 WORDS = [f"w{i}" for i in range(40)]
@@ -294,3 +294,69 @@ def test_pipeline_stages(spark, tmp_path):
     ids = [reference_ids(r["text"]) for r in mix]
     rows = spark.read.parquet(f"file://{tmp_path}/4").orderBy("start").collect()
     assert [(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rows] == [(m["doc_id"], len(x), zlib.crc32(x.tobytes())) for m, x in zip(mix, ids)]
+
+
+# ---- language: what is learned, against plain loops ----
+def plain_profile(text):
+    signs, last = [], True
+    for c in text.lower():
+        letter = c.isalpha()
+        if letter or not last:
+            signs.append(ord(c) if letter else 32)
+        last = not letter
+    if not any(x != 32 for x in signs):
+        return None
+    counts = np.zeros(language.SIZE)
+    for n, mul in ((1, 1), (2, 0x9E3779B1), (3, 0x85EBCA77)):
+        for i in range(len(signs) - n + 1):
+            h = 0
+            for x in signs[i : i + n]:
+                h = ((h ^ x) * 0x01000193 + mul) & 0xFFFFFFFF
+            counts[(h ^ h >> 15) % language.SIZE] += 1
+    return np.sqrt(counts / counts.sum())
+
+
+def test_profile_against_loop():
+    rng = random.Random(16)
+    for t in ["a", "Ab, c!", " x ", "12", "\n", "勱", "掭", "輖", "㺱", *["".join(rng.choices("abé Ü1,\n日", k=40)) for _ in range(50)]]:
+        got, want = language.profile(t), plain_profile(t)
+        assert (got is None) == (want is None) and (want is None or np.allclose(got, want)), repr(t)
+
+
+def test_repeated_rows_take_no_other_language_away(spark, docs):
+    rng = random.Random(17)
+    fr = texts_of(rng, "fghij", 60)
+    texts = [texts_of(rng, "abcde", 1)[0]] * 3000 + fr + texts_of(rng, "abcde", 30)
+    langs = ["en"] * 3000 + ["fr"] * 60 + ["en"] * 30
+    df = docs(texts, [7] * 3000 + list(range(100, 190)), lang=langs).withColumnRenamed("doc_id", "key")
+    got = language.chosen(common.Scratch(spark, "t"), df, 40, 42).collect()
+    assert {k: sum(r["lang"] == k for r in got) for k in ("en", "fr")} == {"en": 20, "fr": 20}
+    assert len({r["text"] for r in got}) == 40
+    # more languages than the sample has rows: those with most rows
+    many = docs([f"t{i}" for i in range(30)], lang=[f"l{i // 3:02}" for i in range(30)]).union(docs(["x", "y"], [90, 91], lang=["l05", "l07"])).withColumnRenamed("doc_id", "key")
+    assert sorted(r["lang"] for r in language.chosen(common.Scratch(spark, "t"), many, 3, 42).collect()) == ["l00", "l05", "l07"]
+
+
+def test_votes_against_loop():
+    rng = np.random.default_rng(18)
+    x = [(np.sort(rng.choice(language.SIZE, 9, False)).astype(np.int32), rng.random(9).astype(np.float32)) for _ in range(60)]
+    model = language.Model(x, [f"l{i % 6}" for i in range(60)])
+    for at, v in x:
+        whole = np.zeros(language.SIZE + 1)
+        whole[at], whole[-1] = v, 1
+        g = int(np.argmax([w @ whole for w in model.family]))
+        wins, margins = {i: 0 for i in model.groups[g]}, {i: 0.0 for i in model.groups[g]}
+        for (a, b), w in model.pairs.items():
+            if a in wins:
+                wins[a if w @ whole >= 0 else b] += 1
+                margins[a] += w @ whole
+                margins[b] -= w @ whole
+        want = sorted(wins, key=lambda i: (-wins[i], -margins[i], i))[0]
+        name, score = model.predict(whole[:-1])
+        assert name == model.names[want] and 0 <= score <= 1
+
+
+def test_language_odd_rows(spark, docs):
+    assert language.identify(spark, docs([])).count() == 0
+    rows = language.identify(spark, docs(["abc abc", "abc abc", "x" * 600_000, None], [1, 1, 2, 2], lang=["aa", "aa", "bb", "bb"])).collect()
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in rows) == [(1, "aa"), (1, "aa"), (2, "bb"), (2, "und")]
