@@ -2,7 +2,6 @@
 
 import functools
 import heapq
-import itertools
 import os
 import random
 import zlib
@@ -64,16 +63,49 @@ def test_shards(spark, docs):
 
 
 # ---- mixing ----
-def test_knapsack_against_all_sums():
+def largest_sum(items, budget):
+    sums = {0}
+    for n, c in items:
+        for _ in range(c):
+            sums |= {x + n for x in sums if x + n <= budget}
+    return max(sums)
+
+
+@pytest.mark.parametrize("way", [mixing.dense, mixing.sparse, mixing.knapsack])
+def test_knapsack_against_all_sums(way):
     rng = random.Random(3)
     for _ in range(200):
         items = [(rng.randint(1, 12), rng.randint(1, 4)) for _ in range(4)]
-        items = list(dict(items).items())
+        items = sorted(dict(items).items())
         budget = rng.randint(0, 60)
-        got = mixing.knapsack(items, budget)
-        sums = {sum(n * k for (n, _), k in zip(items, ks)) for ks in itertools.product(*[range(c + 1) for _, c in items])}
+        got = way([x for x in items if x[0] <= budget], budget)
         assert all(got.get(n, 0) <= c for n, c in items)
-        assert sum(n * k for n, k in got.items()) == max(s for s in sums if s <= budget)
+        assert sum(n * k for n, k in got.items()) == largest_sum(items, budget)
+
+
+@pytest.mark.parametrize("most, kinds", [(40, 8), (5000, 8), (1_000_000, 8), (10_000_000, 5)])
+def test_fit_against_all_sums(most, kinds):
+    rng = random.Random(most)
+    for _ in range(30):
+        lengths = sorted({rng.randint(1, most): rng.choice([1, 1, 2]) for _ in range(kinds)}.items())
+        total = sum(n * c for n, c in lengths)
+        budget = rng.randint(0, total - 1)
+        got = mixing.fit(lengths, budget, total)
+        assert all(0 <= got.get(n, 0) <= c for n, c in lengths)
+        assert sum(n * k for n, k in got.items()) == largest_sum(lengths, budget)
+    assert mixing.weight(mixing.fit([(290000, 1), (400000, 1)], 300000, 690000)) == 290000
+    assert mixing.weight(mixing.fit([(1_000_000 + i, 1) for i in range(3)], 1_020_000, 3_000_003)) == 1_000_002
+
+
+def test_fit_of_many_documents():
+    rng = random.Random(9)
+    for top in (300, 20_000, 3_000_000):
+        lengths = sorted({rng.randint(top // 100, top): rng.randint(1, 50) for _ in range(400)}.items())
+        total = sum(n * c for n, c in lengths)
+        for budget in (total // 7, total // 2, total - 11):
+            got = mixing.fit(lengths, budget, total)
+            assert all(got[n] <= c for n, c in lengths if n in got)
+            assert 0 <= budget - mixing.weight(got) <= 1 + budget // 100_000
 
 
 def water(sizes):
@@ -99,7 +131,7 @@ def test_targets_against_loop(spark):
     for _ in range(5):
         sizes = [rng.choice([0, 1, 5, 100, 1000]) * rng.randint(1, 9) for _ in range(rng.randint(1, 9))]
         df = spark.createDataFrame([(f"s{i}", x) for i, x in enumerate(sizes)], "source string, source_size long")
-        got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
+        got = {r["source"]: r["target"] for r in mixing.targets(common.Scratch(spark, "t"), df).collect()}
         assert [got[f"s{i}"] for i in range(len(sizes))] == pytest.approx(water(sizes))
 
 
@@ -125,6 +157,21 @@ def test_mix(spark, docs):
     assert {r["doc_id"]: r["n"] for r in out.groupBy("doc_id").agg(F.count("*").alias("n")).collect()} == times
 
 
+def test_mixed_rows_that_repeat(spark, docs):
+    rng = random.Random(10)
+    texts = ["one two three"] * 40 + [prose(rng, 5) for _ in range(9)] + [None, " "]
+    ids = [3] * 40 + list(range(100, 111))
+    df = docs(texts, ids, source=["a"] * 30 + [None] * 10 + ["b"] * 9 + ["c", "c"]).withColumnRenamed("n_chars", "base").withColumnRenamed("h1", "once")
+    out = mixing.mixed(spark, df)
+    assert out.columns == df.columns
+    want = {}
+    for r in mixing.mix(spark, df).collect():
+        want[r["doc_id"]] = want.get(r["doc_id"], 0) + (r["taken"] // r["size"] if r["size"] else 0)
+    got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert got == {k: v for k, v in want.items() if v}
+    assert mixing.mix(spark, docs([])).count() == 0 and mixing.mixed(spark, docs([])).count() == 0
+
+
 # ---- tokens ----
 def test_blocks_round_trip():
     rng = np.random.default_rng(1)
