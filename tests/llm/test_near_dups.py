@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leadlink.llm import common, decontaminate, embeddings, lines, simhash, suffixes
+from leadlink.llm import common, decontaminate, embeddings, lines, quality, simhash, suffixes
 
 WORDS = [f"w{i}" for i in range(40)]
 
@@ -288,3 +288,31 @@ def test_clean_with_null_and_repeated_doc_ids(spark, docs):
     rows = [(None, f"start {item} end"), (None, "clean " * 9), (3, f"more {item}"), (3, "also clean"), (4, None)]
     kept = decontaminate.clean(spark, docs([t for _, t in rows], [i for i, _ in rows]), b).collect()
     assert {(r["doc_id"], r["text"]) for r in kept} == {rows[1], rows[3], rows[4]}
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    rng = random.Random(20)
+    item = prose(rng, 30)
+    texts = [prose(rng, 60) for _ in range(6)] + [f"x {item} y", None, ""]
+    df = docs(texts).selectExpr("doc_id", "text", "lang AS row", "source AS k0", "n_chars AS k1", "h1 AS n", "size AS score", "r AS b0", "rank AS label", "'a' AS __bad", "1 AS __id", "2 AS __score", "3 AS __n")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+    for out, gone in ((simhash.keep_one(spark, df), {8}), (decontaminate.clean(spark, df, items), {6}), (quality.accepted(spark, df, labels, 0.0), set())):
+        assert out.columns == df.columns
+        assert {r["doc_id"] for r in out.collect()} == set(range(9)) - gone
+        assert {(r["__bad"], r["__id"], r["__score"], r["__n"]) for r in out.collect()} == {("a", 1, 2, 3)}
+
+
+def test_hot_keys_are_spread(spark):
+    rows = spark.range(3000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id")
+    table = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("low"))
+    got = common.spread(rows, table, ["k"], "n", 3000)
+    assert sorted(map(tuple, got.select("k", "id", "low").collect())) == sorted(map(tuple, rows.join(table, "k").select("k", "id", "low").collect()))
+
+
+def test_scratch_goes_when_released(spark):
+    with common.released():
+        s = common.Scratch(spark, "t")
+        assert s.table(spark.range(3), "a").count() == 3
+    path = spark._jvm.org.apache.hadoop.fs.Path(s.path)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
