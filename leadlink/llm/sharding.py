@@ -14,7 +14,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, ranks, text_key
+from .common import Scratch, ranks, spread, text_key
 
 
 def schedule(loads, shards: int, start=None):
@@ -64,7 +64,8 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 8, doc_id: str = "
     )
     rows = scratch.table(rows, "rows")
     groups = rows.groupBy("h1", "h2", "size").agg(F.count(F.lit(1)).alias("n")).withColumn("load", F.col("n") * F.col("size"))
-    groups = scratch.table(ranks(groups, ["load"], ["h1", "h2", "size"], "r"), "groups")
+    total = rows.count()
+    groups = scratch.table(ranks(groups, ["load"], ["h1", "h2", "size"], "r", total=total), "groups")
     loads = groups.groupBy("load").agg(F.count(F.lit(1)).alias("n"))
 
     def plan(batches):
@@ -84,11 +85,11 @@ def shard(spark: SparkSession, docs: DataFrame, shards: int = 8, doc_id: str = "
             yield pd.DataFrame(held, columns=["load", "shard", "low", "high"])
 
     dealt = loads.repartition(1).sortWithinPartitions(F.desc("load")).mapInPandas(plan, "load long, shard int, low long, high long")
-    spans = dealt.groupBy("load").agg(F.array_sort(F.collect_list(F.struct("low", "high", "shard"))).alias("spans"))
+    spans = dealt.groupBy("load").agg(F.array_sort(F.collect_list(F.struct("low", "high", "shard"))).alias("spans"), F.sum(F.col("high") - F.col("low")).alias("c"))
     where = F.filter("spans", lambda s: (s["low"] <= F.col("r")) & (F.col("r") < s["high"]))[0]["shard"]
-    of = groups.join(spans, "load").select("h1", "h2", "size", where.alias("shard"))
-    placed = scratch.table(rows.join(of, ["h1", "h2", "size"]), "placed")
-    return ranks(placed, ["shard"], ["doc_id", "h1", "h2"], "slot").select("doc_id", "size", "text_crc32", "shard", "slot")
+    of = spread(groups, scratch.table(spans, "spans"), ["load"], "c", total).select("h1", "h2", "size", "n", where.alias("shard"))
+    placed = scratch.table(spread(rows, scratch.table(of, "of"), ["h1", "h2", "size"], "n", total), "placed")
+    return ranks(placed, ["shard"], ["doc_id", "h1", "h2"], "slot", total=total).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
