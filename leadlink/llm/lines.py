@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_key
+from .common import Scratch, spread, text_key
 
 LINES = 3
 
@@ -37,8 +37,9 @@ def deduplicate(spark: SparkSession, docs: DataFrame, size: int = LINES, doc_id:
     found = cut.select("doc_id", "k1", "k2", F.explode(F.expr(windows("l", size))).alias("w"))
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("k1").alias("i"), F.col("k2").alias("j"), F.col("w.p").alias("p"))
     rows = scratch.table(found.select(F.col("w.a").alias("a"), F.col("w.b").alias("b"), order.alias("o")), "windows")
-    repeated = rows.groupBy("a", "b").agg(F.min("o").alias("first"), F.max("o").alias("last")).where("first <> last")
-    later = rows.join(repeated.drop("last"), ["a", "b"]).where("o <> first").select("o.*")
+    repeated = rows.groupBy("a", "b").agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count(F.lit(1)).alias("n")).where("first <> last")
+    repeated = scratch.table(repeated.drop("last"), "repeated")
+    later = spread(rows, repeated, ["a", "b"], "n", rows.count()).where("o <> first").select("o.*")
     marks = later.groupBy("z", "d", "i", "j").agg(F.collect_set("p").alias("marks"))
     joined = own.join(marks, own["doc_id"].eqNullSafe(marks["d"]) & (own["k1"] == marks["i"]) & (own["k2"] == marks["j"]), "left")
     # positions of removed lines: the union of the windows, in order
