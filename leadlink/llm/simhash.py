@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, text_key
+from .common import Scratch, components, spread, text_key
 
 BITS = 64
 
@@ -184,12 +184,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, radius
     scratch = Scratch(spark, "simhash")
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = scratch.table(fingerprints(own, words=words).drop("text"), "prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    nodes = scratch.table(prints.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")), "nodes")
     label = components(scratch, links(scratch, nodes.select("fp"), radius, dense), "u", "v")
-    named = nodes.join(label, nodes["fp"] == label["node"], "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))
-    low = named.groupBy("label").agg(F.min("low").alias("component_id"))
-    of = named.join(low, "label").select("fp", "component_id")
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    named = scratch.table(nodes.join(label, nodes["fp"] == label["node"], "left").select("fp", "n", "low", F.coalesce("label", "fp").alias("label")), "named")
+    low = scratch.table(named.groupBy("label").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("c")), "low")
+    of = scratch.table(spread(named, low, ["label"], "c", nodes.count()).select("fp", "n", "component_id"), "of")
+    return spread(prints, of, ["fp"], "n", prints.count()).select("doc_id", "fp", "component_id")
 
 
 # ---- similar texts: candidates that can reach a Jaccard similarity, near by fingerprint, verified ----
@@ -379,7 +379,8 @@ def verified(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, s
 
 
 def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
-    """doc_id, text and label of every row of docs: rows have one label if links connect them.
+    """doc_id, (k1, k2) (the key of the text) and label of every row of docs: rows have one label if
+    links connect them.
 
     Linked are texts of equal words, and pairs with a Jaccard similarity of distinct shingles of at
     least `share`. Candidates share a hash of their prefixes, which loses no such pair, and are near
@@ -400,7 +401,11 @@ def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float =
     apart = apart.union(crowd.mapInPandas(buckets(["node", "s0", "s1", "label"], across), "kind int, u long, v long").select("u", "v"))
     links = links.union(verified(scratch, apart, rows, words, share, "second"))
     label = components(Scratch(spark, "similar-all"), links, "u", "v")
-    return rows.join(label, "node", "left").select("doc_id", "text", F.coalesce("label", "node").alias("label"))
+    h1, h2 = text_key(F.col("text"))
+    narrow = rows.select("doc_id", h1.alias("k1"), h2.alias("k2"), "node")
+    times = narrow.groupBy(F.col("node").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    of = scratch.table(times.join(label, F.col("x") == F.col("node"), "left").select(F.col("x").alias("node"), "n", F.coalesce("label", "x").alias("label")), "of")
+    return spread(narrow, of, ["node"], "n", rows.count()).select("doc_id", "k1", "k2", "label")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, share: float = 0.8) -> DataFrame:
@@ -408,13 +413,14 @@ def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, share: float
     rows of one doc_id in the group, that with the smallest hash of its text). Rows with a null
     doc_id cannot be named as one of a group and stay as they are."""
     named = docs.where("doc_id is not null")
+    best = similar(spark, named, words, share).groupBy("label").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("b")).select("b.*")
+    best = best.withColumnsRenamed({"doc_id": "b0", "k1": "b1", "k2": "b2"})
     h1, h2 = text_key(F.col("text"))
-    best = similar(spark, named, words, share).groupBy("label").agg(F.min(F.struct("doc_id", h1.alias("k1"), h2.alias("k2"))).alias("b"))
-    best = best.select(F.col("b.doc_id").alias("__id"), F.col("b.k1").alias("__1"), F.col("b.k2").alias("__2"))
-    kept = named.join(best, (F.col("doc_id") == F.col("__id")) & (h1 == F.col("__1")) & (h2 == F.col("__2")), "left_semi")
-    order = Window.partitionBy("doc_id", h1, h2).orderBy(F.xxhash64(*docs.columns))
-    kept = kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
-    return kept.union(docs.where("doc_id is null"))
+    rows = named.select(F.struct("*").alias("row"), F.col("doc_id").alias("k0"), h1.alias("k1"), h2.alias("k2"))
+    kept = rows.join(best, (F.col("k0") == F.col("b0")) & (F.col("k1") == F.col("b1")) & (F.col("k2") == F.col("b2")), "left_semi")
+    # one of rows that repeat both doc_id and text
+    kept = kept.withColumn("n", F.row_number().over(Window.partitionBy("k0", "k1", "k2").orderBy(F.xxhash64("row"))))
+    return kept.where("n = 1").select("row.*").union(docs.where("doc_id is null"))
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
