@@ -98,9 +98,11 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, size:
 
 def clean(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, as they are, in which no item was found (by doc_id, null or not, and text)."""
-    bad = matches(spark, docs, items).select(F.col("doc_id").alias("__bad"), F.col("k1").alias("__1"), F.col("k2").alias("__2")).distinct()
+    bad = matches(spark, docs, items).select(F.col("doc_id").alias("b0"), F.col("k1").alias("b1"), F.col("k2").alias("b2")).distinct()
     h1, h2 = text_key(F.col("text"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")) & (h1 == F.col("__1")) & (h2 == F.col("__2")), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("k0"), h1.alias("k1"), h2.alias("k2"))
+    same = F.col("k0").eqNullSafe(F.col("b0")) & (F.col("k1") == F.col("b1")) & (F.col("k2") == F.col("b2"))
+    return rows.join(bad, same, "left_anti").select("row.*")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -316,7 +316,8 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int
 def accepted(spark: SparkSession, docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of docs, as they are, that score at least `least`."""
     table, network = learned(spark, docs.select("doc_id", "text"), labels)
-    return scored(docs, table, network, out="__score").where(F.col("__score") >= least).drop("__score")
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return scored(rows, table, network).where(F.col("score") >= least).select("row.*")
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
