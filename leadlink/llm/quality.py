@@ -2,11 +2,12 @@
 
 Random indexing: a word's index vector is a sparse ternary vector that follows from its hash, and
 its context vector is the sum, over the whole corpus, of the index vectors of its neighbours. Words
-share a fixed number of context vectors by hash, so the table is bounded; sums are of integers, so
-they are the same in any order. A word's vector is its context vector, scaled to length 1, beside
-the index vectors of its surface (shape, beginning, end). A document is the mean over its words
-and the mean over its distinct words. A network of two layers scores it; its logits are divided by
-a temperature fitted on labels that training did not see.
+share a fixed number of context vectors by hash (BUCKETS of 192 bytes: 12.6 MB), so the table is
+bounded; sums are of integers, so they are the same in any order. A word's vector is its context
+vector, scaled to length 1. A document is the mean over its words and the mean over its distinct
+words, beside its length and its shares of new and of repeated words. A network of two layers
+scores it; its logits are divided by a temperature fitted on labels that neither training nor the
+choice of the epoch saw.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-BUCKETS, DIM, SPARSE = 4096, 48, 6
-SURFACE = 1024
-FEATURES = 4 * DIM + 3
+BUCKETS, DIM, SPARSE = (1 << 16) - 1, 48, 6
+FEATURES = 2 * DIM + 3
 CACHE = 200_000
 CHUNK = 1 << 18
 
@@ -42,35 +42,6 @@ def bucket(word: str) -> int:
     return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
 
 
-def shape(word: str) -> str:
-    """Kinds of characters in their order, runs as one; up to 6 kinds."""
-    out = ""
-    for c in word[:24]:
-        k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        if not out.endswith(k):
-            out += k
-    return out[:6]
-
-
-class Marks(dict):
-    """Surface buckets of marks, and of the shapes of words."""
-
-    def __missing__(self, mark: str) -> int:
-        if len(self) > CACHE:
-            self.clear()
-        self[mark] = found = zlib.crc32(mark.encode("utf-8", "surrogatepass")) % SURFACE
-        return found
-
-    def of(self, w: str) -> tuple[int, int, int]:
-        if w.isalpha() and w.islower():
-            s = "sa"  # the usual case of shape()
-        elif w[:-1].isalpha() and w[:-1].islower() and len(w) <= 24 and not w[-1].isalnum():
-            s = "sa" + w[-1]
-        else:
-            s = "s" + shape(w)
-        return self[s], self["b" + w[:2].lower()], self["e" + w[-2:].lower()]
-
-
 class Ids(dict):
     """Words' buckets; starts anew once it is large."""
 
@@ -129,11 +100,12 @@ def contexts(docs: DataFrame, text: str = "text", reach: int = 2) -> np.ndarray:
                 np.subtract.at(total, a, index[b].astype(np.int64))
 
     names = [f"d{i}" for i in range(DIM)]
+    # one row for each bucket
     parts = docs.select(F.col(text).alias("t")).mapInPandas(count, "b long, " + ", ".join(f"{n} long" for n in names))
     out = np.zeros((BUCKETS, DIM), np.float32)
-    for row in parts.groupBy("b").agg(*[F.sum(n).alias(n) for n in names]).collect():
-        v = np.array(row[1:], np.float64)
-        out[row[0]] = v / max(np.linalg.norm(v), 1e-12)
+    got = parts.groupBy("b").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    sums = np.stack([got.column(n).to_numpy() for n in names], 1).astype(np.float64).reshape(-1, DIM)
+    out[got.column("b").to_numpy()] = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     return out
 
 
@@ -150,13 +122,11 @@ class Places(dict):
 
 
 class Pooler:
-    """Features of texts: 2 x (DIM of context and DIM of surface), the length, and the shares of
+    """Features of texts: DIM for all words, DIM for distinct ones, the length, and the shares of
     words that are new and that repeat the word before."""
 
     def __init__(self, table: np.ndarray):
-        self.table, self.surface = table, index_vectors(SURFACE, seed=7).astype(np.float32) / np.sqrt(SPARSE)
-        self.places, self.marks = Places(), Marks()
-        self.rows = np.zeros((1024, 2 * DIM), np.float32)
+        self.table, self.places, self.rows = table, Places(), np.zeros((1024, DIM), np.float32)
 
     def learn(self) -> None:
         """Vectors of the words that have just got their place."""
@@ -165,14 +135,11 @@ class Pooler:
             end = len(self.places)
             while end > len(self.rows):
                 self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
-            own = self.rows[end - len(new) : end]
-            own[:, :DIM] = self.table[[bucket(w) for w in new]]
-            marks = np.array(list(map(self.marks.of, new)))
-            own[:, DIM:] = self.surface[marks[:, 0]] + self.surface[marks[:, 1]] + self.surface[marks[:, 2]]
+            self.rows[end - len(new) : end] = self.table[[bucket(w) for w in new]]
 
     def features(self, text: str | None) -> np.ndarray:
         words = text.split() if text else []
-        total, kind, kinds = np.zeros(2 * DIM), np.zeros(2 * DIM), len(set(words))
+        total, kind, kinds = np.zeros(DIM), np.zeros(DIM), len(set(words))
         if len(self.places) + kinds > CACHE:
             self.places.clear()
         if kinds <= CACHE:
@@ -209,7 +176,8 @@ def pooler(table: np.ndarray) -> Pooler:
 
 
 class Network:
-    """Two layers, tanh and logistic, by Adam; then the temperature."""
+    """Two layers, tanh and logistic, by Adam. Of the rows, 70 % train, 15 % choose the epoch, and
+    15 % fit the temperature."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, hidden: int = 32, passes: int = 60, seed: int = 42):
         rng = np.random.default_rng(seed)
@@ -220,7 +188,8 @@ class Network:
             return
         x = (x - self.mean) / self.scale
         order = rng.permutation(len(x))
-        held, own = order[: len(x) // 5], order[len(x) // 5 :]
+        part = len(x) * 3 // 20
+        held, last, own = order[:part], order[part : 2 * part], order[2 * part :]
         self.p = [rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.zeros(1)]
         m, v, step = [0 * a for a in self.p], [0 * a for a in self.p], 0
         weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) ** 0.5
@@ -243,10 +212,10 @@ class Network:
                 if loss < best:
                     best, kept = loss, [a.copy() for a in self.p]
         self.p = kept or self.p
-        if len(held):
-            z = self.logits(x[held])
+        if len(last):
+            z = self.logits(x[last])
             grid = np.exp(np.linspace(-2, 3, 101))
-            self.temperature = float(min(grid, key=lambda t: np.mean(np.logaddexp(0, z / t) - y[held] * z / t)))
+            self.temperature = float(min(grid, key=lambda t: np.mean(np.logaddexp(0, z / t) - y[last] * z / t)))
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh(x @ self.p[0] + self.p[1]) @ self.p[2] + self.p[3]
@@ -260,8 +229,9 @@ class Network:
 
 def learned(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = 12_000, seed: int = 42) -> tuple[np.ndarray, Network]:
     """The table of context vectors, from all of docs, and the network, from the `sample` labelled
-    documents at most whose doc_id has the smallest seeded hash (features of 1.5 KB each go to the
-    driver). Rows with null doc_id, null label, or labels that contradict each other, are left out."""
+    doc_ids at most that have the smallest seeded hash (features of 400 bytes each go to the
+    driver). Where rows repeat a doc_id, the text with the smallest hash stands for it. Rows with
+    null doc_id, null label, or labels that contradict each other, are left out."""
     table = contexts(docs)
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("top")).where("y = top")
     known = known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("k"), "y")
@@ -275,8 +245,9 @@ def learned(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int
             yield pd.DataFrame({"k": p["k"], "y": p["y"], "x": [own.features(t).astype("<f4").tobytes() for t in p["text"]]})
 
     # the labels are `sample` rows of two numbers at most
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("k")).select("k", "y", "text")
-    got = rows.mapInPandas(pooled, "k long, y int, x binary").orderBy("k", "x").limit(2 * sample).collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("k"))
+    rows = rows.groupBy("k").agg(F.min("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("k", "y", "t.text")
+    got = rows.mapInPandas(pooled, "k long, y int, x binary").orderBy("k").collect()
     x = np.array([np.frombuffer(r["x"], "<f4") for r in got], np.float64).reshape(len(got), FEATURES)
     return table, Network(x, np.array([r["y"] for r in got], np.float64))
 

@@ -294,10 +294,49 @@ def test_contexts_against_loop(spark, docs, monkeypatch):
     assert np.allclose(quality.contexts(docs(texts)), want / norm, atol=1e-6)
 
 
-def test_usual_shapes():
-    m = quality.Marks()
-    for w in ["word", "Word", "WORD", "word.", "a", "A", "é", "x1", "1", "$$", "word$$$", "don't", "w" * 40, "w" * 40 + "."]:
-        assert m.of(w)[0] == m["s" + quality.shape(w)]
+def plain_features(text, table):
+    """One vector a document, by plain loops over its words."""
+    words = text.split() if text else []
+    kinds = sorted(set(words))
+    mean = lambda some: sum((table[quality.bucket(w)].astype(float) for w in some), np.zeros(quality.DIM)) / max(len(some), 1)
+    repeats = sum(a == b for a, b in zip(words, words[1:]))
+    return np.concatenate([mean(words), mean(kinds), [np.log1p(len(words)) / 10, len(kinds) / len(words) if words else 0, repeats / max(len(words), 1)]])
+
+
+@pytest.mark.parametrize("cache", [200_000, 7])
+def test_features_against_loop(cache, monkeypatch):
+    monkeypatch.setattr(quality, "CACHE", cache)
+    rng = random.Random(19)
+    table = np.random.default_rng(1).random((quality.BUCKETS, quality.DIM)).astype(np.float32)
+    own = quality.Pooler(table)
+    for t in [None, "", "a", "a a b", *[prose(rng, rng.randint(1, 90)) for _ in range(30)], " ".join(f"v{i % 700}" for i in range(40_000))]:
+        assert np.allclose(own.features(t), plain_features(t, table), atol=1e-4)
+
+
+def test_network_against_plain_steps():
+    """The same split, steps and choice of the epoch, one row at a time."""
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((120, 5))
+    y = (x[:, 0] - x[:, 1] + 0.3 * rng.standard_normal(120) > 0).astype(float)
+    net = quality.Network(x, y, hidden=4, passes=3)
+    z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+    logit = [sum(np.tanh(sum(r[i] * net.p[0][i, j] for i in range(5)) + net.p[1][j]) * net.p[2][j] for j in range(4)) + net.p[3][0] for r in z]
+    assert np.allclose(net.score(x), [1 / (1 + np.exp(-v / net.temperature)) for v in logit])
+    order = np.random.default_rng(42).permutation(120)
+    last = order[18:36]
+    loss = lambda t: np.mean([np.log1p(np.exp(-(2 * y[i] - 1) * logit[i] / t)) for i in last])
+    assert loss(net.temperature) <= min(loss(t) for t in np.exp(np.linspace(-2, 3, 101))) + 1e-9
+
+
+def test_repeated_and_long_documents_of_a_label(spark, docs):
+    rng = random.Random(21)
+    texts = [prose(rng, 30) if i % 2 else "".join(rng.choices("xyz ", k=90)) for i in range(60)] + ["long " * 300_000] * 2
+    df = docs(texts, [*range(60), 1, 1])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    rows = quality.classify(spark, df, labels).collect()
+    assert len(rows) == 62 and all(0 <= r["score"] <= 1 for r in rows)
+    again = quality.classify(spark, df.repartition(5), labels).collect()
+    assert np.allclose(sorted(r["score"] for r in rows), sorted(r["score"] for r in again), atol=1e-3)
 
 
 def test_quality(spark, docs):
