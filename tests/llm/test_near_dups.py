@@ -316,3 +316,25 @@ def test_scratch_goes_when_released(spark):
         assert s.table(spark.range(3), "a").count() == 3
     path = spark._jvm.org.apache.hadoop.fs.Path(s.path)
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+@pytest.mark.parametrize("inline", [20_000, 0])
+def test_containment_search_loses_nothing_at_the_share(spark, docs, inline, monkeypatch):
+    """Items of all sizes, each in a long document that holds the share or a little more or less."""
+    monkeypatch.setattr(decontaminate, "BLOCK", 500)
+    rng = random.Random(22)
+    word = lambda: f"v{rng.randrange(9000)}"
+    items, texts = [], []
+    for i in range(120):
+        w = [word() for _ in range(5 + i * i // 60)]
+        items.append(" ".join(w))
+        v = list(w)
+        for at in rng.sample(range(len(v)), round(len(v) * rng.choice([0, 0.02, 0.03, 0.04, 0.05]))):
+            v[at] = "gap"
+        texts.append(" ".join([*(word() for _ in range(rng.randrange(800))), *v, *(word() for _ in range(rng.randrange(800)))]))
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["n_shared"]) for r in decontaminate.contamination(spark, docs(texts), b, inline=inline).collect()}
+    want = {(i, i, brute_shared(texts[i], items[i])) for i in range(120)}
+    want = {(i, j, s) for i, j, (n, s) in want if n and s >= 0.8 * n - 1e-9}
+    assert got == want and 60 < len(want) < 115
+    assert sum(s < 0.9 * brute_shared(texts[i], items[i])[0] for i, _, s in want) > 10
