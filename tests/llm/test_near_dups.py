@@ -227,6 +227,14 @@ def test_vectors_against_brute_force(spark, cell):
     assert got[None] == (0, None, True)
 
 
+def test_vectors_at_the_very_cosine_and_repeated_ids(spark):
+    # 0.6 x 0.6 + 0.8 x 0.8 and the like: cosines of 0.96, 0.8, exactly; ties at the threshold link
+    rows = [(1, 0, [3.0, 4.0]), (2, 0, [4.0, 3.0]), (3, 0, [4.0, -3.0]), (4, 0, [3.0, 4.0]), (4, 0, [-3.0, -4.0]), (5, 1, [3.0, 4.0]), (6, 1, [4.0, 3.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = sorted(tuple(r) for r in embeddings.near_vectors(spark, df, cosine=0.96, width=1).collect())
+    assert got == [(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (4, 2, 1, False), (5, 1, 5, True), (6, 1, 5, False)]
+
+
 def test_empty_tables(spark, docs):
     none = docs([])
     assert simhash.near_duplicates(spark, none).count() == 0
