@@ -5,10 +5,13 @@ A byte goes if some string of `width` bytes around it starts earlier elsewhere.
 1. Windows of `width` bytes are dealt out by their minimizer (the 24 bytes in them with the least
    hash): equal windows have equal minimizers, at equal places. A run of windows with one minimizer
    is one string. A string whose minimizer occurs once is done; a string that occurs again, as a
-   whole, has all its bytes removed at every later place. What is left are different strings
-   around one minimizer, which may share windows.
-2. These strings are brought together by minimizer (a very common one gets a second key, the
-   bytes beside it), in batches. A batch is cut into shards; the
+   whole (by a hash of 128 bits, within those of one minimizer), has all its bytes removed at every
+   later place. What is left are different strings around one minimizer, which may share windows.
+2. A window reaches a given number of bytes to the left of its minimizer or the rest to the right. So
+   each string is cut in two, and the parts are brought together by these bytes; equal windows
+   still meet, and a part that stands alone is done. A group of over `crowd` parts is cut again by
+   half of the bytes that are left, and so on until groups are small or the key is the whole window,
+   of which the first stays. Other groups go in batches: a batch is cut into shards; the
    suffixes of each shard are sorted and give its Burrows-Wheeler transform. The transforms are
    merged by refining their interleave (Holt and McMillan, 2014): a vector says which shard each
    place of the merged order comes from; a stable sort of it by the transforms' symbols refines it
@@ -22,12 +25,13 @@ A byte goes if some string of `width` bytes around it starts earlier elsewhere.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, ranks, spread
 
 WIDTH, GRAM = 100, 24
 SLICE = 1 << 22
@@ -65,95 +69,92 @@ def strings(data: bytes, width: int):
 
 
 def finder(width: int):
-    """Rows (kind, m, s, d, t, start, n, a) of all texts: kind 1 for the first occurrence of a string
+    """Rows (kind, m, s, z, d, t, start, n, a) of all texts: kind 1 for the first occurrence of a string
     in this batch, kind 0 for stretches that repeat an earlier one of the batch."""
 
     def find(batches):
         import pandas as pd
-        from xxhash import xxh64_intdigest
+        from xxhash import xxh3_128_digest
 
         for p in batches:
             held = []
             for d, t, data in zip(p["d"].tolist(), p["t"].tolist(), p["data"]):
                 for m, starts, counts, place in strings(data, width):
-                    s = np.array([xxh64_intdigest(data[a : a + n + width - 1], 1) for a, n in zip(starts.tolist(), counts.tolist())], np.uint64).view(np.int64)
-                    held.append((m, s, np.full(len(m), d), np.full(len(m), t), starts, counts, place))
+                    s = np.frombuffer(b"".join([xxh3_128_digest(data[a : a + n + width - 1]) for a, n in zip(starts.tolist(), counts.tolist())]), np.int64).reshape(-1, 2)
+                    held.append((m, s[:, 0], s[:, 1], np.full(len(m), d), np.full(len(m), t), starts, counts, place))
             if held:
-                m, s, d, t, start, n, a = map(np.concatenate, zip(*held))
-                o = np.lexsort((start, t, d, s, m))
-                m, s = m[o], s[o]
-                first = np.concatenate([[True], (m[1:] != m[:-1]) | (s[1:] != s[:-1])])
+                m, s, z, d, t, start, n, a = map(np.concatenate, zip(*held))
+                o = np.lexsort((start, t, d, z, s, m))
+                m, s, z = m[o], s[o], z[o]
+                first = np.concatenate([[True], (m[1:] != m[:-1]) | (s[1:] != s[:-1]) | (z[1:] != z[:-1])])
                 # stretches that are done are not dealt by their minimizer, which may be a very common one
                 m = np.where(first, m, mixed(d[o].astype(np.uint64) * U(0x9E3779B97F4A7C15) + start[o].astype(np.uint64)).view(np.int64))
-                yield pd.DataFrame({"kind": first.astype(np.int32), "m": m, "s": s, "d": d[o], "t": t[o].astype(np.int32), "start": start[o], "n": n[o].astype(np.int32), "a": a[o].astype(np.int32)})
+                yield pd.DataFrame({"kind": first.astype(np.int32), "m": m, "s": s, "z": z, "d": d[o], "t": t[o], "start": start[o], "n": n[o].astype(np.int32), "a": a[o].astype(np.int32)})
 
     return find
 
 
-def sorter(crowd: int):
-    """Over rows sorted by (m, s, d, t, start): passes kind 0 on; makes later equal strings kind 0;
-    keeps the first of each string of a minimizer that has different ones, as kind 1, or as kind 2
-    where there are over `crowd`. It holds `crowd` rows of one minimizer at most."""
+def sorter():
+    """Over rows sorted by (m, s, z, d, t, start): passes kind 0 on; makes later equal strings kind 0;
+    keeps the first of each string of a minimizer that has different ones. It holds a batch and a
+    row at most."""
 
     def sort(batches):
         import pandas as pd
 
-        rest, crowded = None, None
+        last, pending = None, None  # the string before, and the first of its minimizer until another comes
         for p in batches:
             gone = p["kind"].to_numpy() == 0
             if gone.any():
-                yield p[gone].drop(columns="s")
+                yield p.loc[gone, OUT]
             p = p[~gone]
-            p = p if rest is None else pd.concat([rest, p], ignore_index=True)
             if not len(p):
                 continue
-            m = p["m"].to_numpy()
-            cut = int(np.searchsorted(m, m[-1]))  # the last minimizer may go on
-            yield from groups(p.iloc[:cut], crowd, crowded)
-            rest = p.iloc[cut:]
-            if len(rest) > crowd:
-                first = (rest["s"] != rest["s"].shift()).to_numpy()
-                first[:1] = True
-                yield as_kind(rest[~first], 0)
-                rest = rest[first]
-                if len(rest) > 1:
-                    yield as_kind(rest.iloc[:-1], 2)
-                    rest, crowded = rest.iloc[-1:], m[-1]
-        if rest is not None:
-            yield from groups(rest, crowd, crowded)
+            key = [p[c].to_numpy() for c in ("m", "s", "z")]
+            before = [np.concatenate([[x[0] if last is None else last[i]], x[:-1]]) for i, x in enumerate(key)]
+            new = before[0] != key[0]
+            first = new | (before[1] != key[1]) | (before[2] != key[2])
+            if last is None:
+                new[0] = first[0] = True
+            last = [x[-1] for x in key]
+            if not first.all():
+                yield p.loc[~first, OUT].assign(kind=np.int32(0))
+            q, new = p[first], new[first]
+            if not len(q):
+                continue
+            if not new[0] and pending is not None:
+                yield pending
+            # a string stays if another of its minimizer comes before or after it
+            follows = np.concatenate([~new[1:], [False]])
+            keep = ~new | follows
+            if keep.any():
+                yield q.loc[keep, OUT]
+            pending = None if keep[-1] else q[-1:][OUT]
 
     return sort
 
 
-def as_kind(p, kind):
-    return p.assign(kind=np.full(len(p), kind, np.int32)).drop(columns="s")
+OUT = ["kind", "m", "d", "t", "start", "n", "a"]
 
 
-def groups(p, crowd, crowded):
-    if len(p):
-        m, s = p["m"].to_numpy(), p["s"].to_numpy()
-        new = np.concatenate([[True], m[1:] != m[:-1]])
-        first = new | np.concatenate([[True], s[1:] != s[:-1]])
-        yield as_kind(p[~first], 0)
-        of = np.cumsum(new) - 1
-        n = np.bincount(of, weights=first)[of]
-        long = (n > crowd) | (m == crowded if crowded is not None else False)
-        yield as_kind(p[first & (n > 1) & ~long], 1)
-        yield as_kind(p[first & long], 2)
+def parts_of(width: int, row: str, ext: str, back: str) -> str:
+    """SQL for the two parts of a row (m, start, data, n, p, l), all of whose windows contain the l
+    bytes from the p-th of data on: windows that reach `ext` bytes or more to the left of these are
+    keyed by them and the bytes there, the others by them and `back` bytes to the right."""
+    cut = lambda at, n: f"substring({row}.data, CAST({at} AS INT) + 1, CAST({n} AS INT))"
+    part = lambda side, at, n, key, p, size: f"named_struct('m', xxhash64({row}.m, {side}, {key}), 'start', {row}.start + {at}, 'data', {cut(at, f'{n} + {width - 1}')}, 'n', CAST({n} AS INT), 'p', CAST({p} AS INT), 'l', CAST({size} AS INT))"
+    skip = f"greatest(0, {row}.p - {ext} + 1)"
+    left = part(0, "0", f"least({row}.n, {row}.p - {ext} + 1)", cut(f"{row}.p - {ext}", ext), f"{row}.p - {ext}", f"{row}.l + {ext}")
+    right = part(1, skip, f"({row}.n - {skip})", cut(f"{row}.p + {row}.l", back), f"({row}.p - {skip})", f"{row}.l + {back}")
+    return f"array_compact(array(CASE WHEN {row}.p >= {ext} THEN {left} END, CASE WHEN {row}.n > {skip} THEN {right} END))"
 
 
-def pieces(width: int) -> str:
-    """SQL for the strings to compare, with their key. Those of a crowded minimizer are cut in two:
-    windows that reach `ext` bytes or more to its left are keyed by these bytes, too, the others,
-    which reach as far to its right, by those. Equal windows still share a key."""
-    ext = (width - GRAM) // 2
-    part = lambda at, n: f"substring(data, CAST({at} AS INT) + 1, CAST({n} AS INT))"
-    row = lambda m, at, n: f"named_struct('m', {m}, 'start', {at}, 'data', {part(at, n)})"
-    skip = f"greatest(0, w.a - {ext - 1})"
-    left = row(f"xxhash64(w.m, 0, {part(f'w.start + w.a - {ext}', ext)})", "w.start", f"least(w.n, w.a - {ext} + 1) + {width - 1}")
-    right = row(f"xxhash64(w.m, 1, {part(f'w.start + w.a + {GRAM}', ext)})", f"w.start + {skip}", f"w.n - {skip} + {width - 1}")
-    return f"""CASE WHEN w.kind = 1 THEN array({row('w.m', 'w.start', f'w.n + {width - 1}')})
-      ELSE array_compact(array(CASE WHEN w.a >= {ext} THEN {left} END, CASE WHEN w.n > {skip} THEN {right} END)) END"""
+def narrower(rows: DataFrame, width: int) -> DataFrame:
+    """Rows (m, d, t, start, data, n, p, l) cut in two, by half of the bytes that a window has besides
+    the l that all windows of a row share."""
+    rows = rows.withColumn("e", F.expr(f"CAST(ceil(({width} - l) / 2) AS INT)")).withColumn("b", F.expr(f"{width} - l - e + 1"))
+    rows = rows.select("d", "t", F.struct("m", "start", "data", "n", "p", "l", "e", "b").alias("w"))
+    return rows.select("d", "t", F.explode(F.expr(parts_of(width, "w", "w.e", "w.b"))).alias("x")).select("x.m", "d", "t", "x.start", "x.data", "x.n", "x.p", "x.l")
 
 
 def shard_order(text: np.ndarray, after: np.ndarray, width: int) -> np.ndarray:
@@ -232,27 +233,51 @@ def repeated(parts: list[bytes], width: int = WIDTH, shards: int = 4) -> tuple[n
 
 def merger(width: int, batch: int):
     """Over rows (m, d, t, start, data) sorted by m: the stretches (d, t, start, n) of repeated
-    windows. Strings of whole minimizers are taken together up to `batch` bytes."""
+    windows. Parts that stand alone are left out; the others are taken group by group, together up
+    to `batch` bytes."""
 
     def merge(batches):
         import pandas as pd
 
-        held, size = [], 0
+        held, size, rest = [], 0, None
         for p in batches:
+            p = p if rest is None else pd.concat([rest, p], ignore_index=True)
+            if not len(p):
+                continue
             m = p["m"].to_numpy()
-            cuts = np.flatnonzero(m[1:] != m[:-1]) + 1
-            for a, b in zip([0, *cuts], [*cuts, len(p)]):
-                q = p.iloc[a:b]
-                if held and size > batch and held[-1]["m"].iloc[-1] != m[a]:
-                    yield from solved(pd, held)
-                    held, size = [], 0
-                held.append(q)
-                size += int(q["data"].map(len).sum())
+            cut = int(np.flatnonzero(m != m[-1])[-1]) + 1 if m[0] != m[-1] else 0  # the last group may go on
+            q, rest = p.iloc[:cut], p.iloc[cut:]
+            q = shared(q)
+            for at in range(0, len(q), 4096):
+                # a group may be cut between two looks at the size, but not between two batches
+                held.append(q.iloc[at : at + 4096])
+                size += int(held[-1]["data"].map(len).sum())
+            if size > batch:
+                yield from solved(pd, held)
+                held, size = [], 0
+        if rest is not None and len(shared(rest)):
+            held.append(shared(rest))
         if held:
             yield from solved(pd, held)
 
+    def shared(q):
+        m = q["m"].to_numpy()
+        same = m[1:] == m[:-1]
+        return q[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(q) else q
+
     def solved(pd, held):
-        p = pd.concat(held).sort_values(["d", "t", "start"])
+        whole = pd.concat(held, ignore_index=True)
+        m, sizes = whole["m"].to_numpy(), whole["data"].map(len).to_numpy()
+        # batches end where a group does
+        ends = np.concatenate([np.flatnonzero(m[1:] != m[:-1]) + 1, [len(m)]]) if len(m) else np.zeros(0, int)
+        at, total = 0, np.cumsum(sizes)
+        for e in ends.tolist():
+            if e == len(m) or total[e - 1] - (total[at - 1] if at else 0) > batch:
+                yield from solved_batch(pd, whole.iloc[at:e])
+                at = e
+
+    def solved_batch(pd, p):
+        p = p.sort_values(["d", "t", "start"])
         d, t, start = p["d"].to_numpy(), p["t"].to_numpy(), p["start"].to_numpy()
         part, offset = repeated(list(p["data"]), width)
         if len(part):
@@ -264,17 +289,20 @@ def merger(width: int, batch: int):
     return merge
 
 
-def keyed(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def keyed(scratch: Scratch, docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """doc_id, data, and (d, t): d orders documents, nulls last; t tells apart the texts of one
     doc_id (0 where doc_ids are all different, which is looked up). Second, one row for each (d, t)."""
     own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("data"))
     own = own.withColumn("d", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
     if not own.groupBy("d").agg(F.count(F.lit(1)).alias("n")).where(f"n > 1 OR d = {LAST}").limit(1).count():
-        own = own.withColumn("t", F.lit(0))
+        own = own.withColumn("t", F.lit(0).cast("long"))
         return own, own
-    h1, h2 = F.xxhash64("data"), F.xxhash64(F.lit(7), "data")
-    own = own.withColumn("t", (F.dense_rank().over(Window.partitionBy("d").orderBy(h1, h2)) - 1).cast("int"))
-    return own, own.dropDuplicates(["d", "t"])
+    own = own.withColumns({"k1": F.xxhash64("data"), "k2": F.xxhash64(F.lit(7), "data")})
+    texts = scratch.table(own.groupBy("d", "k1", "k2").agg(F.count(F.lit(1)).alias("c")), "texts")
+    total = own.count()
+    texts = scratch.table(ranks(texts, ["d"], ["k1", "k2"], "t", total=total), "told")
+    own = spread(own, texts, ["d", "k1", "k2"], "c", total).drop("k1", "k2")
+    return own, own.groupBy("d", "t").agg(F.min("data").alias("data"))
 
 
 def digest(width: int):
@@ -307,15 +335,34 @@ def stretches(scratch: Scratch, docs: DataFrame, width: int = WIDTH, batch: int
     if width < GRAM + 1:
         raise ValueError(f"the width must be over {GRAM}")
     rows = docs.where(F.octet_length("data") >= width).select("d", "t", "data")
-    found = rows.mapInPandas(finder(width), "kind int, m long, s long, d long, t int, start long, n int, a int")
-    found = found.repartition("m").sortWithinPartitions("m", "s", "d", "t", "start")
-    known = scratch.table(found.mapInPandas(sorter(crowd), "kind int, m long, d long, t int, start long, n int, a int"), "known")
-    open_ = known.where("kind > 0").groupBy("d", "t").agg(F.collect_list(F.struct("kind", "m", "start", "n", "a")).alias("w"))
+    found = rows.mapInPandas(finder(width), "kind int, m long, s long, z long, d long, t long, start long, n int, a int")
+    found = found.repartition("m").sortWithinPartitions("m", "s", "z", "d", "t", "start")
+    known = scratch.table(found.mapInPandas(sorter(), "kind int, m long, d long, t long, start long, n int, a int"), "known")
+    open_ = known.where("kind > 0").groupBy("d", "t").agg(F.collect_list(F.struct("m", "start", "n", "a")).alias("w"))
     cut = docs.join(open_, ["d", "t"]).select("d", "t", "data", F.explode("w").alias("w"))
-    cut = cut.select("d", "t", F.explode(F.expr(pieces(width))).alias("x")).select("x.m", "d", "t", "x.start", "x.data")
-    parts = cut.repartition("m").sortWithinPartitions("m")
-    merged = scratch.table(parts.mapInPandas(merger(width, batch), "d long, t int, start long, n int"), "merged")
-    return known.where("kind = 0").select("d", "t", "start", "n").union(merged)
+    strings = cut.select("w.m", "d", "t", "w.start", F.expr(f"substring(data, CAST(w.start AS INT) + 1, w.n + {width - 1})").alias("data"), "w.n", F.col("w.a").alias("p"), F.lit(GRAM).alias("l"))
+    out, stretch = [known.where("kind = 0").select("d", "t", "start", "n")], "d long, t long, start long, n int"
+    now, level = scratch.table(narrower(strings, width), "parts0"), 0
+    while True:
+        counts = now.groupBy("m").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > crowd).select("m")
+        crowded = scratch.table(counts, f"crowded{level}")
+        many = crowded.count()
+        # keys of over `crowd` of the rows each: few, unless there are 10 billion such rows and more
+        hot = F.broadcast(crowded) if many <= 200_000 else crowded
+        rest = now.join(hot, "m", "left_anti") if many else now
+        parts = rest.select("m", "d", "t", "start", "data").repartition("m").sortWithinPartitions("m")
+        out.append(scratch.table(parts.mapInPandas(merger(width, batch), stretch), f"merged{level}"))
+        if not many:
+            break
+        over = now.join(hot, "m", "left_semi")
+        level += 1
+        now = scratch.table(narrower(over.where(F.col("l") < width), width), f"parts{level}")
+        # windows whose key is all of their bytes: all but the first of each go
+        whole = scratch.table(over.where(F.col("l") >= width).select("data", F.struct("d", "t", "start").alias("o"), "n"), f"whole{level}")
+        first = scratch.table(whole.groupBy("data").agg(F.min("o").alias("first"), F.count(F.lit(1)).alias("c")), f"first{level}")
+        later = spread(whole, first, ["data"], "c", whole.count()).where("o <> first")
+        out.append(later.select("o.d", "o.t", "o.start", "n"))
+    return reduce(DataFrame.union, out)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, doc_id: str = "doc_id", text: str = "text", crowd: int = 50_000) -> DataFrame:
@@ -326,7 +373,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, width: int = WIDTH, doc
     of one doc_id come in the order of a hash. An empty table gives an empty result. Other columns
     are ignored, whatever they are named."""
     scratch = Scratch(spark, "suffixes")
-    own, single = keyed(docs, doc_id, text)
+    own, single = keyed(scratch, docs, doc_id, text)
     gone = stretches(scratch, single, width, crowd=crowd).groupBy("d", "t").agg(F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts"))
     joined = own.join(gone, ["d", "t"], "left").select("doc_id", "data", "starts", "counts")
     return joined.mapInPandas(digest(width), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
