@@ -24,7 +24,6 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -88,48 +87,67 @@ def kind(vocabulary: int) -> str:
 OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
-class Words(dict):
-    """Ids of the library's own pre-tokens, by its own model."""
-
-    def __init__(self, tokenizer, dtype: str, most: int):
-        code = {2: "H", 4: "I"}[np.dtype(dtype).itemsize]
-        self.model, self.pack, self.most = tokenizer.model, lambda ids: array(code, ids).tobytes(), most
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) > self.most:
-            self.clear()
-        self[word] = found = self.pack([x.id for x in self.model.tokenize(word)])
-        return found
-
-
 class Odd(Exception):
     """A piece holds other white space than single blanks and line ends."""
 
 
+#: Marks that a word may end in; white space, letters and digits are none.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class Pieces(dict):
-    """Ids of the pieces of texts; what is new is cut by the encoder."""
+    """A number for each piece of a text; ids[borders[i] : borders[i + 1]] are those of piece i. New
+    pieces are cut into pre-tokens, which go through the library's model."""
 
-    def __init__(self, cut):
-        self.cut = cut
+    def __init__(self, tokenizer, code: str):
+        self.model, self.cut, self.code = tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str, code
+        self.clear()
 
-    def __missing__(self, x: str) -> bytes:
-        if OTHER_SPACE.search(x):
-            raise Odd
-        self[x] = found = self.cut(x)
+    def clear(self) -> None:
+        super().clear()
+        self.ids, self.borders = array(self.code), array("q", [0])
+
+    def __missing__(self, x: str) -> int:
+        if x.isalpha() or x[:1] == " " and x[1:].isalpha():
+            self.word(x.replace(" ", LETTERS[32]) if x.isascii() else x.encode().decode("latin-1").translate(LETTERS))
+        else:
+            if OTHER_SPACE.search(x):
+                raise Odd
+            y = x.rstrip(MARKS)
+            if len(y) < len(x) and (y.isalpha() or y[:1] == " " and y[1:].isalpha()):
+                self.united(y, x[len(y) :])
+            else:
+                parts = self.cut(x)
+                if len(parts) == 1:
+                    self.word(parts[0][0])
+                else:
+                    self.united(*[x[a:b] for _, (a, b) in parts])
+        self.borders.append(len(self.ids))
+        self[x] = found = len(self.borders) - 2
         return found
 
+    def word(self, w: str) -> None:
+        """Ids of a pre-token, written as the model has it."""
+        self.ids.extend([t.id for t in self.model.tokenize(w)])
+
+    def united(self, *parts: str) -> None:
+        for i in [self[p] for p in parts]:
+            self.ids.extend(self.ids[self.borders[i] : self.borders[i + 1]])
+
 
 class Encoder:
     """Ids of texts by the tokenizers library, each distinct piece of a text encoded once.
 
     Byte-level BPE with its own pattern works on pieces that no merge crosses. A text whose white
-    space is single spaces and line ends is cut before every space and around every line end,
-    which are borders of such pieces, and pieces are looked up; every other text (any other white
-    space is seen when its piece is new, and such pieces are never kept), every text that holds an
-    added token, and every other kind of tokenizer, goes through encode() whole. Pieces that are
-    new go through the library."""
+    space is single spaces and line ends, between other signs, is cut before every space and around
+    every line end, which are borders of such pieces. Arrow cuts the texts of a batch and finds their
+    distinct pieces; new ones go through the library's model, and the ids of all texts are put
+    together by numpy. Every other text (other white space is seen when its piece is new, and such
+    pieces are never kept), every text that holds an added token, and every other kind of tokenizer,
+    goes through encode() whole."""
 
-    MOST = 700_000  # pieces and pre-tokens kept; then the table starts anew
+    MOST = 700_000  # pieces kept; then the table starts anew
+    BYTES = 4 << 20  # of texts taken at once; a longer text is taken by itself
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -137,34 +155,71 @@ class Encoder:
         self.t = Tokenizer.from_file(path)
         p = str(self.t.pre_tokenizer)
         self.simple = p.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in p and self.t.normalizer is None and type(self.t.model).__name__ == "BPE"
-        self.added = [x.content for x in self.t.get_added_tokens_decoder().values()]
-        self.pieces = Pieces(self.piece)
-        self.words = Words(self.t, kind(self.t.get_vocab_size()), self.MOST)
-        self.cut = self.t.pre_tokenizer.pre_tokenize_str if self.simple else None
+        added = [x.content for x in self.t.get_added_tokens_decoder().values()]
+        self.odd = "|".join([r"[ \n][ \n]", r"^[ \n]", r"[ \n]$", r"\x00", *[re.sub(r"(\W)", r"\\\1", x) for x in added if x]])
         self.kind = kind(self.t.get_vocab_size())
+        self.pieces = Pieces(self.t, {"<u2": "H", "<u4": "I"}[self.kind]) if self.simple else None
 
     def whole(self, text: str) -> bytes:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def piece(self, x: str) -> bytes:
-        """A word, or a word and one mark after it, is cut here; the rest by the library."""
-        if x.isalpha() or x[:1] == " " and x[1:].isalpha():
-            return self.words[x.encode().decode("latin-1").translate(LETTERS)]
-        y = x[:-1]
-        if x and not x[-1].isalnum() and (y.isalpha() or y[:1] == " " and y[1:].isalpha()):
-            return self.words[y.encode().decode("latin-1").translate(LETTERS)] + self.words[x[-1].encode().decode("latin-1").translate(LETTERS)]
-        return b"".join([self.words[w] for w, _ in self.cut(x)])
-
     def __call__(self, text: str) -> bytes:
         """The ids, little-endian, of the narrowest kind that the vocabulary allows."""
-        if not self.simple or "\x00" in text or len(text.split()) - 1 != text.count(" ") + text.count("\n") or any(x in text for x in self.added):
-            return self.whole(text)
+        import pyarrow as pa
+
+        return self.batch(pa.array([text], pa.string()), None)[0].as_py()
+
+    def batches(self, texts, end: int | None):
+        """Arrow arrays of the ids of texts, each with the end id, as binary; a null is as empty."""
+        import pyarrow.compute as pc
+
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + self.BYTES, "right")))
+            yield self.batch(texts[at:upto], end)
+            at = upto
+
+    def batch(self, texts, end: int | None):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts, tail = pc.fill_null(texts, ""), b"" if end is None else np.array([end], self.kind).tobytes()
+        if not self.simple:
+            return pa.array([self.whole(x) + tail for x in texts.to_pylist()], pa.binary())
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(odd), "", texts)
+        lists = pc.split_pattern(pc.replace_substring(pc.replace_substring(plain, " ", "\x00 "), "\n", "\x00\n\x00"), "\x00")
+        coded = lists.flatten().dictionary_encode()
+        borders, codes = lists.offsets.to_numpy().astype(np.int64), coded.indices.to_numpy()
+        borders -= borders[0]
         if len(self.pieces) > self.MOST:
             self.pieces.clear()
-        try:
-            return b"".join(map(self.pieces.__getitem__, text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")))
-        except Odd:
-            return self.whole(text)
+        found, strange = np.empty(len(coded.dictionary), np.int64), []
+        for i, x in enumerate(coded.dictionary.to_numpy(zero_copy_only=False)):
+            try:
+                found[i] = self.pieces[x]
+            except Odd:
+                found[i] = self.pieces[""]
+                strange.append(i)
+        if strange:
+            odd = odd | (np.add.reduceat(np.isin(codes, strange), borders[:-1]) > 0)
+        size = np.dtype(self.kind).itemsize
+        ids, start = np.frombuffer(self.pieces.ids, self.kind), np.frombuffer(self.pieces.borders, np.int64)
+        length = start[found + 1] - start[found]
+        start, each = start[found], length[codes]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        at = np.repeat(start[codes] - upto[:-1], each)
+        at += np.arange(len(at))
+        out, ends = ids[at], upto[borders]
+        if end is not None:
+            out = np.insert(out, ends[1:], end)
+            ends = ends + np.arange(len(ends))
+        data, ends = out.tobytes(), ends * size
+        if not odd.any():
+            return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+        own = texts.to_pylist()
+        return pa.array([self.whole(own[i]) + tail if odd[i] else data[ends[i] : ends[i + 1]] for i in range(len(own))], pa.binary())
 
 
 _encoders: dict[str, Encoder] = {}
@@ -177,18 +232,20 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def tokenize(docs: DataFrame, path: str, end: int | None, text: str = "text", out: str = "ids") -> DataFrame:
-    """Adds each text's ids as binary (see Encoder), with the end id; null is as empty."""
-    import pandas as pd
+def tokenize(docs: DataFrame, path: str, end: int | None) -> DataFrame:
+    """doc_id and each text's ids as binary (see Encoder), with the end id; null is as empty."""
+
+    def of(batches):
+        import pyarrow as pa
 
-    def of(series):
         e = encoder(path)
-        tail = b"" if end is None else np.array([end], e.kind).tobytes()
-        for s in series:
-            yield pd.Series([(e(x) if x else b"") + tail for x in s], dtype=object)
+        for b in batches:
+            at = 0
+            for ids in e.batches(b.column(1), end):
+                yield pa.RecordBatch.from_arrays([b.column(0)[at : at + len(ids)], ids], ["doc_id", "ids"])
+                at += len(ids)
 
-    of.__annotations__ = {"series": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return docs.withColumn(out, F.pandas_udf(of, "binary")(F.col(text)))
+    return docs.select("doc_id", "text").mapInArrow(of, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary")
 
 
 def frequencies(ids: DataFrame, dtype: str) -> DataFrame:
@@ -222,7 +279,7 @@ def write(spark: SparkSession, docs: DataFrame, out: str, path: str, end: int |
     text are ignored, whatever they are named."""
     scratch = Scratch(spark, "tokens")
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    ids = scratch.table(tokenize(own, path, end).select("doc_id", "ids"), "ids")
+    ids = scratch.table(tokenize(own, path, end), "ids")
     dtype = encoder(path).kind
     by_rank = ranking(ids, dtype)
     rank = np.zeros(int(by_rank.max(initial=0)) + 1, np.uint32)
