@@ -34,20 +34,24 @@ from .common import Scratch
 HEAD = struct.Struct("<4sIQQI")
 MAGIC = b"TVB1"
 NULL = -(1 << 63)
-#: For each control byte: the lengths of its four codes, where each starts, and all together.
-LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3) + 1
-TOTALS = LENGTHS.sum(1)
+#: For each control byte: the lengths of its four codes.
+LENGTHS = ((np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3) + 1).astype(np.uint8)
+NARROW = np.array([0, 0xFF, 0xFFFF], np.uint16)
 MASKS = np.array([0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 
 
 def encode_block(values: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> bytes:
     """A block of all documents' values (uint32), counts of them a document, with doc_ids (int64)."""
     n = len(values)
-    values = np.concatenate([values.astype(np.uint32), np.zeros(-n % 4, np.uint32)])
-    size = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    control = (size.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)).sum(1, dtype=np.uint8)
-    size = size[:n] + 1
-    data = values[:n].astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
+    narrow = n == 0 or int(values.max()) <= 0xFFFF  # codes of one or two bytes only
+    values = np.concatenate([values.astype(np.uint16 if narrow else np.uint32), np.zeros(-n % 4, np.uint16)])
+    size = (values > 0xFF).astype(np.uint8)
+    if not narrow:
+        size += (values > 0xFFFF).astype(np.uint8) + (values > 0xFFFFFF)
+    four = size.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    width = 2 if narrow else 4
+    data = values[:n].astype(f"<u{width}").view(np.uint8).reshape(-1, width)[np.arange(width, dtype=np.uint8) <= size[:n, None]]
     body = ids.astype("<i8").tobytes() + counts.astype("<u8").tobytes() + control.tobytes() + data.tobytes()
     return HEAD.pack(MAGIC, len(counts), n, len(data), zlib.crc32(body)) + body
 
@@ -62,10 +66,13 @@ def decode_block(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     control = np.frombuffer(block, np.uint8, -(-n // 4), HEAD.size + 16 * docs)
     data = np.frombuffer(block, np.uint8, size, HEAD.size + 16 * docs + len(control))
     length = LENGTHS[control].ravel()[:n]
-    at = np.cumsum(length) - length
+    at = np.cumsum(length, dtype=np.int64) - length
     padded = np.concatenate([data, np.zeros(4, np.uint8)])
-    words = np.ndarray((len(data) + 1,), "<u4", padded, strides=(1,))
-    return (words[at] & MASKS[length - 1]).astype(np.uint32), counts, ids
+    if (control & 0xAA).any():
+        words = np.ndarray((len(data) + 1,), "<u4", padded, strides=(1,))
+        return (words[at] & MASKS[length - 1]).astype(np.uint32), counts, ids
+    words = np.ndarray((len(data) + 1,), "<u2", padded, strides=(1,))  # no code of over two bytes
+    return words[at] & NARROW[length], counts, ids
 
 
 def letters() -> dict[int, str]:
@@ -252,18 +259,26 @@ def frequencies(ids: DataFrame, dtype: str) -> DataFrame:
     """(id, n) over all rows of ids; each task counts first and sends a row for each id it saw."""
 
     def count(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         total = np.zeros(0, np.int64)
         for p in batches:
-            c = np.bincount(np.frombuffer(b"".join(p["ids"]), dtype))
+            c = np.bincount(flat(p.column(0), dtype)[0])
             if len(c) > len(total):
                 c, total = total, c
             total[: len(c)] += c
         seen = np.flatnonzero(total)
-        yield pd.DataFrame({"id": seen, "n": total[seen]})
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["id", "n"])
+
+    return ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+
 
-    return ids.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+def flat(column, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of an Arrow column of binary one after the other, and where each row's end."""
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    ids = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(dtype) if data is not None and len(column) else np.zeros(0, dtype)
+    return ids, (ends[1:] - ends[0]) // np.dtype(dtype).itemsize
 
 
 def ranking(ids: DataFrame, dtype: str) -> np.ndarray:
@@ -277,8 +292,10 @@ def write(spark: SparkSession, docs: DataFrame, out: str, path: str, end: int |
     (null first; equal ids by their tokens). Null texts are as empty. A block is closed once it
     has `tokens` tokens. An empty table gives a file without blocks. Columns besides doc_id and
     text are ignored, whatever they are named."""
+    import pyarrow as pa
+
     scratch = Scratch(spark, "tokens")
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ids = scratch.table(tokenize(own, path, end), "ids")
     dtype = encoder(path).kind
     by_rank = ranking(ids, dtype)
@@ -286,31 +303,39 @@ def write(spark: SparkSession, docs: DataFrame, out: str, path: str, end: int |
     rank[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
 
     def blocks(batches):
-        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
-        shard, block = TaskContext.get().partitionId(), 0
-        held, size, before = [], 0, 0
+        shard, block, before, held, size = TaskContext.get().partitionId(), 0, 0, [], 0
+
+        def one():
+            values, counts, names = (np.concatenate(x) for x in zip(*held))
+            first, last = (None if x == NULL else int(x) for x in (names[0], names[-1]))
+            row = (shard, block, before, len(names), len(values), first, last, encode_block(rank[values], counts, names))
+            return pa.RecordBatch.from_pylist([dict(zip(BLOCK.names, row))], BLOCK)
+
         for p in batches:
-            for d, x in zip(p["doc_id"], p["ids"]):
-                held.append((d, np.frombuffer(x, dtype)))
-                size += len(held[-1][1])
+            names = pc.fill_null(p.column(0), NULL).to_numpy(zero_copy_only=False)
+            ids, ends = flat(p.column(1), dtype)
+            at, begin = 0, 0
+            while at < len(names):
+                upto = int(np.searchsorted(ends, begin + tokens - size)) + 1  # the row that fills the block
+                part = slice(at, min(upto, len(names)))
+                end = int(ends[part.stop - 1])
+                held.append((ids[begin:end], np.diff(ends[part], prepend=begin), names[part]))
+                size += end - begin
+                at, begin = part.stop, end
                 if size >= tokens:
-                    yield one(pd, shard, block, before, held)
+                    yield one()
                     held, size, block, before = [], 0, block + 1, before + size
         if held:
-            yield one(pd, shard, block, before, held)
-
-    def one(pd, shard, block, before, held):
-        values, counts = rank[np.concatenate([x for _, x in held])], np.array([len(x) for _, x in held])
-        names = [None if d is None or d != d else int(d) for d, _ in held]
-        coded = encode_block(values, counts, np.array([NULL if d is None else d for d in names], np.int64))
-        row = (shard, block, before, len(held), len(values), names[0], names[-1], coded)
-        return pd.DataFrame([row], columns=["shard", "block", "before", "documents", "tokens", "first_id", "last_id", "data"]).astype({"first_id": "Int64", "last_id": "Int64"})
+            yield one()
 
+    BLOCK = pa.schema([("shard", pa.int32()), ("block", pa.int32()), *((n, pa.int64()) for n in ("before", "documents", "tokens", "first_id", "last_id")), ("data", pa.binary())])
     # ranges are of doc_ids alone: what the sampler sends to the driver are keys, never token ids
     spread = ids.repartitionByRange(*([partitions] if partitions else []), "doc_id").sortWithinPartitions("doc_id", "ids")
-    made = spread.mapInPandas(blocks, "shard int, block int, before long, documents long, tokens long, first_id long, last_id long, data binary")
+    made = spread.mapInArrow(blocks, "shard int, block int, before long, documents long, tokens long, first_id long, last_id long, data binary")
     made.write.option("compression", "none").parquet(f"{out}/blocks")
     spark.createDataFrame([(i, int(x)) for i, x in enumerate(by_rank)], "rank int, id long").coalesce(1).write.parquet(f"{out}/ranks")
     scratch.drop()
@@ -335,18 +360,19 @@ def read(spark: SparkSession, out: str) -> DataFrame:
     by_rank = np.array([r[0] for r in spark.read.parquet(f"{out}/ranks").orderBy("rank").select("id").collect()], "<u4")
 
     def docs(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         for p in batches:
-            for start, data in zip(p["start"], p["data"]):
+            for start, data in zip(p.column(0).to_pylist(), p.column(1).to_pylist()):
                 values, counts, names = decode_block(data)
-                ids, ends = by_rank[values] if len(values) else np.zeros(0, "<u4"), np.cumsum(counts).astype(np.int64)
-                begins = ends - counts.astype(np.int64)
+                ids = by_rank[values] if len(values) else np.zeros(0, "<u4")
+                ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
                 for at in range(0, len(counts), 4096):
-                    part = slice(at, at + 4096)
-                    yield pd.DataFrame({"doc_id": names[part], "start": start + begins[part], "ids": [ids[a:b].tobytes() for a, b in zip(begins[part], ends[part])]})
+                    e = ends[at : at + 4097]
+                    part = pa.Array.from_buffers(pa.binary(), len(e) - 1, [None, pa.py_buffer(((e - e[0]) * 4).astype(np.int32)), pa.py_buffer(ids[e[0] : e[-1]].tobytes())])
+                    yield pa.RecordBatch.from_arrays([pa.array(names[at : at + 4096]), pa.array(start + e[:-1]), part], ["doc_id", "start", "ids"])
 
-    return offsets(spark, out).select("start", "data").mapInPandas(docs, "doc_id long, start long, ids binary").withColumn("doc_id", F.nullif("doc_id", F.lit(NULL)))
+    return offsets(spark, out).select("start", "data").mapInArrow(docs, "doc_id long, start long, ids binary").withColumn("doc_id", F.nullif("doc_id", F.lit(NULL)))
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
