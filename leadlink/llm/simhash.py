@@ -283,23 +283,42 @@ def distance(s: np.ndarray, one: np.ndarray) -> np.ndarray:
     return np.bitwise_count(s ^ one).sum(-1, dtype=np.int32)
 
 
+def from_the_middle(s: np.ndarray) -> np.ndarray:
+    """Order of fingerprints by their distance from the one that has each bit as most have it. What
+    others are copies of lies nearest to it."""
+    bits = np.zeros(128, np.int64)
+    for at in range(0, len(s), 1 << 14):
+        bits += np.unpackbits(s[at : at + (1 << 14)].view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    return np.argsort(distance(s, np.packbits(bits * 2 > len(s)).view(np.uint64)), kind="stable")
+
+
 def near_pairs(node: np.ndarray, s: np.ndarray) -> tuple[list, list, list]:
-    """Of one bucket, sorted by node: first links (each member to the least it is near to), the
-    other near pairs, and members among whom near pairs are not listed. A bucket of up to SMALL
-    lists all; in a larger one only members that are near to none before them list theirs."""
+    """Of one bucket, sorted by node: first links (each member to the first it is near to), the
+    other near pairs, and for a bucket of over SMALL, instead of these, (middle, member) for each
+    member that is near to any: pairs of such members are looked for by group."""
     first, more, linked = [], [], np.zeros(len(node), bool)
+    large = len(node) > SMALL
+    if large:
+        order = from_the_middle(s)
+        node, s = node[order], s[order]
     for i in range(len(node)):
-        if linked[i] and len(node) > SMALL:
+        if linked[i] and large:
             continue
         near = np.flatnonzero(distance(s, s[i]) <= NEAR)
-        for j in near[near != i] if len(node) > SMALL else near[near > i]:
-            (more if linked[j] or j < i else first).append((int(node[i]), int(node[j])))
-            linked[j] |= j > i
-    return first, more, node[linked].tolist() if len(node) > SMALL and linked.sum() > 1 else []
+        near = near[near != i] if large else near[near > i]
+        for j in near[~linked[near]]:
+            first.append((int(node[i]), int(node[j])))
+        if not large:
+            more += [(int(node[i]), int(node[j])) for j in near[linked[near]]]
+        elif len(near):
+            linked[i] = True
+        linked[near] = True
+    some = node[linked].tolist() if large else []
+    return first, more, [(some[0], n) for n in some[1:]]
 
 
 def buckets(columns: list[str], handle):
-    """mapInPandas over rows sorted by key: handle(key, arrays of a bucket) gives (kind, u, v) rows."""
+    """mapInPandas over rows sorted by key: handle(key, arrays of a bucket) gives lists of (kind, u, v)."""
 
     def run(batches):
         import pandas as pd
@@ -307,7 +326,7 @@ def buckets(columns: list[str], handle):
         def frame(out):
             return pd.DataFrame(out, columns=["kind", "u", "v"]).astype({"kind": "int32", "u": "int64", "v": "int64"})
 
-        held = None
+        held, out = None, []
         for p in batches:
             if held is not None:
                 p = pd.concat([held, p], ignore_index=True)
@@ -316,15 +335,20 @@ def buckets(columns: list[str], handle):
             starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(key)]])
             held, starts, ends = p.iloc[int(starts[-1]) :], starts[:-1], ends[:-1]
             some = np.flatnonzero(ends - starts >= 2)
-            x, out = [p[c].to_numpy() for c in columns], []
+            x = [p[c].to_numpy() for c in columns]
             for a, b in zip(starts[some].tolist(), ends[some].tolist()):
-                out += handle(int(key[a]), *[c[a:b] for c in x])
+                for part in handle(int(key[a]), *[c[a:b] for c in x]):
+                    out += part
+                    if len(out) > 10_000:
+                        yield frame(out)
+                        out = []
+        if held is not None and len(held) > 1:
+            for part in handle(int(held["k"].iloc[0]), *[held[c].to_numpy() for c in columns]):
+                out += part
                 if len(out) > 10_000:
                     yield frame(out)
                     out = []
-            yield frame(out)
-        if held is not None and len(held) > 1:
-            yield frame(handle(int(held["k"].iloc[0]), *[held[c].to_numpy() for c in columns]))
+        yield frame(out)
 
     return run
 
@@ -332,24 +356,105 @@ def buckets(columns: list[str], handle):
 def in_bucket(key, node, s0, s1):
     s = np.stack([s0, s1], 1).view(np.uint64)
     if len(node) == 2:
-        return [(0, int(node[0]), int(node[1]))] if distance(s[1], s[0]) <= NEAR else []
-    if len(node) <= SMALL and not (np.bitwise_count(s[:, None] ^ s).sum(-1, dtype=np.int32) <= NEAR).sum() > len(node):
-        return []
-    first, more, rest = near_pairs(node, s)
-    return [(0, *x) for x in first] + [(1, *x) for x in more] + [(2, key, n) for n in rest]
-
-
-def across(key, node, s0, s1, label):
-    """Near pairs of a bucket, sorted by label, whose members are not linked yet."""
-    if label[0] == label[-1]:
-        return []
-    s, out = np.stack([s0, s1], 1).view(np.uint64), []
-    for i in np.flatnonzero(label > label[0]):
-        end = int(np.searchsorted(label, label[i]))
-        out += [(1, int(node[i]), int(node[j])) for j in np.flatnonzero(distance(s[:end], s[i]) <= NEAR)]
+        yield [(0, int(node[0]), int(node[1]))] if distance(s[1], s[0]) <= NEAR else []
+    elif len(node) > SMALL or (np.bitwise_count(s[:, None] ^ s).sum(-1, dtype=np.int32) <= NEAR).sum() > len(node):
+        first, more, rest = near_pairs(node, s)
+        yield [(0, *x) for x in first] + [(1, *x) for x in more] + [(2, *x) for x in rest]
+
+
+def hashed_sets(words: int):
+    """(node, h): hashes of the distinct shingles of each text, as binary."""
+
+    def of(batches):
+        import pandas as pd
+
+        for p in batches:
+            h = [digests(shingle_set((x or "").encode("utf-8", "surrogatepass"), words)[1])[:, 0].tobytes() for x in p["text"]]
+            yield pd.DataFrame({"node": p["node"], "h": h})
+
+    return of
+
+
+def links_of(share: float, label: np.ndarray, mine: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs (a, b) of sets, a in one of two blocks and b in the other (or both in one, if there is one),
+    of different labels, with a Jaccard similarity of at least share; one pair, at least, for
+    each two labels that have any. Sets of the most frequent label are not compared with each other."""
+    kinds, counts = np.unique(label, return_counts=True)
+    size = np.array([len(x) for x in sets])
+    starts = np.cumsum(size) - size
+    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    mark, out = np.zeros(len(values), np.int32), []
+    both = mine.all()
+    for i in np.flatnonzero(label != kinds[counts.argmax()]):
+        own = codes[starts[i] : starts[i] + size[i]]
+        mark[own] = 1
+        shared = np.add.reduceat(mark[codes], starts)
+        mark[own] = 0
+        near = (shared >= share * (size + size[i] - shared) - 1e-9) & (label != label[i])
+        if not both:
+            near &= mine != mine[i]
+        found = np.flatnonzero(near)
+        _, one = np.unique(label[found], return_index=True)
+        out += [(int(i), int(j)) for j in found[one]]
     return out
 
 
+def in_groups(share: float):
+    """Over rows (g, i, j, own, node, label, h) sorted by (g, i, j): links (u, v) between members of two
+    blocks of a group. It holds two blocks at a time."""
+
+    def run(batches):
+        import pandas as pd
+
+        held, key = [], None
+
+        def solved():
+            q = pd.concat(held, ignore_index=True)
+            pairs = links_of(share, q["label"].to_numpy(), (q["own"] == q["i"]).to_numpy(), [np.frombuffer(x, np.int64) for x in q["h"]])
+            node = q["node"].to_numpy()
+            return pd.DataFrame({"u": [node[a] for a, _ in pairs], "v": [node[b] for _, b in pairs]}, dtype="int64")
+
+        for p in batches:
+            k = list(zip(p["g"].tolist(), p["i"].tolist(), p["j"].tolist()))
+            cuts = [0, *[n for n in range(1, len(k)) if k[n] != k[n - 1]], len(k)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if key is not None and k[a] != key:
+                    yield solved()
+                    held = []
+                key = k[a]
+                held.append(p.iloc[a:b])
+        if held:
+            yield solved()
+
+    return run
+
+
+def grouped_links(scratch: Scratch, crowd: DataFrame, label: DataFrame, rows: DataFrame, words: int, share: float, block: int = 1_000_000) -> DataFrame:
+    """(u, v): links between members of crowded buckets that are not linked yet.
+
+    Buckets that share members are one group, so each two members that meet are in one; a group whose
+    members all have one label is done. The others are cut into blocks of about `block` shingles, and
+    each two blocks of a group are compared in a task, by the hashes of all their shingles. A task
+    gives a pair for two labels, never all pairs."""
+    group = scratch.table(components(Scratch(rows.sparkSession, "similar-groups"), crowd, "u", "v"), "groups")
+    own = group.select("node", F.col("label").alias("g")).join(label.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
+    own = scratch.table(own.select("node", "g", F.coalesce("label", "node").alias("label")), "members")
+    split = own.groupBy("g").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b").select("g", "c")
+    own = spread(own, scratch.table(split, "split"), ["g"], "c", own.count())
+    texts = rows.join(own.select("node"), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+    sets = scratch.table(texts.mapInPandas(hashed_sets(words), "node long, h binary"), "sets")
+    sets = scratch.table(own.join(sets, "node").select("g", "node", "label", "h"), "sets-of-groups")
+    blocks = sets.groupBy("g").agg(F.ceil(F.sum(F.octet_length("h")) / (8 * block)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c"))
+    blocks = scratch.table(blocks, "blocks")
+    dealt = spread(sets, blocks, ["g"], "c", sets.count()).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "h")
+    dealt = dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "node")
+    return dealt.mapInPandas(in_groups(share), "u long, v long")
+
+
 def verified(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, share: float, name: str) -> DataFrame:
     """The pairs (u, v) of nodes whose distinct shingles have a Jaccard similarity of at least share."""
 
@@ -385,7 +490,8 @@ def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float =
     Linked are texts of equal words, and pairs with a Jaccard similarity of distinct shingles of at
     least `share`. Candidates share a hash of their prefixes, which loses no such pair, and are near
     by SimHash of 128 bits; all are verified by their shingles as texts, unless already linked by
-    others. First links go to the least member of a bucket; what these leave apart comes second."""
+    others. First links go to the middle of a bucket; what these leave apart comes second, by pairs for
+    small buckets and by groups for others (see grouped_links)."""
     scratch = Scratch(spark, "similar")
     rows = scratch.table(long_prints(docs, words, share), "rows")
     nodes = scratch.table(rows.select("node", "s0", "s1", "keys").dropDuplicates(["node"]), "nodes")
@@ -393,12 +499,10 @@ def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float =
     found = scratch.table(met.mapInPandas(buckets(["node", "s0", "s1"], in_bucket), "kind int, u long, v long"), "found")
     links = verified(scratch, found.where("kind = 0").select("u", "v"), rows, words, share, "first")
     label = scratch.table(components(scratch, links, "u", "v"), "label")
-    named = nodes.join(label, "node", "left").select("node", "s0", "s1", F.coalesce("label", "node").alias("label"))
-    ends = [named.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "uv"]
-    apart = found.where("kind = 1").select("u", "v").distinct().join(ends[0], "u").join(ends[1], "v").where("lu <> lv").select("u", "v")
-    crowd = found.where("kind = 2").select(F.col("u").alias("k"), F.col("v").alias("node")).join(named, "node")
-    crowd = crowd.repartition("k").sortWithinPartitions("k", "label", "node")
-    apart = apart.union(crowd.mapInPandas(buckets(["node", "s0", "s1", "label"], across), "kind int, u long, v long").select("u", "v"))
+    ends = [label.select(F.col("node").alias(f"n{x}"), F.col("label").alias(f"l{x}")) for x in "uv"]
+    apart = found.where("kind = 1").select("u", "v").distinct().join(ends[0], F.col("u") == F.col("nu"), "left").join(ends[1], F.col("v") == F.col("nv"), "left")
+    apart = apart.where("coalesce(lu, u) <> coalesce(lv, v)").select("u", "v")
+    apart = apart.union(grouped_links(scratch, found.where("kind = 2").select("u", "v"), label, rows, words, share))
     links = links.union(verified(scratch, apart, rows, words, share, "second"))
     label = components(Scratch(spark, "similar-all"), links, "u", "v")
     h1, h2 = text_key(F.col("text"))

@@ -346,3 +346,18 @@ def test_containment_search_loses_nothing_at_the_share(spark, docs, inline, monk
     want = {(i, j, s) for i, j, (n, s) in want if n and s >= 0.8 * n - 1e-9}
     assert got == want and 60 < len(want) < 115
     assert sum(s < 0.9 * brute_shared(texts[i], items[i])[0] for i, _, s in want) > 10
+
+
+@pytest.mark.parametrize("block", [1_000_000, 3000])
+def test_crowded_groups_against_brute_force(spark, docs, block, monkeypatch):
+    """A group of copies of one text, most of which lie a little under the share of each other."""
+    monkeypatch.setattr(simhash, "SMALL", 10)
+    whole = simhash.grouped_links
+    monkeypatch.setattr(simhash, "grouped_links", lambda *a: whole(*a, block))
+    rng = random.Random(23)
+    base = " ".join(f"v{rng.randrange(5000)}" for _ in range(300))
+    texts = [near(base, rng, rng.randint(3, 8)) for _ in range(70)] + [near(near(base, rng, 30), rng, 2) for _ in range(10)]
+    linked = [(a, b) for a in range(80) for b in range(a) if jaccard(texts[a], texts[b]) >= 0.8]
+    label = components(80, linked)
+    assert 3 < len(set(label)) < 60
+    assert {r["doc_id"] for r in simhash.keep_one(spark, docs(texts)).collect()} == set(label)
