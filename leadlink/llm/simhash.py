@@ -256,27 +256,28 @@ def prefix(h: np.ndarray, share: float, common: np.ndarray, often: np.ndarray) -
 
 def long_prints(docs: DataFrame, words: int, share: float) -> DataFrame:
     """doc_id, text, node (a hash of the words: texts of equal words are one), s0, s1 (fingerprint
-    of distinct shingles) and keys (by which it is looked up) of every row."""
+    of distinct shingles), n (their number) and keys (by which it is looked up) of every row."""
     common, often = common_shingles(docs, words)
 
     def of(batches):
         from xxhash import xxh64_intdigest
 
         for p in batches:
-            nodes, prints, keys = [], [], []
+            nodes, prints, keys, sizes = [], [], [], []
             for x in p["text"]:
                 joined, found = shingle_set((x or "").encode("utf-8", "surrogatepass"), words)
                 h = digests(found)
                 nodes.append(xxh64_intdigest(joined, 42))
                 prints.append(long_print(h))
                 keys.append(prefix(h[:, 0], share, common, often))
+                sizes.append(len(h))
             p["node"] = np.array(nodes, np.uint64).view(np.int64)
             p["s0"], p["s1"] = np.array(prints, np.int64).reshape(-1, 2).T
-            p["keys"] = keys
+            p["n"], p["keys"] = sizes, keys
             yield p
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(of, f"doc_id {kind}, text string, node long, s0 long, s1 long, keys array<long>")
+    return docs.select("doc_id", "text").mapInPandas(of, f"doc_id {kind}, text string, node long, s0 long, s1 long, n long, keys array<long>")
 
 
 def distance(s: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -294,27 +295,30 @@ def from_the_middle(s: np.ndarray) -> np.ndarray:
 
 def near_pairs(node: np.ndarray, s: np.ndarray) -> tuple[list, list, list]:
     """Of one bucket, sorted by node: first links (each member to the first it is near to), the
-    other near pairs, and for a bucket of over SMALL, instead of these, (middle, member) for each
-    member that is near to any: pairs of such members are looked for by group."""
-    first, more, linked = [], [], np.zeros(len(node), bool)
+    other near pairs, and for a bucket of over SMALL, instead of these, a spanning forest of all its
+    near pairs: pairs of members that it joins are looked for by group."""
+    first, more, linked, apart = [], [], np.zeros(len(node), bool), []
     large = len(node) > SMALL
     if large:
         order = from_the_middle(s)
         node, s = node[order], s[order]
+    tree = np.arange(len(node))
     for i in range(len(node)):
-        if linked[i] and large:
-            continue
         near = np.flatnonzero(distance(s, s[i]) <= NEAR)
+        if large:
+            others, at = np.unique(tree[near], return_index=True)
+            apart += [(int(node[i]), int(node[near[x]])) for o, x in zip(others, at) if o != tree[i]]
+            tree[np.isin(tree, others)] = tree[i]
+            if linked[i]:
+                continue
         near = near[near != i] if large else near[near > i]
-        for j in near[~linked[near]]:
-            first.append((int(node[i]), int(node[j])))
+        first += [(int(node[i]), int(node[j])) for j in near[~linked[near]]]
         if not large:
             more += [(int(node[i]), int(node[j])) for j in near[linked[near]]]
         elif len(near):
             linked[i] = True
         linked[near] = True
-    some = node[linked].tolist() if large else []
-    return first, more, [(some[0], n) for n in some[1:]]
+    return first, more, apart
 
 
 def buckets(columns: list[str], handle):
@@ -363,45 +367,43 @@ def in_bucket(key, node, s0, s1):
 
 
 def hashed_sets(words: int):
-    """(node, h): hashes of the distinct shingles of each text, as binary."""
+    """(node, h): hashes of the distinct shingles of each text, ascending, as binary."""
 
     def of(batches):
         import pandas as pd
 
         for p in batches:
-            h = [digests(shingle_set((x or "").encode("utf-8", "surrogatepass"), words)[1])[:, 0].tobytes() for x in p["text"]]
+            h = [np.sort(digests(shingle_set((x or "").encode("utf-8", "surrogatepass"), words)[1])[:, 0]).tobytes() for x in p["text"]]
             yield pd.DataFrame({"node": p["node"], "h": h})
 
     return of
 
 
-def links_of(share: float, label: np.ndarray, mine: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def links_of(share: float, label: np.ndarray, mine: np.ndarray, s: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Pairs (a, b) of sets, a in one of two blocks and b in the other (or both in one, if there is one),
-    of different labels, with a Jaccard similarity of at least share; one pair, at least, for
-    each two labels that have any. Sets of the most frequent label are not compared with each other."""
+    of different labels, near by fingerprint, with a Jaccard similarity of at least share; one
+    pair, at least, for each two labels that have any. Sets of the most frequent label are not
+    compared with each other."""
     kinds, counts = np.unique(label, return_counts=True)
-    size = np.array([len(x) for x in sets])
-    starts = np.cumsum(size) - size
-    values, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    mark, out = np.zeros(len(values), np.int32), []
-    both = mine.all()
+    size, out = np.array([len(x) for x in sets]), []
     for i in np.flatnonzero(label != kinds[counts.argmax()]):
-        own = codes[starts[i] : starts[i] + size[i]]
-        mark[own] = 1
-        shared = np.add.reduceat(mark[codes], starts)
-        mark[own] = 0
-        near = (shared >= share * (size + size[i] - shared) - 1e-9) & (label != label[i])
-        if not both:
-            near &= mine != mine[i]
-        found = np.flatnonzero(near)
-        _, one = np.unique(label[found], return_index=True)
-        out += [(int(i), int(j)) for j in found[one]]
+        own = sets[i]
+        at = (distance(s, s[i]) <= NEAR) & (label != label[i]) & (size >= share * len(own)) & (len(own) >= share * size) & (size > 0)
+        at = np.flatnonzero(at if mine.all() else at & (mine != mine[i]))
+        for a in range(0, len(at), 4096):
+            part = at[a : a + 4096]
+            other = np.concatenate([sets[j] for j in part])
+            hit = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+            shared = np.add.reduceat(hit, np.cumsum(size[part]) - size[part], dtype=np.int64)
+            found = part[shared >= share * (size[part] + len(own) - shared) - 1e-9]
+            _, one = np.unique(label[found], return_index=True)
+            out += [(int(i), int(j)) for j in found[one]]
     return out
 
 
 def in_groups(share: float):
-    """Over rows (g, i, j, own, node, label, h) sorted by (g, i, j): links (u, v) between members of two
-    blocks of a group. It holds two blocks at a time."""
+    """Over rows (g, i, j, own, node, label, s0, s1, h) sorted by (g, i, j): links (u, v) between members
+    of two blocks of a group. It holds two blocks at a time."""
 
     def run(batches):
         import pandas as pd
@@ -410,7 +412,8 @@ def in_groups(share: float):
 
         def solved():
             q = pd.concat(held, ignore_index=True)
-            pairs = links_of(share, q["label"].to_numpy(), (q["own"] == q["i"]).to_numpy(), [np.frombuffer(x, np.int64) for x in q["h"]])
+            s = q[["s0", "s1"]].to_numpy().view(np.uint64)
+            pairs = links_of(share, q["label"].to_numpy(), (q["own"] == q["i"]).to_numpy(), np.ascontiguousarray(s), [np.frombuffer(x, np.int64) for x in q["h"]])
             node = q["node"].to_numpy()
             return pd.DataFrame({"u": [node[a] for a, _ in pairs], "v": [node[b] for _, b in pairs]}, dtype="int64")
 
@@ -431,26 +434,23 @@ def in_groups(share: float):
     return run
 
 
-def grouped_links(scratch: Scratch, crowd: DataFrame, label: DataFrame, rows: DataFrame, words: int, share: float, block: int = 1_000_000) -> DataFrame:
+def grouped_links(scratch: Scratch, crowd: DataFrame, label: DataFrame, nodes: DataFrame, rows: DataFrame, words: int, share: float, block: int = 1_000_000) -> DataFrame:
     """(u, v): links between members of crowded buckets that are not linked yet.
 
-    Buckets that share members are one group, so each two members that meet are in one; a group whose
-    members all have one label is done. The others are cut into blocks of about `block` shingles, and
-    each two blocks of a group are compared in a task, by the hashes of all their shingles. A task
-    gives a pair for two labels, never all pairs."""
-    group = scratch.table(components(Scratch(rows.sparkSession, "similar-groups"), crowd, "u", "v"), "groups")
-    own = group.select("node", F.col("label").alias("g")).join(label.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
-    own = scratch.table(own.select("node", "g", F.coalesce("label", "node").alias("label")), "members")
-    split = own.groupBy("g").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("c")).where("a <> b").select("g", "c")
-    own = spread(own, scratch.table(split, "split"), ["g"], "c", own.count())
+    Members that near pairs of crowded buckets join are one group; a group whose members all have
+    one label is done. The others are cut into blocks of about `block` shingles, and each two blocks
+    of a group are compared in a task, by the hashes of all their shingles. A task gives a pair for
+    two labels, never all pairs."""
+    group = components(Scratch(rows.sparkSession, "similar-groups"), crowd, "u", "v").select("node", F.col("label").alias("g"))
+    named = nodes.select("node", "s0", "s1", "n").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = scratch.table(group.join(named, "node"), "members")
+    open_ = own.groupBy("g").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.ceil((F.sum("n") + 1) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c"))
+    open_ = scratch.table(open_.where("a <> b").drop("a", "b"), "open")
+    own = scratch.table(spread(own, open_, ["g"], "c", own.count()), "open-members")
     texts = rows.join(own.select("node"), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
-    sets = scratch.table(texts.mapInPandas(hashed_sets(words), "node long, h binary"), "sets")
-    sets = scratch.table(own.join(sets, "node").select("g", "node", "label", "h"), "sets-of-groups")
-    blocks = sets.groupBy("g").agg(F.ceil(F.sum(F.octet_length("h")) / (8 * block)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c"))
-    blocks = scratch.table(blocks, "blocks")
-    dealt = spread(sets, blocks, ["g"], "c", sets.count()).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "h")
+    dealt = own.join(texts.mapInPandas(hashed_sets(words), "node long, h binary"), "node")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "s0", "s1", "h")
     dealt = dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j", "node")
     return dealt.mapInPandas(in_groups(share), "u long, v long")
 
@@ -494,7 +494,7 @@ def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float =
     small buckets and by groups for others (see grouped_links)."""
     scratch = Scratch(spark, "similar")
     rows = scratch.table(long_prints(docs, words, share), "rows")
-    nodes = scratch.table(rows.select("node", "s0", "s1", "keys").dropDuplicates(["node"]), "nodes")
+    nodes = scratch.table(rows.select("node", "s0", "s1", "n", "keys").dropDuplicates(["node"]), "nodes")
     met = nodes.select("node", "s0", "s1", F.explode("keys").alias("k")).repartition("k").sortWithinPartitions("k", "node")
     found = scratch.table(met.mapInPandas(buckets(["node", "s0", "s1"], in_bucket), "kind int, u long, v long"), "found")
     links = verified(scratch, found.where("kind = 0").select("u", "v"), rows, words, share, "first")
@@ -502,7 +502,7 @@ def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float =
     ends = [label.select(F.col("node").alias(f"n{x}"), F.col("label").alias(f"l{x}")) for x in "uv"]
     apart = found.where("kind = 1").select("u", "v").distinct().join(ends[0], F.col("u") == F.col("nu"), "left").join(ends[1], F.col("v") == F.col("nv"), "left")
     apart = apart.where("coalesce(lu, u) <> coalesce(lv, v)").select("u", "v")
-    apart = apart.union(grouped_links(scratch, found.where("kind = 2").select("u", "v"), label, rows, words, share))
+    apart = apart.union(grouped_links(scratch, found.where("kind = 2").select("u", "v"), label, nodes, rows, words, share))
     links = links.union(verified(scratch, apart, rows, words, share, "second"))
     label = components(Scratch(spark, "similar-all"), links, "u", "v")
     h1, h2 = text_key(F.col("text"))
