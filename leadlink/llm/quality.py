@@ -2,7 +2,7 @@
 
 Random indexing: a word's index vector is a sparse ternary vector that follows from its hash, and
 its context vector is the sum, over the whole corpus, of the index vectors of its neighbours. Words
-share a fixed number of context vectors by hash (BUCKETS of 192 bytes: 12.6 MB), so the table is
+share a fixed number of context vectors by hash (BUCKETS of 192 bytes: 6.3 MB), so the table is
 bounded; sums are of integers, so they are the same in any order. A word's vector is its context
 vector, scaled to length 1. A document is the mean over its words and the mean over its distinct
 words, beside its length and its shares of new and of repeated words. A network of two layers
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-BUCKETS, DIM, SPARSE = (1 << 16) - 1, 48, 6
+BUCKETS, DIM, SPARSE = (1 << 15) - 1, 48, 6
 FEATURES = 2 * DIM + 3
 CACHE = 200_000
 CHUNK = 1 << 18
