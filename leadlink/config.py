@@ -26,8 +26,8 @@ class Rules:
     spike: float = 0.15
     grain: str = "period"
     exact_types: tuple[str, ...] = ("exact", "exact match", "exact_match", "match", "deterministic")
-    #: Six sets of (name variant, address variant) of a transaction, by index of its variants.
-    sets: tuple[tuple[int, int], ...] = field(default=((0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (2, 1)))
+    #: Six sets of (name variant, address variant) of a transaction, by index of its variants.
+    sets: tuple[tuple[int, int], ...] = field(default=((0, 0), (1, 0), (0, 1), (1, 1), (0, 2), (2, 2)))
 
     def __post_init__(self):
         if not 0 <= self.recall_gate <= 100 or not 0 <= self.floor <= self.cap < self.exact_score:

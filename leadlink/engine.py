@@ -54,7 +54,7 @@ def match(leads: DataFrame, pos: DataFrame, run: str, rules: Rules = R, embedder
     postcode, email and phone; transactions may have more of the last seven (see variants). Every
     pair that any address variant finds is scored once by the best of the sets, in one lazy plan."""
     a, b = identity(leads, "lead"), identity(pos, "pos")
-    exact = matching.with_fiscal_class(matching.exact_pairs(a, b, KEYS), rules).where("fiscal_class = 'NORMAL'")
+    exact = matching.exact_pairs(a, b, KEYS)  # in whatever fiscal order
     exact = exact.select("lead_id", "pos_id", "territory", "pos_year", "pos_period", "pos_week", F.lit(rules.exact_score).alias("final_score"), F.lit("Exact").alias("match_type"), F.lit(None).cast("int").alias("winning_set"))
     rest_a, rest_b = a.join(exact.select("lead_id"), "lead_id", "left_anti"), b.join(exact.select("pos_id"), "pos_id", "left_anti")
     rest_a = rest_a.withColumn("address_text", F.nullif(F.concat_ws(" ", "address", "city", "state", "zip"), F.lit("   ")))
@@ -68,14 +68,16 @@ def match(leads: DataFrame, pos: DataFrame, run: str, rules: Rules = R, embedder
             df = df.join(known.withColumnsRenamed({"text": c, "v": f"{c}_v"}), c, "left").drop(c)
         return df
 
-    x = vectored(rest_a, ["business_name", "address_text"]).where("business_name_v is not null")
+    x = vectored(rest_a, ["business_name", "address_text"])
     x = x.select("territory", "lead_id", "lead_year", "lead_period", "lead_week", "lead_email", "lead_phone", F.col("business_name_v").alias("name_v"), F.col("address_text_v").alias("v"))
     y = vectored(rest_b, [*names, *addresses])
     # what one address variant finds does not take the place of what another finds
     near = [matching.knn_blocked(x.select("territory", "lead_id", "v"), y.select("territory", "pos_id", F.col(f"{c}_v").alias("v")), "territory", rules.top_k, rules.recall_gate) for c in addresses]
     near = reduce(DataFrame.unionByName, near).groupBy("territory", "lead_id", "pos_id").agg(F.max("raw").alias("raw"), F.min("rank").alias("rank"))
     pairs = matching.with_fiscal_class(near.join(x.drop("territory"), "lead_id").join(y.drop("territory"), "pos_id"), rules)
-    pairs = pairs.withColumns({f"{c}_s": vectors.score(F.col("name_v"), F.col(f"{c}_v")) for c in names} | {f"{c}_s": vectors.score(F.col("v"), F.col(f"{c}_v")) for c in addresses})
+    # a lead without a name scores 0 by each name that the transaction has
+    name = lambda c: F.when(F.col(f"{c}_v").isNotNull(), F.coalesce(vectors.score(F.col("name_v"), F.col(f"{c}_v")), F.lit(0.0)))
+    pairs = pairs.withColumns({f"{c}_s": name(c) for c in names} | {f"{c}_s": vectors.score(F.col("v"), F.col(f"{c}_v")) for c in addresses})
     scored = matching.score_sets(pairs, [f"{c}_s" for c in names], [f"{c}_s" for c in addresses], rules)
     own = lambda kind: F.element_at(F.array(*[F.col(f"{kind}_{s[1]}") for s in rules.sets]), F.col("winning_set"))
     same = lambda kind: F.coalesce((F.col(f"lead_{kind}") != "") & (F.col(f"lead_{kind}") == own(kind)), F.lit(False))

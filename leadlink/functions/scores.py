@@ -80,13 +80,42 @@ def first_score(*texts: Column) -> Column:
     return F.coalesce(*[t.try_cast("double") for t in texts])
 
 
-def comment(match_type: Column, score: Column, winning_set: Column) -> Column:
-    return F.concat_ws(
-        " | ",
-        F.concat(F.lit("Type: "), match_type),
-        F.concat(F.lit("Score: "), F.format_string("%.2f", score)),
-        F.concat(F.lit("Set: "), winning_set.cast("string")),
+# fixed values of the report's comments: a matched field and what it is matched with
+MATCHED = [
+    ("pos_business_name", "business_name -> oms_company"),
+    ("address_line_one", "address_line_one -> oms_address_line_1"),
+    ("email", "email -> oms_email_1"),
+    ("phone", "phone -> oms_phone_1"),
+    ("zip_code", "zip_code -> oms_zip"),
+    ("city", "city -> oms_city"),
+    ("state", "state -> oms_state"),
+]
+PRIMARY = "Designated as primary transaction (earliest fiscal period for this lead)."
+
+
+def comment(columns: list[str]) -> Column:
+    """The report's comment on a match, from the columns that there are: the fields of an exact
+    match; set, scores and boosts of another; and whether it is the lead's primary transaction."""
+    col = lambda n, kind="string": F.col(n) if n in columns else F.lit(None).cast(kind)
+    score = F.coalesce(F.col("final_score"), F.lit(0.0))
+    shown = lambda form, x, digits: F.format_string(form, F.bround(x, digits))
+    fields = F.concat_ws(", ", *[F.when(F.coalesce(col(n), F.lit("")) != "", text) for n, text in MATCHED])
+    exact = F.concat_ws(
+        " ",
+        F.concat(F.lit("Complete Match (score "), score.cast("string"), F.lit("/"), score.cast("string"), F.lit(").")),
+        F.when(fields != "", F.concat(F.lit("Fields matched: "), fields, F.lit("."))),
     )
+    number = lambda n: col(n, "double")
+    other = F.concat_ws(
+        " ",
+        F.concat(F.lit("Fuzzy match (set "), F.coalesce(col("winning_set").cast("string"), F.lit("")), F.lit(", score "), F.format_string("%.2f", score), F.lit(").")),
+        F.when(number("business_name_score").isNotNull(), F.concat(F.lit("name_score="), shown("%.1f", number("business_name_score"), 1))),
+        F.when(number("full_address_score").isNotNull(), F.concat(F.lit("addr_score="), shown("%.1f", number("full_address_score"), 1))),
+        F.when(number("email_boost") != 0, F.concat(F.lit("email_boost=+"), shown("%.0f", number("email_boost"), 0))),
+        F.when(number("phone_boost") != 0, F.concat(F.lit("phone_boost=+"), shown("%.0f", number("phone_boost"), 0))),
+    )
+    is_exact = F.lower(F.trim(F.coalesce(F.col("match_type"), F.lit("")))) == "exact"
+    return F.concat_ws(" ", F.when(is_exact, exact).otherwise(other), F.when(col("primary_transaction", "boolean"), PRIMARY))
 
 
 def reasoning(addr: Column, name: Column, boosts: Column, stored: Column, rules: Rules = R) -> tuple[Column, Column]:

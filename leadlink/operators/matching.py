@@ -92,8 +92,11 @@ def with_fiscal_class(pairs: DataFrame, rules: Rules = R) -> DataFrame:
 
 def score_sets(pairs: DataFrame, names: list[str], addresses: list[str], rules: Rules = R) -> DataFrame:
     """Best of the sets of a name and an address score: set_scores, best_score, winning_set,
-    name_score, address_score. Each score is a column, computed once; a missing one drops its sets."""
-    each = [scores.set_score(F.col(addresses[a]), vectors.nan_as_zero(F.col(names[n])) if n == 0 else F.col(names[n]), rules) for n, a in rules.sets]
+    name_score, address_score. Each score is a column, computed once; a missing one drops its sets,
+    whichever name it is, and a name score that is not a number counts as 0."""
+    clean = {n: F.when(F.col(n).isNotNull(), vectors.nan_as_zero(F.col(n))) for n in names}
+    pairs = pairs.withColumns(clean)
+    each = [scores.set_score(F.col(addresses[a]), F.col(names[n]), rules) for n, a in rules.sets]
     out = pairs.withColumn("__b", scores.best_set(each)).withColumns({"best_score": F.col("__b.score"), "winning_set": F.col("__b.set")}).drop("__b").where("best_score >= 0")
     pick = lambda which, cols: F.element_at(F.array(*[F.col(cols[s[which]]) for s in rules.sets]), F.col("winning_set"))
     return out.withColumns({"name_score": pick(0, names), "address_score": pick(1, addresses)})

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Rules
 from ..functions import embed, fiscal, normalize, scores, vectors
-from ..operators import analytics, matching, steps, writeback
+from ..operators import analytics, matching, records, steps, writeback
 from ..schemas import OUTPUT_36, conform
 
 QUERIES: dict = {}
@@ -115,27 +115,27 @@ def q_resolve(spark, d):
     return resolved(spark, d)
 
 
-@query("q_comment_builder", f"""WITH {RESOLVED} SELECT lead_id, pos_id,
- 'Type: ' || match_type || ' | Score: ' || printf('%.2f', final_score) || ' | Set: 1' AS matching_comments FROM resolved""")
-def q_comment(spark, d):
-    return resolved(spark, d).select("lead_id", "pos_id", scores.comment(F.col("match_type"), F.col("final_score"), F.lit(1)).alias("matching_comments"))
-
-
-SETS = "(0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (2, 1)"
+# set by set, as the contract has them: name 0, 1, 0, 1, 0, 2 by address 0, 0, 1, 1, 2, 2; NaN counts as 0
 SIX_SQL = f"""WITH {PAIRS}, v AS (
-  SELECT territory, lead_id, pos_id, raw AS s0, raw * 0.9 AS s1, CASE WHEN pos_id % 5 = 0 THEN NULL ELSE raw * 1.05 END AS s2, raw * 0.8 + 2 AS a0, CASE WHEN pos_id % 3 = 0 THEN NULL ELSE raw END AS a1 FROM knn
+  SELECT territory, lead_id, pos_id, raw, CASE WHEN pos_id % 7 = 0 THEN NULL WHEN pos_id % 11 = 0 THEN 0 ELSE raw END AS n1, CASE WHEN pos_id % 4 = 0 THEN NULL ELSE raw * 0.9 END AS n2,
+    CASE WHEN pos_id % 5 = 0 THEN NULL WHEN pos_id % 6 = 0 THEN 0 ELSE raw * 1.05 END AS n3, CASE WHEN pos_id % 13 = 0 THEN NULL ELSE raw * 0.8 + 2 END AS a1, CASE WHEN pos_id % 3 = 0 THEN NULL ELSE raw END AS a2, CASE WHEN pos_id % 2 = 0 THEN NULL ELSE raw * 1.1 END AS a3 FROM knn
 ), s AS (
-  SELECT *, [(4 * a0 + 3 * s0) / 7, (4 * a1 + 3 * s0) / 7, (4 * a0 + 3 * s1) / 7, (4 * a1 + 3 * s1) / 7, (4 * a0 + 3 * s2) / 7, (4 * a1 + 3 * s2) / 7] AS l FROM v
-), b AS (SELECT *, list_max(l) AS best FROM s)
-SELECT lead_id, pos_id, round(best, 2) AS best_score, CAST(list_position(l, best) AS INT) AS winning_set,
-  round(CASE WHEN list_position(l, best) <= 2 THEN s0 WHEN list_position(l, best) <= 4 THEN s1 ELSE s2 END, 2) AS name_score,
-  round(CASE WHEN list_position(l, best) % 2 = 1 THEN a0 ELSE a1 END, 2) AS address_score FROM b"""
+  SELECT *, (4 * a1 + 3 * n1) / 7 AS set1, (4 * a1 + 3 * n2) / 7 AS set2, (4 * a2 + 3 * n1) / 7 AS set3, (4 * a2 + 3 * n2) / 7 AS set4, (4 * a3 + 3 * n1) / 7 AS set5, (4 * a3 + 3 * n3) / 7 AS set6 FROM v
+), g AS (
+  SELECT *, greatest(coalesce(set1, -1), coalesce(set2, -1), coalesce(set3, -1), coalesce(set4, -1), coalesce(set5, -1), coalesce(set6, -1)) AS best FROM s
+), w AS (
+  SELECT *, CASE best WHEN set1 THEN 1 WHEN set2 THEN 2 WHEN set3 THEN 3 WHEN set4 THEN 4 WHEN set5 THEN 5 ELSE 6 END AS w FROM g WHERE best >= 0
+) SELECT lead_id, pos_id, round(best, 2) AS best_score, CAST(w AS INT) AS winning_set,
+  round(CASE WHEN w IN (1, 3, 5) THEN n1 WHEN w IN (2, 4) THEN n2 ELSE n3 END, 2) AS name_score, round(CASE WHEN w <= 2 THEN a1 WHEN w <= 4 THEN a2 ELSE a3 END, 2) AS address_score FROM w"""
 
 
 def six(spark, d):
-    raw = F.col("raw")
-    v = knn(spark, d).withColumns({"s0": raw, "s1": raw * 0.9, "s2": F.when(F.col("pos_id") % 5 != 0, raw * 1.05), "a0": raw * 0.8 + 2, "a1": F.when(F.col("pos_id") % 3 != 0, raw)})
-    return matching.score_sets(v, ["s0", "s1", "s2"], ["a0", "a1"], GATE)
+    raw, p, nan = F.col("raw"), F.col("pos_id"), F.lit(float("nan"))
+    v = knn(spark, d).withColumns({
+        "n1": F.when(p % 7 == 0, None).when(p % 11 == 0, nan).otherwise(raw), "n2": F.when(p % 4 != 0, raw * 0.9), "n3": F.when(p % 5 == 0, None).when(p % 6 == 0, nan).otherwise(raw * 1.05),
+        "a1": F.when(p % 13 != 0, raw * 0.8 + 2), "a2": F.when(p % 3 != 0, raw), "a3": F.when(p % 2 != 0, raw * 1.1),
+    })
+    return matching.score_sets(v, ["n1", "n2", "n3"], ["a1", "a2", "a3"], GATE)
 
 
 @query("q_six_set_best", SIX_SQL)
@@ -684,3 +684,122 @@ def q_report_36(spark, d):
     x = decisions(spark, d).withColumns({"similarity_score": F.col("final_score"), "fiscal_year_transaction": F.col("pos_year"), "lead_id": F.col("lead_id").cast("string"), "pos_id": F.col("pos_id").cast("string")})
     out = conform(x, OUTPUT_36)
     return out.select("lead_id", "pos_id", "match_type", "similarity_score", "fiscal_year_transaction", "order_amount", F.lit(len(out.columns)).cast("long").alias("n_columns"))
+
+
+# ---- records around a run ----
+COMMENTED = f"""SELECT created, match_type, final_score, CASE WHEN created % 3 = 0 THEN 'Shop' ELSE '' END AS pos_business_name, CASE WHEN created % 4 = 0 THEN '1 Oak St' END AS address_line_one,
+ CASE WHEN created % 5 = 0 THEN 'a@x.org' ELSE '' END AS email, CASE WHEN created % 6 = 0 THEN '2065550100' END AS phone, CASE WHEN created % 7 < 3 THEN '98000' ELSE '' END AS zip_code, CASE WHEN created % 8 < 3 THEN 'Town' END AS city, CASE WHEN created % 9 < 4 THEN 'WA' ELSE '' END AS state,
+ CASE WHEN created % 10 = 0 THEN NULL ELSE CAST(created % 6 + 1 AS INT) END AS winning_set, CASE WHEN created % 11 = 0 THEN NULL ELSE CAST(created % 997 AS DOUBLE) / 10 END AS business_name_score, CASE WHEN created % 12 = 0 THEN NULL ELSE CAST(created % 991 AS DOUBLE) / 10 END AS full_address_score,
+ CAST(CASE WHEN created % 3 = 1 THEN 5 ELSE 0 END AS DOUBLE) AS email_boost, CAST(CASE WHEN created % 5 = 1 THEN 5 END AS DOUBLE) AS phone_boost, created % 4 = 1 AS primary_transaction FROM ({DECIDED}) d2"""
+
+
+@query("q_comment_builder", f"""SELECT created, CASE WHEN lower(trim(match_type)) = 'exact' THEN
+   'Complete Match (score ' || CAST(coalesce(final_score, 0) AS VARCHAR) || '/' || CAST(coalesce(final_score, 0) AS VARCHAR) || ').' ||
+   CASE WHEN f = '' THEN '' ELSE ' Fields matched: ' || f || '.' END
+  ELSE 'Fuzzy match (set ' || coalesce(CAST(winning_set AS VARCHAR), '') || ', score ' || printf('%.2f', coalesce(final_score, 0)) || ').' ||
+   CASE WHEN business_name_score IS NULL THEN '' ELSE ' name_score=' || printf('%.1f', business_name_score) END || CASE WHEN full_address_score IS NULL THEN '' ELSE ' addr_score=' || printf('%.1f', full_address_score) END ||
+   CASE WHEN email_boost <> 0 THEN ' email_boost=+' || printf('%.0f', email_boost) ELSE '' END || CASE WHEN phone_boost <> 0 THEN ' phone_boost=+' || printf('%.0f', phone_boost) ELSE '' END END ||
+  CASE WHEN primary_transaction THEN ' Designated as primary transaction (earliest fiscal period for this lead).' ELSE '' END AS matching_comments
+  FROM (SELECT *, concat_ws(', ', CASE WHEN pos_business_name <> '' THEN 'business_name -> oms_company' END, CASE WHEN address_line_one <> '' THEN 'address_line_one -> oms_address_line_1' END, CASE WHEN email <> '' THEN 'email -> oms_email_1' END,
+   CASE WHEN phone <> '' THEN 'phone -> oms_phone_1' END, CASE WHEN zip_code <> '' THEN 'zip_code -> oms_zip' END, CASE WHEN city <> '' THEN 'city -> oms_city' END, CASE WHEN state <> '' THEN 'state -> oms_state' END) AS f FROM ({COMMENTED}))""")
+def q_comment(spark, d):
+    x = proxy(spark, d, COMMENTED)
+    return x.select("created", scores.comment(x.columns).alias("matching_comments"))
+
+
+BLANKS = "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END AS name, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS address FROM customer"
+
+
+@query("q_drop_all_null", f"SELECT * FROM ({BLANKS}) WHERE name IS NOT NULL OR address IS NOT NULL")
+def q_drop_blank(spark, d):
+    return records.drop_blank(proxy(spark, d, BLANKS), ["name", "address"])
+
+
+RUNS = "SELECT CAST(o_custkey % 25 AS INT) AS territory, o_orderkey AS created, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey % 3 = 0 END AS dry_run, o_orderkey % 4 = 0 AS verification FROM orders"
+
+
+@query("q_latest_real_run", f"SELECT territory, max(created) AS created FROM ({RUNS}) WHERE NOT coalesce(dry_run, false) AND NOT coalesce(verification, false) GROUP BY territory")
+def q_real_runs(spark, d):
+    return records.real_runs(proxy(spark, d, RUNS)).select("territory", "created")
+
+
+CONTACTS = "SELECT n_nationkey AS account_id, lower(n_name) || '@x.org' AS email, CASE WHEN n_nationkey % 2 = 0 THEN '206555010' || n_nationkey END AS phone FROM nation WHERE n_nationkey % 3 <> 0"
+
+
+@query("q_contacts_left_join", f"SELECT lead_id, coalesce(email, '') AS email, coalesce(phone, '') AS phone FROM ({LEADS}) l LEFT JOIN ({CONTACTS}) a ON a.account_id = l.account_id")
+def q_contacts(spark, d):
+    return records.with_contacts(proxy(spark, d, LEADS), proxy(spark, d, CONTACTS)).select("lead_id", "email", "phone")
+
+
+@query("q_suffix_merge", """SELECT c_custkey AS k, c_name AS name_primary, s_name AS name_fuzzy, CAST(c_nationkey AS VARCHAR) AS nation_primary, CAST(s_nationkey AS VARCHAR) AS nation_fuzzy FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
+def q_side_by_side(spark, d):
+    left, right = proxy(spark, d, "SELECT c_custkey AS k, c_name AS name, CAST(c_nationkey AS STRING) AS nation FROM customer"), proxy(spark, d, "SELECT s_suppkey AS k, s_name AS name, CAST(s_nationkey AS STRING) AS nation FROM supplier")
+    return records.side_by_side(left, right, "k")
+
+
+@query("q_detail_lookup", """SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 AND s_suppkey IS NOT NULL THEN s_name ELSE c_name END AS name, CAST(c_nationkey AS BIGINT) AS nation FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey""")
+def q_refreshed(spark, d):
+    left, right = proxy(spark, d, "SELECT c_custkey AS k, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation FROM customer"), proxy(spark, d, "SELECT s_suppkey AS k, s_name AS name FROM supplier")
+    return records.refreshed(left, right, "k", F.col("k") % 2 == 0, ["name"])
+
+
+@query("q_exact_backfill", f"""WITH e AS (SELECT * FROM (SELECT pos_id, lead_id, coalesce(final_score, 100) AS s, row_number() OVER (PARTITION BY pos_id ORDER BY created DESC, lead_id) AS n FROM ({DECIDED}) WHERE {EXACT}) WHERE n = 1),
+ t AS (SELECT pos_id, {HAD} AS match_type, -1::BIGINT AS lead_id, 80.0::DOUBLE AS match_score, pos_id % 16 = 0 AS is_processed FROM ({TRANSACTIONS})),
+ j AS (SELECT t.*, e.lead_id AS nl, e.s, e.pos_id IS NOT NULL AND NOT coalesce(lower(match_type) = 'exact', false) AS take FROM t LEFT JOIN e ON e.pos_id = t.pos_id)
+ SELECT pos_id, CASE WHEN take THEN 'Exact' ELSE match_type END AS match_type, CASE WHEN take THEN nl ELSE lead_id END AS lead_id, CASE WHEN take THEN s ELSE match_score END AS match_score, take OR is_processed AS is_processed FROM j""")
+def q_backfill(spark, d):
+    return records.exact_backfill(snapshot(spark, d), decisions(spark, d))
+
+
+@query("q_table_counts", f"SELECT 'leads' AS table_name, count(*) AS n FROM ({LEADS}) WHERE territory IN (3, 4) UNION ALL SELECT 'accounts', count(*) FROM ({ACCOUNTS}) UNION ALL SELECT 'decisions', count(*) FROM ({DECIDED}) WHERE territory IN (3, 4)")
+def q_counts(spark, d):
+    tables = {"leads": proxy(spark, d, LEADS), "accounts": proxy(spark, d, ACCOUNTS), "decisions": decisions(spark, d)}
+    return records.table_counts(tables, matching.in_scope("territory", frozenset({3, 4})))
+
+
+@query("q_score_range", f"SELECT handoff_class, count(*) AS n, min(similarity_score) AS lowest, max(similarity_score) AS highest FROM (SELECT *, {H_CLASS} AS handoff_class FROM ({HANDOFF.format('VARCHAR')})) GROUP BY handoff_class")
+def q_range(spark, d):
+    return records.score_range(handoff(spark, d), "handoff_class")
+
+
+@query("q_dry_run_cap", f"SELECT lead_id, pos_id, created, final_score FROM ({DECIDED}) ORDER BY final_score DESC NULLS LAST, lead_id, created LIMIT 50")
+def q_dry_run(spark, d):
+    # several orders are one transaction here, so the order's key stands for it
+    x = decisions(spark, d).withColumns({"p": F.col("pos_id"), "pos_id": F.col("created")})
+    return records.dry_run_rows(x, 50).select("lead_id", F.col("p").alias("pos_id"), "created", "final_score")
+
+
+@query("q_territory_order", f"SELECT territory, row_number() OVER (ORDER BY try_cast(territory AS BIGINT) NULLS LAST, territory) AS place FROM (SELECT DISTINCT CASE WHEN territory % 6 = 0 THEN 'T' || territory ELSE CAST(territory AS VARCHAR) END AS territory FROM ({LEADS}))")
+def q_territories(spark, d):
+    t = proxy(spark, d, LEADS).select(F.when(F.col("territory") % 6 == 0, F.concat(F.lit("T"), "territory")).otherwise(F.col("territory").cast("string")).alias("territory")).distinct()
+    # a short list: its places are told once it is in order
+    rows = records.by_territory(t).collect()
+    return spark.createDataFrame([(r[0], i + 1) for i, r in enumerate(rows)], "territory string, place long")
+
+
+OMS = "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN ' ' ELSE c_custkey || ' oak street' END AS oms_address_line_1, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Town' END AS oms_city, CASE WHEN c_custkey % 2 = 0 THEN 'wa' END AS oms_state, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE '98001-22' END AS oms_zip FROM customer"
+OMS_TEXT = ADDRESS.replace("a, '\\s+'", "concat_ws(' ', CASE WHEN trim(oms_address_line_1) <> '' THEN oms_address_line_1 END, CASE WHEN trim(oms_city) <> '' THEN oms_city END, CASE WHEN trim(oms_state) <> '' THEN oms_state END, CASE WHEN trim(oms_zip) <> '' THEN oms_zip END), '\\s+'")
+
+
+@query("q_oms_address", f"SELECT c_custkey, {OMS_TEXT} AS full_oms_address FROM ({OMS})")
+def q_oms(spark, d):
+    return proxy(spark, d, OMS).select("c_custkey", records.oms_address(records.OMS_ADDRESS).alias("full_oms_address"))
+
+
+@query("q_loader_keys", f"SELECT lead_id, lower(trim(name)) AS key_name, CAST(territory AS VARCHAR) AS key_territory FROM (SELECT lead_id, '  ' || name || ' ' AS name, territory FROM ({LEADS}))")
+def q_keys(spark, d):
+    x = proxy(spark, d, LEADS).withColumn("name", F.concat(F.lit("  "), "name", F.lit(" ")))
+    return records.loader_keys(x, ["name", "territory"]).select("lead_id", "key_name", "key_territory")
+
+
+@query("q_missing_ids", "SELECT DISTINCT c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') ORDER BY k LIMIT 100")
+def q_missing(spark, d):
+    ids, known = proxy(spark, d, "SELECT c_custkey AS k FROM customer"), proxy(spark, d, "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'P'")
+    return records.missing_ids(ids, known, "k", 100)
+
+
+@query("q_summary_check", f"""SELECT n_detail, n_not_exact, no_final_score, n_summary, CASE WHEN n_summary = n_detail AND n_not_exact >= 100 AND no_final_score = 0 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM
+ (SELECT count(*) AS n_detail, count(*) FILTER (lower(match_type) <> 'exact') AS n_not_exact, count(*) FILTER (final_score IS NULL) AS no_final_score FROM ({DECIDED})), (SELECT CAST(count(*) AS BIGINT) AS n_summary FROM ({DECIDED}))""")
+def q_summary(spark, d):
+    x = decisions(spark, d)
+    return records.summary_check(x.groupBy("match_type").agg(F.count(F.lit(1)).alias("n")), x, ["final_score"])

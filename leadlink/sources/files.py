@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +20,33 @@ def read_jdbc(spark: SparkSession, url: str, table: str, columns: list[str], **o
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().select(*columns)
 
 
+def files_of(spark: SparkSession, path: str) -> list[str]:
+    """The files that a path, which may be a folder or hold a glob, stands for."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(place) or []:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [x.getPath().toString() for x in inside if x.isFile() and not x.getPath().getName().startswith(("_", "."))]
+    return sorted(found)
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Every column as text. Quotes, doubled quotes and line ends in fields are read; short rows
-    are filled with nulls; file names may hold a glob."""
-    df = spark.read.csv(path, schema=strings(*columns), header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE", enforceSchema=True)
+    """The columns of a contract, as text, found by the header of each file, whose names are trimmed;
+    ValueError names those that a file lacks. Quotes, doubled quotes and line ends in fields are
+    read; short rows are filled with nulls; the path may be a folder or hold a glob."""
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "mode": "PERMISSIVE"}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files_of(spark, path):
+        by_header.setdefault(tuple(spark.read.csv(file, **options).columns), []).append(file)
+    parts = []
+    for header, files in by_header.items():
+        names = [h.strip().lstrip("\ufeff") for h in header]
+        if gone := [c for c in columns if c not in names]:
+            raise ValueError(f"columns are missing in {files[0]}: {gone}")
+        df = spark.read.csv(files, schema=strings(*[f"c{i}" for i in range(len(names))]), enforceSchema=True, **options)
+        parts.append(df.select(*[F.col(f"c{names.index(c)}").alias(c) for c in columns]))
+    df = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], strings(*columns))
     return df.withColumnsRenamed({k: v for k, v in RENAMES.items() if k in columns})
 
 
@@ -63,16 +88,20 @@ def write_summary(df: DataFrame, path: str) -> None:
 
 
 def publish(df: DataFrame, root: str, stamp: str) -> str:
-    """A new snapshot in a folder of its own; the pointer is written once it is whole."""
+    """A new snapshot in a folder of its own. It counts once its last file, _SUCCESS, is there, so no
+    reader ever finds a part of one, nor none where there was one."""
     path = f"{root}/snapshot={stamp}"
-    df.write.parquet(path)
-    df.sparkSession.createDataFrame([(stamp,)], "latest string").coalesce(1).write.mode("overwrite").json(f"{root}/latest")
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(path)
     return path
 
 
 def latest(spark: SparkSession, root: str) -> DataFrame:
-    stamp = spark.read.schema("latest string").json(f"{root}/latest").first()[0]
-    return spark.read.parquet(f"{root}/snapshot={stamp}")
+    """The whole snapshot with the greatest stamp."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/snapshot=*/_SUCCESS")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    if not len(found):
+        raise FileNotFoundError(f"no whole snapshot in {root}")
+    return spark.read.parquet(max(x.getPath().getParent().toString() for x in found))
 
 
 def annotate(spark: SparkSession, path: str, run: str, lead_id: str, note: str) -> None:

@@ -1,7 +1,9 @@
 """The linkage engine on small tables, with the unit vectors of the matching contract."""
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadlink.config import Rules, load_rules, parse_limit, parse_scope
 from leadlink.functions import embed, fiscal, normalize, scores, vectors
@@ -203,15 +205,18 @@ def test_golden_scenarios(spark, tmp_path):
         assert main([task, f"file://{tmp_path}", "--rules", f"{tmp_path}/rules.json"]) == 0
 
 
-@pytest.mark.parametrize("shown, other, won", [("name", "name_2", 3), ("name", "name_3", 5), ("street", "street_2", 2)])
+@pytest.mark.parametrize("shown, other, won", [("name", "name_2", 2), ("name", "name_3", 6), ("street", "street_2", 3)])
 def test_match_by_a_later_variant_only(spark, shown, other, won):
     from leadlink import engine, synth
 
     base = {"territory": 1, "year": 2024, "period": 5, "week": 1, "name": "Harbor Light Bakery", "street": "12 Quay Street", "town": "Salem", "region": "OR", "postcode": "97301", "email": "a@b.co", "phone": ""}
-    fields = synth.COLUMNS + ", name_2 string, name_3 string, street_2 string, town_2 string, region_2 string, postcode_2 string, email_2 string"
-    row = base | {"pos_id": "p", "email": "x@y.co", shown: "Zyqx Vwmk 7788"} | {k: None for k in ("name_2", "name_3", "street_2", "town_2", "region_2", "postcode_2", "email_2")}
+    later = ["name_2", "name_3", *(f"{n}_{i}" for i in (2, 3) for n in ("street", "town", "region", "postcode", "email"))]
+    fields = synth.COLUMNS + "".join(f", {n} string" for n in later)
+    row = base | {"pos_id": "p", "email": "x@y.co", shown: "Zyqx Vwmk 7788"} | dict.fromkeys(later)
     if shown == "street":
         row |= {"town": "Juneau", "region": "AK", "postcode": "99801", "town_2": "Salem", "region_2": "OR", "postcode_2": "97301", "email_2": "a@b.co"}
+    if other == "name_3":  # the third name goes with the third address
+        row |= {"street_3": base["street"], "town_3": "Salem", "region_3": "OR", "postcode_3": "97301", "email_3": "a@b.co"}
     row[other] = base[shown]
     leads = spark.createDataFrame([base | {"lead_id": "l"}], f"lead_id string, {synth.COLUMNS}")
     pos = spark.createDataFrame([row], f"pos_id string, {fields}")
@@ -219,7 +224,7 @@ def test_match_by_a_later_variant_only(spark, shown, other, won):
     (got,) = run.decisions.collect()
     assert (got["lead_id"], got["match_type"], got["winning_set"]) == ("l", "Fuzzy", won) and got["final_score"] >= 99
     boosts = [(r["email_boost"], r["phone_boost"]) for r in run.candidates.collect()]
-    assert boosts == [(5.0 if shown == "street" else 0.0, 0.0)]
+    assert boosts == [(0.0 if other == "name_2" else 5.0, 0.0)]
 
 
 def test_steps(spark):
@@ -238,3 +243,45 @@ def test_steps(spark):
     tables = {"lead": leads, "account": spark.createDataFrame([(10,), (20,), (None,)], "account_id int"), "contact": spark.createDataFrame([(1, "c"), (2, "d")], "lead_id int, c string")}
     left = steps.purge(tables, 7)
     assert [left[n].collect()[0][0] for n in ("lead", "account", "contact")] == [2, 20, 2] and left["account"].count() == 1
+
+
+# ---- sources by their headers, snapshots, rules of the six sets ----
+def test_csv_is_read_by_its_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('pos_id, lead_id ,extra\np1,"l ""1""\nx",z\np2\n')
+    (tmp_path / "b.csv").write_text("﻿lead_id,pos_id\nl3,p3\n")
+    got = files.read_csv(spark, f"file://{tmp_path}/*.csv", ["lead_id", "pos_id"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, [Row(lead_id='l "1"\nx', pos_id="p1"), Row(lead_id=None, pos_id="p2"), Row(lead_id="l3", pos_id="p3")]))
+    with pytest.raises(ValueError, match="score"):
+        files.read_csv(spark, f"file://{tmp_path}/a.csv", ["lead_id", "score"])
+    assert files.read_csv(spark, f"file://{tmp_path}/none*.csv", ["lead_id"]).count() == 0
+
+
+def test_a_snapshot_counts_once_it_is_whole(spark, tmp_path):
+    root = f"file://{tmp_path}/s"
+    with pytest.raises(FileNotFoundError):
+        files.latest(spark, root)
+    files.publish(spark.range(3), root, "2024-01-01")
+    (tmp_path / "s" / "snapshot=2024-02-01").mkdir()  # one that is being written
+    assert files.latest(spark, root).count() == 3
+
+
+def test_json_and_annotations(spark, tmp_path):
+    (tmp_path / "r.json").write_text('[{"a": 1},\n {"a": 2, "b": "x"}]')
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    assert sorted(map(tuple, files.read_json(spark, f"file://{tmp_path}/r.json", schema).collect())) == [(1, None), (2, "x")]
+    for note in ("first", "second"):
+        files.annotate(spark, f"file://{tmp_path}/notes", "run", "L1", note)
+    assert sorted(r["note"] for r in spark.read.parquet(f"file://{tmp_path}/notes").collect()) == ["first", "second"]
+
+
+def test_first_score_and_timestamps(spark):
+    df = spark.createDataFrame([("x", "7.5", 2024, 2, 3), (None, "", 2024, 1, 1)], "a string, b string, y int, p int, w int")
+    r = df.select(scores.first_score(F.col("a"), F.col("b")).alias("s"), fiscal.to_timestamp(F.col("y"), F.col("p"), F.col("w")).cast("string").alias("t")).collect()
+    assert [tuple(x) for x in r] == [(7.5, "2024-02-12 00:00:00"), (None, "2024-01-01 00:00:00")]
+
+
+def test_sets_of_missing_names(spark):
+    rows = [(1, 80.0, None, None, 70.0, None, None), (2, None, 90.0, None, 70.0, None, None), (3, float("nan"), None, None, 70.0, None, None), (4, 50.0, None, 60.0, None, None, 80.0), (5, None, None, None, 70.0, None, None)]
+    df = spark.createDataFrame(rows, "id int, n1 double, n2 double, n3 double, a1 double, a2 double, a3 double")
+    got = {r["id"]: (round(r["best_score"], 4), r["winning_set"]) for r in matching.score_sets(df, ["n1", "n2", "n3"], ["a1", "a2", "a3"]).collect()}
+    assert got == {1: (round(520 / 7, 4), 1), 2: (round(550 / 7, 4), 2), 3: (40.0, 1), 4: (round(500 / 7, 4), 6)}
