@@ -27,7 +27,7 @@ from .common import Scratch
 BUCKETS, DIM, SPARSE = (1 << 15) - 1, 48, 6
 FEATURES = 2 * DIM + 3
 CACHE = 200_000
-CHUNK = 1 << 18
+CHUNK = 1 << 17
 
 
 def index_vectors(n: int, dim: int = DIM, seed: int = 42) -> np.ndarray:

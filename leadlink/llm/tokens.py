@@ -167,6 +167,14 @@ class Encoder:
         self.kind = kind(self.t.get_vocab_size())
         self.pieces = Pieces(self.t, {"<u2": "H", "<u4": "I"}[self.kind]) if self.simple else None
 
+    def close(self) -> None:
+        """Gives up the pieces, as a worker process goes on to tasks of other operators."""
+        import pyarrow as pa
+
+        if self.simple:
+            self.pieces.clear()
+        pa.default_memory_pool().release_unused()
+
     def whole(self, text: str) -> bytes:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
@@ -251,6 +259,7 @@ def tokenize(docs: DataFrame, path: str, end: int | None) -> DataFrame:
             for ids in e.batches(b.column(1), end):
                 yield pa.RecordBatch.from_arrays([b.column(0)[at : at + len(ids)], ids], ["doc_id", "ids"])
                 at += len(ids)
+        e.close()
 
     return docs.select("doc_id", "text").mapInArrow(of, f"doc_id {dict(docs.dtypes)['doc_id']}, ids binary")
 
