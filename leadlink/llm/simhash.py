@@ -306,9 +306,10 @@ def near_pairs(node: np.ndarray, s: np.ndarray) -> tuple[list, list, list]:
     for i in range(len(node)):
         near = np.flatnonzero(distance(s, s[i]) <= NEAR)
         if large:
-            others, at = np.unique(tree[near], return_index=True)
-            apart += [(int(node[i]), int(node[near[x]])) for o, x in zip(others, at) if o != tree[i]]
-            tree[np.isin(tree, others)] = tree[i]
+            if (tree[near] != tree[i]).any():
+                others, at = np.unique(tree[near], return_index=True)
+                apart += [(int(node[i]), int(node[near[x]])) for o, x in zip(others, at) if o != tree[i]]
+                tree[np.isin(tree, others)] = tree[i]
             if linked[i]:
                 continue
         near = near[near != i] if large else near[near > i]
