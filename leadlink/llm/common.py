@@ -70,6 +70,30 @@ def released():
             scratch.drop()
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int):
+    """Plans that run within give Python workers batches of about `size` bytes, as workers and JVM
+    hold several copies of a batch. The session's own setting is back afterwards."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def tidy() -> None:
+    """Gives free memory back to the system at the end of a task, as its worker process lives on."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def spread(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int, shares: int = 10_000) -> DataFrame:
     """rows joined with table by not null columns `on`. The table has one row for each key, and in
     `weight` how many of rows (`total` in all) have it. Keys of over 1 / shares of all rows are less

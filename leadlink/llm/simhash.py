@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, spread, text_key
+from .common import Scratch, batches_of, components, spread, text_key, tidy
 
 BITS = 64
 
@@ -200,6 +200,8 @@ NEAR = 44
 SMALL = 64
 #: Shingles that so many of about SAMPLE texts have are common (the MOST most common ones).
 SAMPLE, COMMON, MOST = 20_000, 20, 200_000
+#: Texts go to Python workers in batches of about so many bytes.
+BATCH = 8 << 20
 
 
 def shingle_set(data: bytes, words: int) -> tuple[bytes, set[bytes]]:
@@ -275,6 +277,7 @@ def long_prints(docs: DataFrame, words: int, share: float) -> DataFrame:
             p["s0"], p["s1"] = np.array(prints, np.int64).reshape(-1, 2).T
             p["n"], p["keys"] = sizes, keys
             yield p
+        tidy()
 
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInPandas(of, f"doc_id {kind}, text string, node long, s0 long, s1 long, n long, keys array<long>")
@@ -376,10 +379,17 @@ def hashed_sets(words: int):
         for p in batches:
             h = [np.sort(digests(shingle_set((x or "").encode("utf-8", "surrogatepass"), words)[1])[:, 0]).tobytes() for x in p["text"]]
             yield pd.DataFrame({"node": p["node"], "h": h})
+        tidy()
 
     return of
 
 
+def texts_of(scratch: Scratch, rows: DataFrame, nodes: DataFrame, some: DataFrame, name: str) -> DataFrame:
+    """(node, text): one text of each node in some. Rows of a node that many rows have are not moved."""
+    of = scratch.table(nodes.select("node", "copies").join(some, "node", "left_semi"), f"{name}-nodes")
+    return spread(rows.select("node", "text"), of, ["node"], "copies", rows.count()).select("node", "text").dropDuplicates(["node"])
+
+
 def links_of(share: float, label: np.ndarray, mine: np.ndarray, s: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Pairs (a, b) of sets, a in one of two blocks and b in the other (or both in one, if there is one),
     of different labels, near by fingerprint, with a Jaccard similarity of at least share; one
@@ -431,6 +441,8 @@ def in_groups(share: float):
                 held.append(p.iloc[a:b])
         if held:
             yield solved()
+        held = []
+        tidy()
 
     return run
 
@@ -448,7 +460,7 @@ def grouped_links(scratch: Scratch, crowd: DataFrame, label: DataFrame, nodes: D
     open_ = own.groupBy("g").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.ceil((F.sum("n") + 1) / block).cast("int").alias("blocks"), F.count(F.lit(1)).alias("c"))
     open_ = scratch.table(open_.where("a <> b").drop("a", "b"), "open")
     own = scratch.table(spread(own, open_, ["g"], "c", own.count()), "open-members")
-    texts = rows.join(own.select("node"), "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+    texts = texts_of(scratch, rows, nodes, own, "members")
     dealt = own.join(texts.mapInPandas(hashed_sets(words), "node long, h binary"), "node")
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "label", "s0", "s1", "h")
@@ -456,16 +468,19 @@ def grouped_links(scratch: Scratch, crowd: DataFrame, label: DataFrame, nodes: D
     return dealt.mapInPandas(in_groups(share), "u long, v long")
 
 
-def verified(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, share: float, name: str) -> DataFrame:
+def verified(scratch: Scratch, pairs: DataFrame, rows: DataFrame, nodes: DataFrame, words: int, share: float, name: str) -> DataFrame:
     """The pairs (u, v) of nodes whose distinct shingles have a Jaccard similarity of at least share."""
 
     def exact(batches):
-        known = {}
+        known, size = {}, 0
 
         def of(node, text):
+            nonlocal size
             if node not in known:
-                if len(known) >= 16:
+                size += len(text or "")
+                if len(known) >= 16 or size > 1 << 21:
                     known.clear()
+                    size = len(text or "")
                 known[node] = shingle_set((text or "").encode("utf-8", "surrogatepass"), words)[1]
             return known[node]
 
@@ -476,10 +491,12 @@ def verified(scratch: Scratch, pairs: DataFrame, texts: DataFrame, words: int, s
                 both = len(x & y)
                 keep.append(both >= share * (len(x) + len(y) - both) - 1e-9)
             yield p.loc[np.array(keep, bool), ["u", "v"]]
+        known.clear()
+        tidy()
 
     sought = scratch.table(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), f"{name}-pairs")
     of = sought.select(F.col("u").alias("node")).union(sought.select("v")).distinct()
-    own = scratch.table(texts.join(of, "node", "left_semi").select("node", "text").dropDuplicates(["node"]), f"{name}-texts")
+    own = scratch.table(texts_of(scratch, rows, nodes, of, name), f"{name}-texts")
     both = sought.join(own.withColumnsRenamed({"node": "u", "text": "a"}), "u").join(own.withColumnsRenamed({"node": "v", "text": "b"}), "v")
     return scratch.table(both.select("u", "v", "a", "b").mapInPandas(exact, "u long, v long"), name)
 
@@ -493,22 +510,29 @@ def similar(spark: SparkSession, docs: DataFrame, words: int = 5, share: float =
     by SimHash of 128 bits; all are verified by their shingles as texts, unless already linked by
     others. First links go to the middle of a bucket; what these leave apart comes second, by pairs for
     small buckets and by groups for others (see grouped_links)."""
-    scratch = Scratch(spark, "similar")
+    with batches_of(spark, BATCH):
+        return labelled(Scratch(spark, "similar"), docs, words, share)
+
+
+def labelled(scratch: Scratch, docs: DataFrame, words: int, share: float) -> DataFrame:
+    """The rows of similar(); all that Python does is done and written when it returns."""
+    spark = docs.sparkSession
     rows = scratch.table(long_prints(docs, words, share), "rows")
-    nodes = scratch.table(rows.select("node", "s0", "s1", "n", "keys").dropDuplicates(["node"]), "nodes")
+    of_node = [F.first(c).alias(c) for c in ("s0", "s1", "n", "keys")]
+    nodes = scratch.table(rows.groupBy("node").agg(*of_node, F.count(F.lit(1)).alias("copies")), "nodes")
     met = nodes.select("node", "s0", "s1", F.explode("keys").alias("k")).repartition("k").sortWithinPartitions("k", "node")
     found = scratch.table(met.mapInPandas(buckets(["node", "s0", "s1"], in_bucket), "kind int, u long, v long"), "found")
-    links = verified(scratch, found.where("kind = 0").select("u", "v"), rows, words, share, "first")
+    links = verified(scratch, found.where("kind = 0").select("u", "v"), rows, nodes, words, share, "first")
     label = scratch.table(components(scratch, links, "u", "v"), "label")
     ends = [label.select(F.col("node").alias(f"n{x}"), F.col("label").alias(f"l{x}")) for x in "uv"]
     apart = found.where("kind = 1").select("u", "v").distinct().join(ends[0], F.col("u") == F.col("nu"), "left").join(ends[1], F.col("v") == F.col("nv"), "left")
     apart = apart.where("coalesce(lu, u) <> coalesce(lv, v)").select("u", "v")
     apart = apart.union(grouped_links(scratch, found.where("kind = 2").select("u", "v"), label, nodes, rows, words, share))
-    links = links.union(verified(scratch, apart, rows, words, share, "second"))
+    links = links.union(verified(scratch, apart, rows, nodes, words, share, "second"))
     label = components(Scratch(spark, "similar-all"), links, "u", "v")
     h1, h2 = text_key(F.col("text"))
     narrow = rows.select("doc_id", h1.alias("k1"), h2.alias("k2"), "node")
-    times = narrow.groupBy(F.col("node").alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    times = nodes.select(F.col("node").alias("x"), F.col("copies").alias("n"))
     of = scratch.table(times.join(label, F.col("x") == F.col("node"), "left").select(F.col("x").alias("node"), "n", F.coalesce("label", "x").alias("label")), "of")
     return spread(narrow, of, ["node"], "n", rows.count()).select("doc_id", "k1", "k2", "label")
 
