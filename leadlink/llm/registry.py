@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["simhash", "lines", "quality", "decontaminate", "tokens", "suffixes", "embeddings", "mixing", "language", "sharding", "licenses", "sessions"]
+MODULES = ["simhash", "lines", "quality", "decontaminate", "tokens", "suffixes", "embeddings", "mixing", "language", "sharding", "prefixes", "licenses", "sessions"]
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

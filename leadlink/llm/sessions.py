@@ -1,15 +1,15 @@
 """Sessions of clicks by gap, final click and length, from summaries of time cells.
 
-Clicks are aggregated by client and time cell. A cell is as wide as the gap, so no gap lies within
-one, and a gap between clicks of two cells shows in the maximum of one and the minimum of the next.
-Islands (runs without a gap) are found on these summaries alone and joined back to the clicks. They
-are then cut after final clicks, and what is left is cut by length: every click points to the first
-one of its run that is over `length` later, and the pointers are doubled until all starts of
-sessions that can be reached from the start of a run are marked.
-
-The last start before a click is found in three steps, within a cell, a block of cells and a client
-(one row for each block), so no task takes the rows of a whole client, and nothing is broadcast or
-collected.
+A cell is as wide as the gap, so no gap lies within one, and a gap between clicks of two cells shows in
+the maximum of one and the minimum of the next. The clicks of a client and cell are aggregated to pieces,
+which end at final clicks, and pieces to cells. Islands (runs without a gap or a final click) are found on
+the cells alone and joined back to the pieces. Runs over `length` are then cut: every click of theirs
+points to the first one of its run that is over `length` later, and the pointers are doubled until all
+starts of sessions that can be reached from the start of a run are marked.
+
+The last start before a cell is found in two steps, within a block of cells and over the blocks of a client
+(one row for each), so no task takes the rows of a whole client, and nothing is broadcast or collected.
+Clicks themselves are shuffled twice: by click_id, as they repeat, and by client and cell.
 """
 
 from __future__ import annotations
@@ -39,49 +39,87 @@ def merged(a: DataFrame, b: DataFrame, on: list[str], how: str = "inner") -> Dat
     return a.hint("merge").join(b.hint("merge"), on, how)
 
 
+def before(cells: DataFrame, start: str) -> DataFrame:
+    """client_id, cell and `earlier`: the largest not null `start` of the client's earlier cells."""
+    cells = cells.withColumn("block", F.floor(F.col("cell") / BLOCK))
+    upto = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = cells.groupBy("client_id", "block").agg(F.max(start).alias("m"))
+    blocks = blocks.select("client_id", "block", F.max("m").over(upto("client_id").orderBy("block")).alias("o"))
+    cells = cells.withColumn("p", F.max(start).over(upto("client_id", "block").orderBy("cell")))
+    return merged(cells, blocks, ["client_id", "block"]).select("client_id", "cell", F.coalesce("p", "o").alias("earlier"))
+
+
 def carried(scratch: Scratch, rows: DataFrame, start: str, out: str, name: str) -> DataFrame:
     """rows with `out`, the last not null `start` of the client at or before the row, in the order of
     (us, late, click_id). A start is a struct (us, click_id) of its own row, so the last is the largest."""
     upto = Window.partitionBy("client_id", "cell").orderBy("us", "late", "click_id").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("within", F.max(start).over(upto))
-    cells = rows.groupBy("client_id", "cell").agg(F.max(start).alias("m")).withColumn("block", F.floor(F.col("cell") / BLOCK))
-    cells = scratch.table(cells, name)
-    before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = cells.groupBy("client_id", "block").agg(F.max("m").alias("m"))
-    blocks = blocks.select("client_id", "block", F.max("m").over(Window.partitionBy("client_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)).alias("o"))
-    cells = cells.withColumn("p", F.max("m").over(before.partitionBy("client_id", "block")))
-    cells = merged(cells, blocks, ["client_id", "block"]).select("client_id", "cell", F.coalesce("p", "o").alias("earlier"))
-    return merged(rows, cells, ["client_id", "cell"]).withColumn(out, F.coalesce("within", "earlier")).drop("within", "earlier")
-
-
-def opened(scratch: Scratch, clicks: DataFrame, gap: int) -> DataFrame:
-    """clicks with `start` (their own us and click_id where they follow a gap or a final click, else
-    null) and `ahead`: microseconds to the client's next timely click, gap where it is that far or
-    farther, null where there is none."""
-    own = F.struct("us", "click_id")
-    cells = clicks.where("NOT late").groupBy("client_id", "cell").agg(F.min(own).alias("low"), F.max(F.struct("us", "click_id", "final")).alias("high"))
+    cells = scratch.table(rows.groupBy("client_id", "cell").agg(F.max(start).alias("m")), name)
+    return merged(rows, before(cells, "m"), ["client_id", "cell"]).withColumn(out, F.coalesce("within", "earlier")).drop("within", "earlier")
+
+
+def pieces(scratch: Scratch, clicks: DataFrame) -> DataFrame:
+    """A row for each client, cell and piece: begin (us and click_id of its first timely click; null for late
+    clicks before any), path (us, click_id and cents of its timely clicks, in order), lates (us of its late
+    clicks), final (its last click is), end (us of its last click), leads and ends (it is the first, or the
+    last, of its cell) and soon (microseconds from its end to the cell's next piece, null for the last)."""
+    rows = clicks.withColumn("was", F.expr("lag(CASE WHEN NOT late THEN final END) IGNORE NULLS OVER (PARTITION BY client_id, cell ORDER BY us, late, click_id)"))
+    begins = ~F.col("late") & F.coalesce("was", F.lit(True))
+    upto = Window.partitionBy("client_id", "cell").orderBy("us", "late", "click_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("begin", F.max(F.when(begins, F.struct("us", "click_id"))).over(upto))
+    parts = rows.groupBy("client_id", "cell", "begin").agg(
+        F.array_sort(F.collect_list(F.when(~F.col("late"), F.struct("us", "click_id", "cents")))).alias("path"),
+        F.collect_list(F.when(F.col("late"), F.col("us"))).alias("lates"),
+        F.bool_or(F.col("final") & ~F.col("late")).alias("final"),
+        F.bool_or(~F.col("late") & F.col("was").isNull()).alias("leads"),
+    )
+    next_us = F.lead("begin.us").over(Window.partitionBy("client_id", "cell").orderBy("begin"))
+    parts = parts.withColumns({"end": F.try_element_at("path", F.lit(-1))["us"], "next": next_us})
+    return scratch.table(parts.withColumns({"ends": F.col("end").isNotNull() & F.col("next").isNull(), "soon": F.col("next") - F.col("end")}).drop("next"), "pieces")
+
+
+def islands(scratch: Scratch, parts: DataFrame, gap: int, length: int) -> DataFrame:
+    """client_id and cell, from pieces, with opens (its first click follows a gap or a final click), beyond
+    (microseconds from its last click to the client's next one, gap where it is that far or farther, -1 where
+    there is none), earlier (the run that goes on from the cells before), and long_in and long_out: whether
+    the runs of its first and of its last piece are over `length`."""
+    pick = lambda where, x, name: F.max(F.when(F.col(where), F.col(x))).alias(name)
+    cells = parts.groupBy("client_id", "cell").agg(
+        pick("leads", "begin.us", "low"), pick("leads", "begin.click_id", "low_id"), pick("leads", "end", "low_end"),
+        pick("ends", "begin.us", "out"), pick("ends", "begin.click_id", "out_id"), pick("ends", "end", "high"), pick("ends", "final", "final"),
+        (F.count("end") > 1).alias("several"),
+    )
     cells = scratch.table(cells, "cells")
-    left = cells.select("client_id", (F.col("cell") + 1).alias("cell"), F.col("high").alias("prev"))
-    right = cells.select("client_id", (F.col("cell") - 1).alias("cell"), F.col("low").alias("next"))
-    # whether a later cell has clicks: in the block, or in a later block
-    in_block = Window.partitionBy("client_id", F.floor(F.col("cell") / BLOCK)).orderBy("cell")
-    blocks = cells.select("client_id", F.floor(F.col("cell") / BLOCK).alias("block")).distinct()
-    blocks = blocks.withColumn("more", F.lead("block").over(Window.partitionBy("client_id").orderBy("block")).isNotNull())
-    cells = cells.withColumns({"block": F.floor(F.col("cell") / BLOCK), "follows": F.lead("cell").over(in_block).isNotNull()})
-    cells = merged(merged(merged(cells, blocks, ["client_id", "block"]), left, ["client_id", "cell"], "left"), right, ["client_id", "cell"], "left")
-    wide = F.col("next.us") - F.col("high.us")
+    timely = F.col("low").isNotNull()
+    # what the cells on both sides end and begin with
+    none = lambda kind: F.lit(None).cast(kind)
+    sides = cells.where(timely).select("client_id", (F.col("cell") + 1).alias("cell"), F.col("high").alias("prev"), F.col("final").alias("was"), none("long").alias("next"))
+    sides = sides.unionByName(cells.where(timely).select("client_id", (F.col("cell") - 1).alias("cell"), none("long").alias("prev"), none("boolean").alias("was"), F.col("low").alias("next")))
+    sides = sides.groupBy("client_id", "cell").agg(F.max("prev").alias("prev"), F.max("was").alias("was"), F.max("next").alias("next"))
+    # whether a later cell has timely clicks: in the block, or in a later block
+    blocks = cells.groupBy("client_id", F.floor(F.col("cell") / BLOCK).alias("block")).agg(F.max(F.when(timely, F.col("cell"))).alias("last"))
+    later = Window.partitionBy("client_id").orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    blocks = blocks.select("client_id", "block", "last", F.max("last").over(later).isNotNull().alias("more"))
+    cells = merged(cells.withColumn("block", F.floor(F.col("cell") / BLOCK)), blocks, ["client_id", "block"])
+    cells = merged(cells, sides, ["client_id", "cell"], "left")
+    begin, out = F.struct(F.col("low").alias("us"), F.col("low_id").alias("click_id")), F.struct(F.col("out").alias("us"), F.col("out_id").alias("click_id"))
+    opens = timely & F.coalesce(F.col("was") | (F.col("low") - F.col("prev") >= gap), F.lit(True))
+    goes_on = (F.col("cell") < F.col("last")) | F.col("more")
     cells = cells.select(
-        "client_id", "cell",
-        F.coalesce(F.col("prev.final") | (F.col("low.us") - F.col("prev.us") >= gap), F.lit(True)).alias("opens"),
-        F.when(F.col("next").isNotNull(), F.least(wide, F.lit(gap))).when(F.col("follows") | F.col("more"), F.lit(gap)).alias("beyond"),
+        "client_id", "cell", "several", "low_end", "high", F.when(timely, begin).alias("begin"), F.when(timely, out).alias("out"), opens.alias("opens"),
+        F.when(F.col("next").isNotNull(), F.least(F.col("next") - F.col("high"), F.lit(gap))).when(goes_on, F.lit(gap)).otherwise(-1).alias("beyond"),
     )
-    over = "OVER (PARTITION BY client_id, cell ORDER BY us, late, click_id)"
-    rows = merged(clicks, cells, ["client_id", "cell"], "left").withColumns({
-        "was": F.expr(f"lag(CASE WHEN NOT late THEN final END) IGNORE NULLS {over}"),
-        "soon": F.expr(f"lead(CASE WHEN NOT late THEN us END) IGNORE NULLS {over}"),
-    })
-    begins = ~F.col("late") & F.coalesce("was", "opens")
-    return rows.withColumns({"start": F.when(begins, own), "ahead": F.coalesce(F.col("soon") - F.col("us"), "beyond")}).drop("opens", "beyond", "was", "soon")
+    cells = scratch.table(cells.withColumn("start", F.when(F.col("several"), F.col("out")).when(F.col("opens"), F.col("begin"))), "opened")
+    cells = merged(cells, before(cells, "start"), ["client_id", "cell"])
+    run_in = F.when(F.col("opens"), F.col("begin")).otherwise(F.col("earlier"))
+    cells = cells.select("client_id", "cell", "opens", "beyond", "earlier", "low_end", "high", run_in.alias("run_in"), F.when(F.col("several"), F.col("out")).alias("run_out"))
+    cells = scratch.table(cells, "islands")
+    both = F.array(F.struct(F.lit(True).alias("in"), F.col("run_in").alias("run"), F.col("low_end").alias("end")), F.struct(F.lit(False).alias("in"), F.col("run_out").alias("run"), F.col("high").alias("end")))
+    spans = cells.select("client_id", "cell", F.explode(both).alias("s")).select("client_id", "cell", "s.*").where("run IS NOT NULL")
+    long = spans.where(F.col("end") - F.col("run.us") > length).select("client_id", "run").distinct()
+    marks = merged(spans, long, ["client_id", "run"]).groupBy("client_id", "cell").agg(F.bool_or("in").alias("long_in"), F.bool_or(~F.col("in")).alias("long_out"))
+    cells = merged(cells.drop("low_end", "high", "run_in", "run_out"), marks, ["client_id", "cell"], "left")
+    return cells.na.fill(False, ["long_in", "long_out"])
 
 
 def by_length(scratch: Scratch, rows: DataFrame, gap: int, length: int) -> DataFrame:
@@ -116,13 +154,39 @@ def by_length(scratch: Scratch, rows: DataFrame, gap: int, length: int) -> DataF
     return starts
 
 
+def long_runs(scratch: Scratch, parts: DataFrame, gap: int, length: int) -> DataFrame:
+    """Sessions of the pieces of runs over `length`, click by click."""
+    last = F.element_at("path", -1)
+    timely = parts.where("end IS NOT NULL").select("client_id", "cell", F.col("session").alias("run"), "final", "ahead", last.alias("last"), F.explode("path").alias("x"))
+    at_end = F.col("x") == F.col("last")
+    timely = timely.select("client_id", "cell", "run", "x.*", F.lit(False).alias("late"), (at_end & F.col("final")).alias("final"), F.when(at_end, F.col("ahead")).otherwise(0).alias("ahead"))
+    late = parts.select("client_id", "cell", F.col("session").alias("run"), F.explode("lates").alias("us"))
+    none = lambda kind: F.lit(None).cast(kind)
+    late = late.select("client_id", "cell", "run", "us", none("long").alias("click_id"), none("long").alias("cents"), F.lit(True).alias("late"), F.lit(False).alias("final"), none("long").alias("ahead"))
+    rows = scratch.table(timely.unionByName(late), "long")
+    cut = by_length(scratch, rows.where("NOT late"), gap, length).withColumn("cuts", F.lit(True))
+    rows = merged(rows.withColumn("at", F.struct("us", "click_id")), cut, ["client_id", "at"], "left")
+    begins = ~F.col("late") & (F.col("cuts").isNotNull() | (F.col("run") == F.col("at")))
+    rows = scratch.table(rows.withColumn("start", F.when(begins, F.col("at"))).drop("cuts", "at"), "cut")
+    rows = carried(scratch, rows, "start", "session", "starts")
+    timely = ~F.col("late")
+    found = rows.groupBy("client_id", "session").agg(
+        F.max(F.when(timely, F.struct("us", "click_id", "final", "ahead"))).alias("last"),
+        F.count(F.when(timely, F.lit(1))).alias("n_clicks"),
+        F.count(F.when(~timely, F.lit(1))).alias("n_late"),
+        F.sum(F.col("cents").cast("decimal(38,0)")).try_cast("long").alias("value_cents"),
+        F.array_sort(F.collect_list(F.when(timely, F.struct("us", "click_id")))).alias("path"),
+    )
+    return found.select("client_id", "session", F.col("last.us").alias("end_us"), "last.final", "last.ahead", "n_clicks", "n_late", "value_cents", F.col("path.click_id").alias("clicks"))
+
+
 def sessions(spark: SparkSession, clicks: DataFrame, gap: int = 15 * MINUTE, length: int = 60 * MINUTE, late: int = 15 * MINUTE, final: tuple = FINAL, least: float = 60.0) -> DataFrame:
     """One row for each session: client_id, session_id (its first click), start_us, end_us, n_clicks,
     n_late, value_cents, closed_by, and clicks: its click_ids in the order of ts and click_id.
 
     Rows with a null client_id or ts belong to nothing. Rows of one click_id count once; if they
-    differ, the smallest (ts, client_id, arrived_at, kind, value) does; a null click_id counts as
-    one id, before all others. Clicks that arrive over `late` after their time join no session; they
+    differ in what is used, the one with the smallest hash of it does; a null click_id counts as one id,
+    before all others. Clicks that arrive over `late` after their time join no session; they
     count at the last session of their client that starts at or before them. A null arrived_at is
     not late. Of equal times the smaller click_id comes first. A click is final if its kind is in
     `final` and its value is `least` or more; a null kind or value is not. A value that is null, NaN or infinite
@@ -131,43 +195,41 @@ def sessions(spark: SparkSession, clicks: DataFrame, gap: int = 15 * MINUTE, len
     value are ignored, whatever they are named."""
     scratch = Scratch(spark, "sessions")
     own = clicks.where("client_id IS NOT NULL AND ts IS NOT NULL")
-    own = own.select("click_id", F.struct(micros(own, "ts").alias("us"), "client_id", micros(own, "arrived_at").alias("arrived"), "kind", "value").alias("r"))
-    own = own.groupBy("click_id").agg(F.min("r").alias("r")).select("click_id", "r.*")
+    own = own.select("click_id", "client_id", micros(own, "ts").alias("us"), micros(own, "arrived_at").alias("arrived"), "kind", "value")
     value = F.col("value")
     cents = F.when(value.isNull() | F.isnan(value) | (F.abs(value) == float("inf")), F.lit(0).cast("long")).otherwise(F.floor(value * 100 + 0.5))
     rows = own.select(
-        "client_id", "click_id", "us", F.floor(F.col("us") / gap).alias("cell"),
+        "click_id", "client_id", "us",
         F.coalesce(F.col("arrived") - F.col("us") > late, F.lit(False)).alias("late"),
         F.coalesce(F.col("kind").isin(*final) & (value >= least) & ~F.isnan(value), F.lit(False)).alias("final"),
         cents.alias("cents"),
     )
-    rows = scratch.table(rows, "clicks")
-    rows = scratch.table(opened(scratch, rows, gap), "opened")
-    rows = scratch.table(carried(scratch, rows, "start", "run", "starts").where("run IS NOT NULL"), "runs")
-    # runs of over `length` are cut again; the others are sessions
-    key = ["client_id", "run"]
-    span = rows.where("NOT late").groupBy(*key).agg((F.max("us") - F.min("us")).alias("span"))
-    long = scratch.table(merged(rows, span.where(F.col("span") > length).select(*key), key), "long")
-    cut = by_length(scratch, long.where("NOT late"), gap, length)
-    again = merged(long.drop("start").withColumn("at", F.struct("us", "click_id")), cut.withColumn("cuts", F.lit(True)), ["client_id", "at"], "left")
-    begins = ~F.col("late") & (F.col("cuts").isNotNull() | (F.col("run") == F.col("at")))
-    again = scratch.table(again.withColumn("start", F.when(begins, F.col("at"))).drop("cuts", "at"), "again")
-    again = carried(scratch, again.drop("run"), "start", "session", "starts2")
-    short = merged(rows, span.where(F.col("span") <= length).select(*key), key).withColumnRenamed("run", "session")
-    every = short.unionByName(again)
-    timely = ~F.col("late")
-    last = F.max(F.when(timely, F.struct("us", "click_id", "final", "ahead")))
-    found = every.groupBy("client_id", "session").agg(
-        last.alias("last"),
-        F.count(F.when(timely, F.lit(1))).alias("n_clicks"),
-        F.count(F.when(~timely, F.lit(1))).alias("n_late"),
-        F.try_sum(F.when(timely, F.col("cents"))).alias("value_cents"),
-        F.array_sort(F.collect_list(F.when(timely, F.struct("us", "click_id")))).alias("path"),
-    )
-    closed = F.when(F.col("last.final"), "end").when(F.col("last.ahead").isNull(), "none").when(F.col("last.ahead") >= gap, "gap").otherwise("length")
+    # one row of each id, without a sort: all columns of the one with the smallest hash
+    columns = ["client_id", "us", "late", "final", "cents"]
+    rows = rows.withColumn("h", F.xxhash64(*columns)).groupBy("click_id").agg(*[F.min_by(c, "h").alias(c) for c in columns])
+    rows = rows.withColumn("cell", F.floor(F.col("us") / gap))
+    parts = pieces(scratch, rows)
+    joined = merged(parts, islands(scratch, parts, gap, length), ["client_id", "cell"])
+    opens_here = F.col("begin").isNotNull() & (~F.col("leads") | F.col("opens"))
+    joined = joined.select(
+        "client_id", "cell", "path", "lates", "final", "end",
+        F.when(opens_here, F.col("begin")).otherwise(F.col("earlier")).alias("session"),
+        F.when(F.col("ends"), F.col("beyond")).otherwise(F.col("soon")).alias("ahead"),
+        # pieces between the first and the last of a cell lie within it
+        ((F.col("begin").isNull() | F.col("leads")) & F.col("long_in") | F.col("ends") & ~F.col("leads") & F.col("long_out")).alias("long"),
+    )
+    joined = scratch.table(joined.where("session IS NOT NULL"), "runs")
+    found = joined.where("NOT long").groupBy("client_id", "session").agg(
+        F.max("end").alias("end_us"), F.bool_or("final").alias("final"), F.max_by("ahead", F.col("end")).alias("ahead"),
+        F.sum(F.size("path")).alias("n_clicks"), F.sum(F.size("lates")).alias("n_late"),
+        F.try_sum(F.aggregate("path", F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x["cents"]).cast("decimal(38,0)"))).try_cast("long").alias("value_cents"),
+        F.transform(F.flatten(F.array_sort(F.collect_list("path"))), lambda x: x["click_id"]).alias("clicks"),
+    )
+    found = found.unionByName(long_runs(scratch, joined.where("long"), gap, length))
+    closed = F.when(F.col("final"), "end").when(F.col("ahead") < 0, "none").when(F.col("ahead") >= gap, "gap").otherwise("length")
     return found.select(
-        "client_id", F.col("session.click_id").alias("session_id"), F.col("session.us").alias("start_us"), F.col("last.us").alias("end_us"),
-        "n_clicks", "n_late", "value_cents", closed.alias("closed_by"), F.col("path.click_id").alias("clicks"),
+        "client_id", F.col("session.click_id").alias("session_id"), F.col("session.us").alias("start_us"), "end_us",
+        "n_clicks", "n_late", "value_cents", closed.alias("closed_by"), "clicks",
     )
 
 
