@@ -114,12 +114,15 @@ def islands(scratch: Scratch, parts: DataFrame, gap: int, length: int) -> DataFr
     run_in = F.when(F.col("opens"), F.col("begin")).otherwise(F.col("earlier"))
     cells = cells.select("client_id", "cell", "opens", "beyond", "earlier", "low_end", "high", run_in.alias("run_in"), F.when(F.col("several"), F.col("out")).alias("run_out"))
     cells = scratch.table(cells, "islands")
-    both = F.array(F.struct(F.lit(True).alias("in"), F.col("run_in").alias("run"), F.col("low_end").alias("end")), F.struct(F.lit(False).alias("in"), F.col("run_out").alias("run"), F.col("high").alias("end")))
-    spans = cells.select("client_id", "cell", F.explode(both).alias("s")).select("client_id", "cell", "s.*").where("run IS NOT NULL")
+    # the run of the first piece, that of the last, and the one that late clicks before the first piece are in
+    span = lambda at, run, end: F.struct(F.lit(at).alias("at"), F.col(run).alias("run"), end.alias("end"))
+    every = F.array(span("in", "run_in", F.col("low_end")), span("out", "run_out", F.col("high")), span("before", "earlier", F.lit(None).cast("long")))
+    spans = cells.select("client_id", "cell", F.explode(every).alias("s")).select("client_id", "cell", "s.*").where("run IS NOT NULL")
     long = spans.where(F.col("end") - F.col("run.us") > length).select("client_id", "run").distinct()
-    marks = merged(spans, long, ["client_id", "run"]).groupBy("client_id", "cell").agg(F.bool_or("in").alias("long_in"), F.bool_or(~F.col("in")).alias("long_out"))
+    flags = ["in", "out", "before"]
+    marks = merged(spans, long, ["client_id", "run"]).groupBy("client_id", "cell").agg(*[F.bool_or(F.col("at") == x).alias(f"long_{x}") for x in flags])
     cells = merged(cells.drop("low_end", "high", "run_in", "run_out"), marks, ["client_id", "cell"], "left")
-    return cells.na.fill(False, ["long_in", "long_out"])
+    return cells.na.fill(False, [f"long_{x}" for x in flags])
 
 
 def by_length(scratch: Scratch, rows: DataFrame, gap: int, length: int) -> DataFrame:
@@ -215,8 +218,8 @@ def sessions(spark: SparkSession, clicks: DataFrame, gap: int = 15 * MINUTE, len
         "client_id", "cell", "path", "lates", "final", "end",
         F.when(opens_here, F.col("begin")).otherwise(F.col("earlier")).alias("session"),
         F.when(F.col("ends"), F.col("beyond")).otherwise(F.col("soon")).alias("ahead"),
-        # pieces between the first and the last of a cell lie within it
-        ((F.col("begin").isNull() | F.col("leads")) & F.col("long_in") | F.col("ends") & ~F.col("leads") & F.col("long_out")).alias("long"),
+        F.when(F.col("begin").isNull(), F.col("long_before")).when(F.col("leads"), F.col("long_in")).when(F.col("ends"), F.col("long_out"))
+        .otherwise(F.col("end") - F.col("begin.us") > length).alias("long"),
     )
     joined = scratch.table(joined.where("session IS NOT NULL"), "runs")
     found = joined.where("NOT long").groupBy("client_id", "session").agg(

@@ -76,7 +76,7 @@ def clicks(seed, n=900):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 4])
 def test_sessions(spark, tmp_path, seed):
     rows = clicks(seed)
     got = run_sessions(spark, rows, tmp_path)
