@@ -23,6 +23,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Knapsacks are exact for budgets of up to WORDS words, or up to FEW documents.
 WORDS, FEW = 1 << 22, 20
+#: Beyond that: units of a budget, units over it that are looked at, longest documents and lengths of the last step.
+GRID, OVER, DEEP, KINDS = 1 << 20, 64, 32, 1024
 #: Rows of a source and size that are broadcast, of some 60 bytes each.
 SIZES = 200_000
 
@@ -43,7 +45,7 @@ def dense(items: list[tuple[int, int]], budget: int) -> dict[int, int]:
             new = np.flatnonzero(reach[:-w] & ~reach[w:]) + w
             reach[new], first[new] = True, len(steps)
             count, part = count - part, part * 2
-    return back(int(np.flatnonzero(reach)[-1]), lambda at: int(first[at]), steps)
+    return back(int(np.flatnonzero(reach)[-1]), first, steps)
 
 
 def sparse(items: list[tuple[int, int]], budget: int) -> dict[int, int]:
@@ -58,19 +60,67 @@ def sparse(items: list[tuple[int, int]], budget: int) -> dict[int, int]:
             more = more[~np.isin(more, sums, assume_unique=True)]
             sums, first = np.concatenate([sums, more]), np.concatenate([first, np.full(len(more), len(steps), np.int32)])
             count, part = count - part, part * 2
-    of = dict(zip(sums.tolist(), first.tolist()))
-    return back(int(sums.max()), of.__getitem__, steps)
+    return back(int(sums.max()), dict(zip(sums.tolist(), first.tolist())), steps)
 
 
-def back(at: int, first, steps: list[tuple[int, int]]) -> dict[int, int]:
+def back(at: int, first, steps: list[tuple[int, int]], unit: int = 1) -> dict[int, int]:
+    """What the sum `at` is made of, in units; first: for each sum, the step that reached it."""
     taken: dict[int, int] = {}
     while at:
-        length, part = steps[first(at) - 1]
+        length, part = steps[int(first[at]) - 1]
         taken[length] = taken.get(length, 0) + part
-        at -= length * part
+        at -= units(length * part, unit)
     return taken
 
 
+def units(words: int, unit: int) -> int:
+    return max(1, (words + unit // 2) // unit)
+
+
+def rounded(items: list[tuple[int, int]], budget: int) -> dict[int, int]:
+    """A sum near budget, never over it, for any budget: dynamic programming over sums in units of
+    budget / GRID words, to which lengths are rounded; of the last sums that are reached, up to some over
+    the budget, the one counts whose documents fit it best by their exact lengths."""
+    unit = max(1, budget // GRID)
+    top = budget // unit + OVER
+    reach, first, steps = np.zeros(top + 1, bool), np.zeros(top + 1, np.int32), []
+    reach[0] = True
+    for length, count in items:
+        count, part = min(count, budget // length), 1
+        while count:
+            part = min(part, count)
+            steps.append((length, part))
+            w = units(length * part, unit)
+            new = np.flatnonzero(reach[:-w] & ~reach[w:]) + w
+            reach[new], first[new] = True, len(steps)
+            count, part = count - part, part * 2
+    ends = (back(int(at), first, steps, unit) for at in np.flatnonzero(reach)[-4 * OVER :])
+    return max((t for t in ends if weight(t) <= budget), key=weight, default={})
+
+
+def tail(items: list[tuple[int, int]], budget: int) -> dict[int, int]:
+    """For budgets over WORDS words: longest documents first, until DEEP of the longest would fill the
+    rest; that is met by rounded sums of documents of up to KINDS lengths, evenly chosen among those that
+    are left, and what then is open by an exact knapsack."""
+    items = sorted(((n, c) for n, c in items if c and 0 < n <= budget), reverse=True)
+    taken: dict[int, int] = {}
+    left, keep = budget, DEEP * max((n for n, _ in items), default=0)
+    for n, c in items:
+        if k := min(c, max(0, left - keep) // n):
+            taken[n] = k
+            left -= k * n
+    rest = [(n, c - taken.get(n, 0)) for n, c in items]
+    rest = [(n, c) for n, c in rest if c and n <= left]
+    some = [rest[i * len(rest) // KINDS] for i in range(KINDS)] if len(rest) > KINDS else rest
+    taken = added(taken, rounded(some, left))
+    open_ = [(n, c - taken.get(n, 0)) for n, c in items]
+    return added(taken, knapsack(open_, budget - weight(taken)) or {})
+
+
+def added(a: dict[int, int], b: dict[int, int]) -> dict[int, int]:
+    return {n: a.get(n, 0) + b.get(n, 0) for n in {**a, **b}}
+
+
 def largest(items: list[tuple[int, int]], budget: int) -> int:
     """No sum up to budget is above this: the multiple of what all lengths are multiples of."""
     return budget - budget % (gcd(*(n for n, _ in items)) or 1)
@@ -116,7 +166,8 @@ def fit(lengths: list[tuple[int, int]], budget: int, total: int) -> dict[int, in
 
     Each length gives its proportional share first. Where the rest cannot be met to the word, it is
     tried with a larger knapsack, and then without the shares; the best counts. The sum is the
-    largest of all for budgets up to WORDS words, and for up to FEW documents."""
+    largest of all for budgets up to WORDS words, and for up to FEW documents; beyond, it is met by
+    rounded lengths first."""
     items = [(n, c) for n, c in lengths if n and c]
     if not items or budget <= 0:
         return {}
@@ -130,7 +181,20 @@ def fit(lengths: list[tuple[int, int]], budget: int, total: int) -> dict[int, in
         best = max(best, found, key=weight)
         if weight(best) == goal:
             return best
-    return max(best, knapsack(items, budget) or {}, key=weight)
+    whole = knapsack(items, budget)
+    return max(best, tail(items, budget) if whole is None else whole, key=weight)
+
+
+def nearest(lengths: list[tuple[int, int]], budget: int, total: int) -> dict[int, int]:
+    """As fit(); but where that leaves over a thousandth of the budget open, and leaving out what fits
+    best into total - budget goes over it by less, that."""
+    under = fit(lengths, budget, total)
+    short = budget - weight(under)
+    if short * 1000 <= budget:
+        return under
+    out = fit(lengths, total - budget, total)
+    over = {n: c - out.get(n, 0) for n, c in lengths}
+    return over if weight(over) - budget < short else under
 
 
 def weight(taken: dict[int, int]) -> int:
@@ -183,7 +247,7 @@ def shares(scratch: Scratch, own: DataFrame) -> DataFrame:
         rows = list(zip(p["size"].tolist(), p["n"].tolist()))
         base = min(MOST, int(target // total)) if total else 0
         left = round(target) - base * total
-        more = fit(rows, left, total) if base < MOST and left > 0 else {}
+        more = nearest(rows, left, total) if base < MOST and left > 0 else {}
         return pd.DataFrame({"source": p["source"], "size": p["size"], "source_size": total, "target": target, "base": base, "more": [more.get(n, 0) for n, _ in rows]})
 
     joined = lengths.join(goal.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")

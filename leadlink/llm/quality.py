@@ -234,6 +234,8 @@ def learned(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int
     null doc_id, null label, or labels that contradict each other, are left out."""
     table = contexts(docs)
     known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("top")).where("y = top")
+    # labels of documents that are not there take nobody's place
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     known = known.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("k"), "y")
     shared = spark.sparkContext.broadcast(table)
 

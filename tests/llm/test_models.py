@@ -108,6 +108,33 @@ def test_fit_of_many_documents():
             assert 0 <= budget - mixing.weight(got) <= 1 + budget // 100_000
 
 
+@pytest.mark.parametrize("n, low, high", [(25, 5_000_000, 6_000_000), (30, 4_500_000, 4_600_000), (40, 3_000_000, 9_000_000), (60, 3_000_000, 11_000_000), (4000, 4_200_000, 5_000_000)])
+def test_fit_of_long_documents(n, low, high):
+    """Budgets over WORDS words without short documents, against 2,000 random sums."""
+    rng = random.Random(n)
+    for part in (0.3, 0.5, 0.32):
+        own = rng.sample(range(low, high), n)
+        budget = int(sum(own) * part) + rng.randrange(1000)
+        got = mixing.fit([(x, 1) for x in own], budget, sum(own))
+        assert set(got) <= set(own) and all(k in (0, 1) for k in got.values())
+        best = 0
+        for _ in range(2000 if n < 100 else 20):
+            total = 0
+            for x in rng.sample(own, n):
+                total += x if total + x <= budget else 0
+            best = max(best, total)
+        assert best - budget // 1000 <= mixing.weight(got) <= budget
+
+
+def test_mix_of_long_texts(spark, docs):
+    rng = random.Random(1)
+    sizes = [rng.randrange(210_000, 260_000) for _ in range(26)]
+    texts = ["w " * n for n in sizes] + ["one", "two words"]
+    df = docs(texts).select("doc_id", "text", F.when(F.col("doc_id") < 26, "b").when(F.col("doc_id") == 26, "a").otherwise("c").alias("source"))
+    rows = mixing.mix(spark, df).where("source_size > 2").collect()
+    assert len(rows) == 26 and abs(sum(r["taken"] for r in rows) - rows[0]["target"]) < rows[0]["target"] / 1000
+
+
 def water(sizes):
     """Targets by sharing the excess again until none is above its limit."""
     w = [mixing.WEIGHTS[i % 3] for i in range(len(sizes))]
@@ -339,6 +366,15 @@ def test_repeated_and_long_documents_of_a_label(spark, docs):
     assert np.allclose(sorted(r["score"] for r in rows), sorted(r["score"] for r in again), atol=1e-3)
 
 
+def test_labels_of_absent_documents_take_no_place(spark, docs):
+    rng = random.Random(4)
+    df = docs([prose(rng, 20) if i % 2 else "!! ? " * 9 for i in range(60)])
+    labels = spark.range(5000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    _, few = quality.learned(spark, df, labels.where("doc_id < 60"), sample=60)
+    _, all_ = quality.learned(spark, df, labels, sample=60)
+    assert few.ready and all_.ready and np.allclose(few.p[0], all_.p[0])
+
+
 def test_quality(spark, docs):
     rng = random.Random(8)
     texts = [prose(rng, 40) if i % 3 else "!! ".join(prose(rng, 40).upper().split(" ")) for i in range(240)] + [None, "", "word"]
