@@ -230,7 +230,7 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, cosine: float = 0.93,
     non-finite components, and rows with null label or vec_id, are linked with nothing.
     component_id is the smallest vec_id that links reach (for a null vec_id null, and kept is
     true). Equal vectors of a label are one class: each is linked with all others of it. Rows
-    that repeat a vec_id count as rows, and as one node of a component. An empty table gives an
+    that repeat a vec_id count as rows, and are linked only as their vectors are. An empty table gives an
     empty result. Other columns are ignored, whatever they are named."""
     if not 0 < cosine < 1:
         raise ValueError("cosine must lie between 0 and 1")
@@ -240,8 +240,9 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, cosine: float = 0.93,
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("e"))
     own = own.withColumn("ok", F.coalesce(sound, F.lit(False)) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     own = own.select("vec_id", "label", "ok", F.when(F.col("ok"), F.xxhash64("e")).alias("h1"), F.when(F.col("ok"), F.xxhash64(F.lit(7), "e")).alias("h2"), "e")
-    classes = own.where("ok").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("e").alias("embedding"))
-    classes = scratch.table(classes, "classes")
+    classes = own.where("ok").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("n"), F.first("e").alias("embedding"))
+    # a class is a node of its own, as vec_ids may repeat over classes; its number holds once it is written
+    classes = scratch.table(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     # as many gridded coordinates as bring the fullest cell of spread-out vectors under `cell`
     labels = classes.groupBy(F.col("label").alias("l")).agg(F.count(F.lit(1)).alias("c"))
     grids = labels.select(F.col("l").alias("label"), "c", F.greatest(F.lit(0), F.least(F.lit(width), F.ceil(F.log(F.col("c") / cell) / float(np.log(2))))).cast("int").alias("grid"))
@@ -262,9 +263,12 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, cosine: float = 0.93,
     fetched = fetched.repartition(*GROUP).sortWithinPartitions(*order)
     found = scratch.table(fetched.mapInPandas(joiner(cosine, width, seed), "kind int, u long, v long"), "found")
     counts = found.where("kind = 1").groupBy("u").agg(F.sum("v").alias("links"))
-    low = components(scratch, found.where("kind = 0"), "u", "v").withColumnRenamed("label", "low")
-    named = classes.drop("embedding").join(counts, F.col("id") == F.col("u"), "left").drop("u").join(low, F.col("id") == F.col("node"), "left")
-    named = named.select("label", "h1", "h2", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("low", "id").alias("component_id"))
+    nodes = components(scratch, found.where("kind = 0"), "u", "v").withColumnRenamed("label", "top")
+    nodes = scratch.table(nodes.join(classes.select(F.col("id").alias("node"), "low"), "node"), "nodes")
+    tops = nodes.groupBy("top").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("c"))
+    least = spread(nodes.select("node", "top"), scratch.table(tops, "tops"), ["top"], "c", nodes.count()).select("node", "least")
+    named = classes.drop("embedding").join(counts, F.col("id") == F.col("u"), "left").drop("u").join(least, F.col("id") == F.col("node"), "left")
+    named = named.select("label", "h1", "h2", "n", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("least", "low").alias("component_id"))
     own, links = own.drop("e"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     total = classes.agg(F.sum("n")).first()[0] or 0
     linked = spread(own.where("ok"), scratch.table(named, "named"), ["label", "h1", "h2"], "n", total)

@@ -235,6 +235,17 @@ def test_vectors_at_the_very_cosine_and_repeated_ids(spark):
     assert got == [(1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True), (4, 0, 4, True), (4, 2, 1, False), (5, 1, 5, True), (6, 1, 5, False)]
 
 
+@pytest.mark.parametrize("cell", [4096, 4])
+def test_vectors_that_share_an_id(spark, cell):
+    """One id for two vectors, or under two labels: each row has its own links and component."""
+    far, near = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, 0, far), (1, 0, near), (2, 0, [1.0, 0.01, 0.0]), (3, 0, [0.01, 1.0, 0.0])]
+    rows += [(10, 0, [0.0, 0.0, 1.0]), (11, 0, [0.0, 0.01, 1.0]), (10, 1, far), (12, 1, [1.0, 0.01, 0.0]), (13, 1, [1.0, 0.02, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = sorted(tuple(r) for r in embeddings.near_vectors(spark, df, cell=cell, width=1).collect())
+    assert got == sorted([(1, 1, 1, True)] * 2 + [(2, 1, 1, False), (3, 1, 1, False), (10, 1, 10, True), (11, 1, 10, False), (10, 2, 10, True), (12, 2, 10, False), (13, 2, 10, False)])
+
+
 def test_empty_tables(spark, docs):
     none = docs([])
     assert simhash.near_duplicates(spark, none).count() == 0
