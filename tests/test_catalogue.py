@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from leadlink.plans import runs  # noqa: F401  adds its queries
 from leadlink.plans.catalogue import QUERIES, SQL
 
 DIR = "/root/testdata/sf0.001"
@@ -12,7 +13,8 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def rows(df):
     df = df[sorted(df.columns)]
-    shown = lambda v: None if v is None or v != v else f"{v:.6f}" if isinstance(v, float) else str(v)
+    df = df.astype(object).where(df.notna(), None)
+    shown = lambda v: None if v is None else f"{v:.6f}" if isinstance(v, float) else str(v)
     return sorted(str([shown(v) for v in r]) for r in df.itertuples(index=False))
 
 
