@@ -73,9 +73,9 @@ def q_run_decisions(spark, d):
     return finished(spark, d).decisions
 
 
-@query("q_run_transactions", f"{AFTER} SELECT * FROM tx")
+@query("q_run_transactions", f"{AFTER} SELECT * REPLACE (coalesce(lead_id, -1) AS lead_id, coalesce(pos_week, -1) AS pos_week) FROM tx")
 def q_run_transactions(spark, d):
-    return finished(spark, d).transactions
+    return finished(spark, d).transactions.fillna(-1, ["lead_id", "pos_week"])
 
 
 @query("q_run_leads", f"{AFTER} SELECT * FROM lx")

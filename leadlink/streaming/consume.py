@@ -50,9 +50,18 @@ def once(stream: DataFrame, key: str = "pos_id", seconds: int | None = None) ->
 def consume(spark: SparkSession, source: str, target: str, checkpoint: str, schema: T.StructType, key: str = "pos_id", seconds: int | None = None) -> StreamingQuery:
     """Appends the first row of each key of new Parquet files under source to target; started, for
     what is there now. A batch that failed is written once: the target keeps a log of its batches."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    # with timeouts, batches without data would follow each other without end; keys are forgotten as data comes
+    own = {"spark.sql.streaming.stateStore.providerClass": ROCKS, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in own}
     rows = once(spark.readStream.schema(schema).parquet(source), key, seconds)
-    return rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    writer = rows.writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True)
+    try:
+        for c, value in own.items():
+            spark.conf.set(c, value)
+        return writer.start()  # which keeps the settings of its start
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
 
 
 def state_rows(spark: SparkSession, checkpoint: str) -> DataFrame:
