@@ -115,7 +115,7 @@ def match(leads: DataFrame, pos: DataFrame, run: str, rules: Rules = R, embedder
     pairs = pairs.withColumns({f"{c}_s": name(c) for c in names} | {f"{c}_s": vectors.score(F.col("v"), F.col(f"{c}_v")) for c in addresses})
     scored = matching.score_sets(pairs, [f"{c}_s" for c in names], [f"{c}_s" for c in addresses], rules)
     own = lambda kind: F.element_at(F.array(*[F.col(f"{kind}_{s[1]}") for s in rules.sets]), F.col("winning_set"))
-    same = lambda kind: F.coalesce((F.col(f"lead_{kind}") != "") & (F.col(f"lead_{kind}") == own(kind)), F.lit(False))
+    same = lambda kind: scores.same_contact(F.col(f"lead_{kind}"), own(kind))
     none = F.lit(False)
     scored = scored.withColumns({"email_boost": scores.boost(same("email"), none, rules), "phone_boost": scores.boost(none, same("phone"), rules)})
     scored = scored.withColumn("final_score", scores.final_score(F.col("best_score") + F.col("email_boost") + F.col("phone_boost"), rules))

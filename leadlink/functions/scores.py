@@ -25,6 +25,11 @@ def boost(same_email: Column, same_phone: Column, rules: Rules = R) -> Column:
     return F.when(same_email, rules.email_boost).otherwise(0.0) + F.when(same_phone, rules.phone_boost).otherwise(0.0)
 
 
+def same_contact(a: Column, b: Column) -> Column:
+    """Whether two normalised contacts are equal and not blank."""
+    return F.coalesce((a != "") & (a == b), F.lit(False))
+
+
 def final_score(raw: Column, rules: Rules = R) -> Column:
     return F.least(F.lit(rules.cap), F.round(raw, 2))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Rules
 from ..functions import scores
+from . import matching
 
 R = Rules()
 
@@ -162,10 +163,15 @@ def search(df: DataFrame, p: SearchParams) -> tuple[DataFrame, DataFrame]:
 
 
 def graph(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes, edges): one node for each lead and transaction, one edge for each decision."""
+    """(nodes, edges): one node for each lead and transaction, one edge for each decision, with score,
+    match_type, lifecycle_state and primary_transaction; the last two are derived where df has none."""
+    if "lifecycle_state" not in df.columns:
+        df = df.withColumn("lifecycle_state", scores.lifecycle(F.col("match_type"), F.col("final_score")))
+    if "primary_transaction" not in df.columns:
+        df = matching.with_primary(df)
     leads = df.select(F.lit("Lead").alias("kind"), F.col("lead_id").cast("string").alias("id"))
     pos = df.select(F.lit("Pos").alias("kind"), F.col("pos_id").cast("string").alias("id"))
-    edges = df.select(F.col("lead_id").cast("string").alias("source"), F.col("pos_id").cast("string").alias("target"), "final_score", "match_type")
+    edges = df.select(F.col("lead_id").cast("string").alias("source"), F.col("pos_id").cast("string").alias("target"), F.coalesce("final_score", F.lit(0.0)).alias("score"), "match_type", "lifecycle_state", "primary_transaction")
     return leads.union(pos).distinct(), edges
 
 

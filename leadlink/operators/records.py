@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Rules
@@ -93,6 +93,13 @@ def by_territory(df: DataFrame, column: str = "territory") -> DataFrame:
     return df.orderBy(F.col(column).try_cast("bigint").asc_nulls_last(), F.col(column))
 
 
+def territory_places(df: DataFrame, column: str = "territory") -> DataFrame:
+    """Every territory with its place, from 1, in the order of by_territory(). Only the list of different
+    territories is numbered in one task, not the rows."""
+    order = Window.orderBy(F.col(column).try_cast("bigint").asc_nulls_last(), F.col(column))
+    return df.select(column).distinct().select(column, F.row_number().over(order).cast("long").alias("place"))
+
+
 def oms_address(columns: list[str]) -> Column:
     """One further address of a transaction, as addresses are normalised; empty without parts."""
     parts = [F.when(F.trim(c) != "", F.col(c)) for c in columns]

@@ -7,6 +7,7 @@ territory. A proxy is one SELECT that both engines run; what is tested is the op
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..schemas import OUTPUT_36, conform
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings"
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings clients"
 #: The synthetic vectors are far apart, so the gate and floor of these queries are lower.
 GATE = Rules(recall_gate=15.0, floor=15.0, medium=20.0, high=25.0)
 
@@ -164,6 +165,27 @@ def q_boosts(spark, d):
     return knn(spark, d).select("lead_id", "pos_id", scores.boost(e, n).alias("email_boost"), scores.boost(n, p).alias("phone_boost"), scores.final_score(F.col("raw") * 2 + scores.boost(e, p)).alias("final_score"))
 
 
+# every client, with the contacts of its account as a lead's and its own as a transaction's
+# (the table has no phones: the nation's number stands for them, written in two ways)
+CLIENTS = "SELECT client_id AS pos_id, master_id AS account_id, email AS own_email, '1-206-' || lpad(CAST(nation_id AS STRING), 7, '0') AS own_phone FROM clients"
+CLIENT_CONTACTS = "SELECT client_id AS account_id, min(email) AS email, '(206) ' || lpad(CAST(min(nation_id) AS STRING), 7, '0') AS phone FROM clients GROUP BY client_id"
+DIGITS = "regexp_replace(coalesce({0}, ''), '[^0-9]', '', 'g')"
+PHONE = f"CASE WHEN length({DIGITS}) = 11 AND {DIGITS} LIKE '1%' THEN substr({DIGITS}, 2) WHEN length({DIGITS}) = 10 THEN {DIGITS} ELSE '' END"
+MAIL = "lower(trim(coalesce({0}, '')))"
+
+
+@query("q_contact_boosts", f"""WITH x AS (SELECT pos_id, c.account_id, {MAIL.format("email")} AS email, {PHONE.format("phone")} AS phone, {MAIL.format("own_email")} AS own_email, {PHONE.format("own_phone")} AS own_phone
+  FROM ({CLIENTS}) c LEFT JOIN ({CLIENT_CONTACTS}) a ON a.account_id = c.account_id),
+ b AS (SELECT *, CASE WHEN email <> '' AND email = own_email THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END AS email_boost, CASE WHEN phone <> '' AND phone = own_phone THEN 5.0::DOUBLE ELSE 0.0::DOUBLE END AS phone_boost FROM x)
+ SELECT *, least(99.999::DOUBLE, round(91 + email_boost + phone_boost, 2)) AS final_score FROM b""")
+def q_contacts_boost(spark, d):
+    x = records.with_contacts(proxy(spark, d, CLIENTS), proxy(spark, d, CLIENT_CONTACTS))
+    x = x.withColumns({c: normalize.email(F.col(c)) for c in ("email", "own_email")} | {c: normalize.phone(F.col(c)) for c in ("phone", "own_phone")})
+    same, none = {k: scores.same_contact(F.col(k), F.col(f"own_{k}")) for k in ("email", "phone")}, F.lit(False)
+    x = x.withColumns({"email_boost": scores.boost(same["email"], none), "phone_boost": scores.boost(none, same["phone"])})
+    return x.withColumn("final_score", scores.final_score(F.lit(91.0) + F.col("email_boost") + F.col("phone_boost")))
+
+
 @query("q_l2_normalize", """SELECT vec_id, CAST(len(embedding) AS INT) AS dim,
   round(list_sum(list_transform(embedding::DOUBLE[], lambda x: round(x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])), 8))), 5) AS total FROM embeddings""")
 def q_l2(spark, d):
@@ -548,6 +570,14 @@ def q_edges(spark, d):
     return edges.toDF("source", "target", "edge")
 
 
+@query("q_graph_match_edges", f"""SELECT CAST(lead_id AS VARCHAR) AS source, CAST(created AS VARCHAR) AS target, coalesce(final_score, 0) AS score, match_type,
+  CASE WHEN {EXACT} THEN 'Closed - Exact' WHEN lower(match_type) IN ('fuzzy', 'manual review') AND final_score >= 70 THEN 'Potential' ELSE 'No Match' END AS lifecycle_state,
+  coalesce(final_score >= 70, false) AND row_number() OVER (PARTITION BY lead_id, coalesce(final_score >= 70, false) ORDER BY pos_year, pos_period, pos_week, created) = 1 AS primary_transaction FROM ({DECIDED})""")
+def q_match_edges(spark, d):
+    # several orders are one transaction here, so the order's key stands for it
+    return analytics.graph(decisions(spark, d).withColumn("pos_id", F.col("created")))[1]
+
+
 @query("q_report_star_join", f"""SELECT d.created, d.lead_id, d.pos_id, c_name AS business_name, n_name AS city, round(coalesce(d.order_amount, 0), 2) AS u_order_amount_rounded, CASE WHEN {FUZZY} THEN 'Potential' WHEN final_score >= 100 THEN 'Match' ELSE '' END AS match_result
   FROM ({DECIDED}) d JOIN customer ON c_custkey = d.lead_id JOIN nation ON n_nationkey = c_nationkey JOIN ({TRANSACTIONS}) t ON t.pos_id = d.pos_id""")
 def q_report(spark, d):
@@ -619,6 +649,27 @@ def q_purge(spark, d):
     return steps.purge({"lead": proxy(spark, d, LEADS), "account": proxy(spark, d, ACCOUNTS)}, 4)["account"]
 
 
+# seven tables: four with a territory of their own, two that hang on leads, and accounts
+HELD = {
+    "lead": ("lead_id", LEADS), "account": ("account_id", ACCOUNTS), "decision": ("created", DECIDED),
+    "vector": ("vec_id", "SELECT vec_id, label AS territory FROM embeddings"), "audit": ("audit_id", "SELECT s_suppkey AS audit_id, s_nationkey AS territory FROM supplier"),
+    "contact": ("contact_id", "SELECT c_custkey + 1 AS contact_id, c_custkey AS lead_id FROM customer"), "note": ("note_id", "SELECT l_orderkey * 8 + l_linenumber AS note_id, l_partkey AS lead_id FROM lineitem"),
+}
+GONE = f"SELECT lead_id FROM ({LEADS}) g WHERE territory = 4"
+STAYS = {
+    "account": f"account_id IN (SELECT account_id FROM ({LEADS}) s WHERE territory IS DISTINCT FROM 4)",
+    "contact": f"lead_id IS NULL OR lead_id NOT IN ({GONE})",
+    "note": f"lead_id IS NULL OR lead_id NOT IN ({GONE})",
+}
+
+
+@query("q_purge_tables", " UNION ALL ".join(f"SELECT '{n}' AS held, CAST({k} AS BIGINT) AS id FROM ({t}) {n}_ WHERE {STAYS.get(n, 'territory IS DISTINCT FROM 4')}" for n, (k, t) in HELD.items()))
+def q_purge_all(spark, d):
+    left = steps.purge({n: proxy(spark, d, t) for n, (_, t) in HELD.items()}, 4)
+    parts = [left[n].select(F.lit(n).alias("held"), F.col(k).cast("long").alias("id")) for n, (k, _) in HELD.items()]
+    return reduce(DataFrame.union, parts)
+
+
 @query("q_fallback_blank_out", f"SELECT lead_id, CASE WHEN lead_id % 4 = 0 THEN NULL ELSE coalesce(name, city) END AS shown FROM ({LEADS}) JOIN ({ACCOUNTS}) USING (account_id)")
 def q_fallback(spark, d):
     j = proxy(spark, d, LEADS).join(proxy(spark, d, ACCOUNTS), "account_id")
@@ -771,10 +822,8 @@ def q_dry_run(spark, d):
 
 @query("q_territory_order", f"SELECT territory, row_number() OVER (ORDER BY try_cast(territory AS BIGINT) NULLS LAST, territory) AS place FROM (SELECT DISTINCT CASE WHEN territory % 6 = 0 THEN 'T' || territory ELSE CAST(territory AS VARCHAR) END AS territory FROM ({LEADS}))")
 def q_territories(spark, d):
-    t = proxy(spark, d, LEADS).select(F.when(F.col("territory") % 6 == 0, F.concat(F.lit("T"), "territory")).otherwise(F.col("territory").cast("string")).alias("territory")).distinct()
-    # a short list: its places are told once it is in order
-    rows = records.by_territory(t).collect()
-    return spark.createDataFrame([(r[0], i + 1) for i, r in enumerate(rows)], "territory string, place long")
+    t = proxy(spark, d, LEADS).select(F.when(F.col("territory") % 6 == 0, F.concat(F.lit("T"), "territory")).otherwise(F.col("territory").cast("string")).alias("territory"))
+    return records.territory_places(t)
 
 
 OMS = "SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN ' ' ELSE c_custkey || ' oak street' END AS oms_address_line_1, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'Town' END AS oms_city, CASE WHEN c_custkey % 2 = 0 THEN 'wa' END AS oms_state, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE '98001-22' END AS oms_zip FROM customer"

@@ -8,7 +8,7 @@ from leadlink.plans import runs  # noqa: F401  adds its queries
 from leadlink.plans.catalogue import QUERIES, SQL
 
 DIR = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings"
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings clients"
 
 
 def rows(df):
