@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,51 +37,52 @@ def new_only(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(done.select(key), key, "left_anti")
 
 
-def knn_blocked(leads: DataFrame, pos: DataFrame, block: str, k: int = R.top_k, gate: float = R.recall_gate, distinct_ids: bool = False) -> DataFrame:
+def knn_blocked(leads: DataFrame, pos: DataFrame, block: str, k: int = R.top_k, gate: float = R.recall_gate, distinct_ids: bool = False, size: int = 4096) -> DataFrame:
     """The k nearest transactions (pos_id, v) of each lead (lead_id, v) in its block, by cosine of
-    unit vectors, with a score of at least the gate. Ties go to the smaller pos_id."""
-    pairs = leads.where("v is not null").join(pos.where("v is not null").withColumnRenamed("v", "w"), block)
-    if distinct_ids:
-        pairs = pairs.where("lead_id <> pos_id")
-    pairs = pairs.select(block, "lead_id", "pos_id", vectors.score(F.col("v"), F.col("w")).alias("raw")).where(F.col("raw") >= gate)
-    nearest = Window.partitionBy(block, "lead_id").orderBy(F.desc("raw"), "pos_id")
-    return pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+    unit vectors, with a score of at least the gate. Ties go to the smaller pos_id.
 
+    Blocks are cut into parts of about `size` vectors; each pair of parts gives its own top k by
+    matrix products (see best_products), and these are ranked together. A task holds two parts.
+    Vectors with a null component, and those of different lengths, have no score."""
+    dim, keys = "__dim", [block, "__dim"]
 
-def knn_matmul(leads: DataFrame, pos: DataFrame, block: str, k: int = R.top_k, gate: float = R.recall_gate, distinct_ids: bool = False, size: int = 4096) -> DataFrame:
-    """As knn_blocked, by matrix products: blocks are cut into parts of about `size` vectors, each
-    pair of parts gives its own top k, and these are ranked together. A task holds two parts."""
+    def of(df, id_):
+        full = df.where(F.col("v").isNotNull() & F.col(block).isNotNull() & ~F.exists("v", lambda x: x.isNull()))
+        full = full.where(F.col(id_).isNotNull()) if distinct_ids else full
+        return full.select(block, id_, "v", F.size("v").alias(dim))
 
     def parts(df, name):
-        n = df.groupBy(block).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(f"n_{name}"))
-        return n
+        return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(f"n_{name}"))
 
-    left, right = leads.where("v is not null"), pos.where("v is not null")
-    counts = parts(left, "l").join(parts(right, "r"), block)
-    left = left.join(counts, block).withColumn("i", F.pmod(F.xxhash64("lead_id"), F.col("n_l")).cast("int"))
-    right = right.join(counts, block).withColumn("j", F.pmod(F.xxhash64("pos_id"), F.col("n_r")).cast("int"))
-    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_r") - 1))).select(F.col(block).alias("lb"), F.col("i").alias("li"), F.col("j").alias("lj"), F.col("lead_id").alias("l"), F.col("v").alias("x"))
-    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_l") - 1))).select(F.col(block).alias("rb"), F.col("i").alias("ri"), F.col("j").alias("rj"), F.col("pos_id").alias("p"), F.col("v").alias("y"))
+    left, right = of(leads, "lead_id"), of(pos, "pos_id")
+    counts = parts(left, "l").join(parts(right, "r"), keys)
+    left = left.join(counts, keys).withColumn("i", F.pmod(F.xxhash64("lead_id"), F.col("n_l")).cast("int"))
+    right = right.join(counts, keys).withColumn("j", F.pmod(F.xxhash64("pos_id"), F.col("n_r")).cast("int"))
+    left = left.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n_r") - 1))).select(F.col(block).alias("lb"), F.col(dim).alias("ld"), F.col("i").alias("li"), F.col("j").alias("lj"), F.col("lead_id").alias("l"), F.col("v").alias("x"))
+    right = right.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n_l") - 1))).select(F.col(block).alias("rb"), F.col(dim).alias("rd"), F.col("i").alias("ri"), F.col("j").alias("rj"), F.col("pos_id").alias("p"), F.col("v").alias("y"))
 
     def best(key, a, b):
         import pandas as pd
 
-        out = []
+        out = [pd.DataFrame({c: [] for c in [block, "lead_id", "pos_id", "raw"]})]
         if len(a) and len(b):
             b = b.sort_values("p")
-            x, y = np.array(a["x"].tolist(), np.float64), np.array(b["y"].tolist(), np.float64)
-            ids = b["p"].to_numpy()
-            for lead, row in zip(a["l"].to_numpy(), x @ y.T * 100):
-                row = np.where(ids == lead, -np.inf, row) if distinct_ids else row
-                at = np.argsort(-row, kind="stable")[:k]
-                out += [(key[0], lead, ids[t], row[t]) for t in at if row[t] >= gate - 1e-9]
-        return pd.DataFrame(out, columns=[block, "lead_id", "pos_id", "raw"])
+            own, ids = a["l"].to_numpy(), b["p"].to_numpy()
+            for i, j, raw in vectors.best_products(vectors.matrix(a["x"]), vectors.matrix(b["y"]), own, ids, k, gate, distinct_ids):
+                out.append(pd.DataFrame({block: [key[0]] * len(i), "lead_id": own[i], "pos_id": ids[j], "raw": raw}))
+        return pd.concat(out[1:] or out, ignore_index=True)
 
     kinds = dict(leads.dtypes) | dict(pos.dtypes)
-    schema = f"{block} {kinds[block]}, lead_id {kinds['lead_id']}, pos_id {kinds['pos_id']}, raw double"
-    found = left.groupBy("lb", "li", "lj").cogroup(right.groupBy("rb", "ri", "rj")).applyInPandas(best, schema)
+    schema = f"`{block}` {kinds[block]}, lead_id {kinds['lead_id']}, pos_id {kinds['pos_id']}, raw double"
+    found = left.groupBy("lb", "ld", "li", "lj").cogroup(right.groupBy("rb", "rd", "ri", "rj")).applyInPandas(best, schema)
+    found = found.withColumn("raw", F.coalesce("raw", F.lit(float("nan"))))  # pandas gives NaN back as null
     nearest = Window.partitionBy(block, "lead_id").orderBy(F.desc("raw"), "pos_id")
-    return found.where(F.col("raw") >= gate).withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+
+
+def knn_matmul(leads: DataFrame, pos: DataFrame, block: str, k: int = R.top_k, gate: float = R.recall_gate, distinct_ids: bool = False, size: int = 4096) -> DataFrame:
+    """knn_blocked under the name it had when that formed its pairs one by one."""
+    return knn_blocked(leads, pos, block, k, gate, distinct_ids, size)
 
 
 def with_fiscal_class(pairs: DataFrame, rules: Rules = R) -> DataFrame:
