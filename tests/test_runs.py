@@ -188,7 +188,7 @@ def test_blocked_search_scores_as_sql(spark):
     assert got == sorted(want)
 
 
-@pytest.mark.parametrize("name", ["q_knn_blocked_topk", "q_boosts_cap", "q_debug_candidates", "q_reasoning", "q_resolve_one_to_one"])
+@pytest.mark.parametrize("name", ["q_knn_blocked_topk", "q_boosts_cap", "q_debug_candidates", "q_reasoning", "q_resolve_one_to_one", "q_six_set_best"])
 def test_pairs_are_scored_by_products(spark, name):
     # pair by pair, 10,256 vectors took over a minute and 100,000 did not end in time
     plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
