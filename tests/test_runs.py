@@ -193,3 +193,18 @@ def test_pairs_are_scored_by_products(spark, name):
     # pair by pair, 10,256 vectors took over a minute and 100,000 did not end in time
     plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInPandas" in plan and "zip_with" not in plan and "embedding" in plan
+
+
+def test_pruned_search_of_any_lengths(spark):
+    # vectors that are not of length 1, zero or not finite; cells larger than a part; and a lead goes to a part, not to each cell
+    rng = np.random.default_rng(6)
+    b = [(i, t, (np.array(v) * (0.2 + i % 5)).tolist()) for i, t, v in unit_rows(rng, 500, [1, 1, 1, 2, None], 0.05)]
+    b += [(900, 1, [0.0] * 12), (901, 2, [float("nan")] * 12), (902, 1, [float("inf")] + [0.5] * 11)]
+    df = spark.createDataFrame(b, "id long, territory int, v array<double>")
+    left, right = df.withColumnRenamed("id", "lead_id"), df.withColumnRenamed("id", "pos_id")
+    rows = lambda f: sorted((r.territory, r.lead_id, r["rank"], r.pos_id, str(r.raw)) for r in f.collect())
+    found = neighbours.search(left, neighbours.build(right, "territory", 64), 5, 10.0, True, size=32)
+    assert rows(found.found) == rows(matching.knn_blocked(left, right, "territory", 5, 10.0, True))
+    # before, one row for each query and cell, with its vector
+    wide = neighbours.search(left, neighbours.build(right, "territory", 64), 5, -1e9, True)
+    assert wide.visits.count() <= 2 * df.where("territory IS NOT NULL").count()
