@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, tidy
 
 BUCKETS, DIM, SPARSE = (1 << 15) - 1, 48, 6
 FEATURES = 2 * DIM + 3
@@ -251,7 +251,12 @@ def learned(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int
     rows = rows.groupBy("k").agg(F.min("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("k", "y", "t.text")
     got = rows.mapInPandas(pooled, "k long, y int, x binary").orderBy("k").collect()
     x = np.array([np.frombuffer(r["x"], "<f4") for r in got], np.float64).reshape(len(got), FEATURES)
-    return table, Network(x, np.array([r["y"] for r in got], np.float64))
+    y = np.array([r["y"] for r in got], np.float64)
+    del got
+    network = Network(x, y)
+    del x
+    tidy()  # the driver keeps what it frees otherwise, through all stages of the pipeline
+    return table, network
 
 
 def scored(docs: DataFrame, table: np.ndarray, network: Network, text: str = "text", out: str = "score") -> DataFrame:

@@ -198,8 +198,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 4, radius
 NEAR = 44
 #: Up to so many fingerprints of a bucket, all near pairs are listed.
 SMALL = 64
-#: Shingles that so many of about SAMPLE texts have are common (the MOST most common ones).
-SAMPLE, COMMON, MOST = 20_000, 20, 200_000
+#: How common shingles are is counted by the low bits of their hashes, in SLOTS places, PART of them in a row.
+SLOTS, PART = 1 << 20, 4096
 #: Texts go to Python workers in batches of about so many bytes.
 BATCH = 8 << 20
 
@@ -226,40 +226,56 @@ def long_print(h: np.ndarray) -> np.ndarray:
     return np.packbits(ones * 2 > len(h)).view(np.int64)
 
 
-def common_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of common shingles, ascending, and in how many texts of a sample each is. Whichever are
-    in it, the search loses nothing; it keeps its buckets small."""
+def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
+    """For each of SLOTS places, in how many texts of docs a shingle is whose hash falls there (once for
+    each such shingle). All texts count; each task adds up its own, so SLOTS numbers a task are moved."""
 
-    def of(batches):
+    def count(batches):
         import pandas as pd
 
+        total = np.zeros(SLOTS, np.int64)
         for p in batches:
+            held, size = [], 0
             for x in p["text"]:
-                yield pd.DataFrame({"h": digests(shingle_set(x.encode("utf-8", "surrogatepass"), words)[1])[:, 0]})
+                held.append(digests(shingle_set(x.encode("utf-8", "surrogatepass"), words)[1])[:, 0])
+                size += len(held[-1])
+                if size > SLOTS:
+                    total += np.bincount(np.concatenate(held) & (SLOTS - 1), minlength=SLOTS)
+                    held, size = [], 0
+            if held:
+                total += np.bincount(np.concatenate(held) & (SLOTS - 1), minlength=SLOTS)
+        if total.any():
+            yield pd.DataFrame({"at": np.arange(SLOTS // PART), "n": [x.tobytes() for x in total.reshape(-1, PART)]})
+        tidy()
+
+    def add(p):
+        import pandas as pd
+
+        n = sum((np.frombuffer(x, np.int64) for x in p["n"]), np.zeros(PART, np.int64))
+        return pd.DataFrame({"at": p["at"][:1], "n": [n.tobytes()]})
 
-    part = F.pmod(F.xxhash64("text"), F.lit(max(1, docs.count() // SAMPLE))) == 0
-    sample = docs.select("text").where(F.col("text").isNotNull() & part).distinct()
-    found = sample.mapInPandas(of, "h long").groupBy("h").count().where(F.col("count") >= COMMON)
-    rows = sorted(tuple(r) for r in found.orderBy(F.desc("count"), "h").limit(MOST).collect())
-    return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+    parts = docs.select("text").where(F.col("text").isNotNull()).mapInPandas(count, "at int, n binary")
+    out = np.zeros((SLOTS // PART, PART), np.uint32)
+    # one row for each PART of the places, however many texts there are
+    for at, n in parts.groupBy("at").applyInPandas(add, "at int, n binary").collect():
+        out[at] = np.minimum(np.frombuffer(n, np.int64), 0xFFFFFFFF)
+    return out.reshape(-1)
 
 
-def prefix(h: np.ndarray, share: float, common: np.ndarray, often: np.ndarray) -> np.ndarray:
+def prefix(h: np.ndarray, share: float, counts: np.ndarray) -> np.ndarray:
     """The first n - ceil(share n) + 1 hashes of a set of n, rare ones first. Two sets of a Jaccard
     similarity of at least share have share n in common, so a hash of one's prefix is in the other's."""
     if not len(h):
         return h
-    times = np.zeros(len(h), np.int64)
-    if len(common):
-        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-        times = np.where(common[at] == h, often[at], 0)
+    times = counts[h & (len(counts) - 1)]
     return h[np.lexsort((h, times))[: len(h) - int(np.ceil(share * len(h) - 1e-9)) + 1]]
 
 
 def long_prints(docs: DataFrame, words: int, share: float) -> DataFrame:
     """doc_id, text, node (a hash of the words: texts of equal words are one), s0, s1 (fingerprint
     of distinct shingles), n (their number) and keys (by which it is looked up) of every row."""
-    common, often = common_shingles(docs, words)
+    counts = shingle_counts(docs, words)
+    tidy()
 
     def of(batches):
         from xxhash import xxh64_intdigest
@@ -271,7 +287,7 @@ def long_prints(docs: DataFrame, words: int, share: float) -> DataFrame:
                 h = digests(found)
                 nodes.append(xxh64_intdigest(joined, 42))
                 prints.append(long_print(h))
-                keys.append(prefix(h[:, 0], share, common, often))
+                keys.append(prefix(h[:, 0], share, counts))
                 sizes.append(len(h))
             p["node"] = np.array(nodes, np.uint64).view(np.int64)
             p["s0"], p["s1"] = np.array(prints, np.int64).reshape(-1, 2).T

@@ -372,3 +372,18 @@ def test_crowded_groups_against_brute_force(spark, docs, block, monkeypatch):
     label = components(80, linked)
     assert 3 < len(set(label)) < 60
     assert {r["doc_id"] for r in simhash.keep_one(spark, docs(texts)).collect()} == set(label)
+
+
+def test_shingles_are_counted_in_all_texts(spark, docs):
+    from xxhash import xxh3_128_digest
+
+    texts = [f"a b c d e {' '.join(f'w{i + j}' for j in range(i % 7))}" for i in range(300)] + [None, ""]
+    want = np.zeros(simhash.SLOTS, np.int64)
+    for t in texts:
+        for s in simhash.shingle_set((t or "").encode(), 5)[1]:
+            want[int(np.frombuffer(xxh3_128_digest(s), np.int64)[0]) & (simhash.SLOTS - 1)] += 1
+    got = simhash.shingle_counts(docs(texts).repartition(7), 5)
+    assert got.tolist() == want.tolist() and got.max() == 300
+    # a set's prefix has its rare hashes first
+    h = np.flatnonzero(want)
+    assert want[simhash.prefix(h, 0.8, got)].max() < 300 and len(simhash.prefix(h, 0.8, got)) == len(h) - int(np.ceil(0.8 * len(h))) + 1
