@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import time
 import uuid
 from contextlib import contextmanager
 
@@ -51,6 +52,7 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).parquet(f"{self.path}/{name}")
+        give_back(self.spark)
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def drop(self, name: str = "") -> None:
@@ -94,6 +96,34 @@ def tidy() -> None:
         libc.malloc_trim(0)
 
 
+#: When the driver gave back memory last.
+_given = [0.0]
+
+
+def give_back(spark: SparkSession, every: float = 2.0) -> str | None:
+    """tidy() for the driver and its JVM, at most once in `every` seconds: memory that Spark's native code
+    (compression, class compilation) has freed goes back to the system, by the management command of
+    JDK 17 and later (jcmd System.trim_native_heap), whose answer is returned. Others have none; they keep it."""
+    from py4j.protocol import Py4JError
+
+    if time.monotonic() - _given[0] < every:
+        return None
+    tidy()
+    _given[0] = time.monotonic()
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    named = jvm.java.lang.Class.forName
+    try:
+        kinds, values = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+        for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = named(kind)
+        values[0], values[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        # by the interface's method, as the server's class is not open to reflection
+        invoke = named("javax.management.MBeanServer").getMethod("invoke", kinds)
+        return invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), values)
+    except Py4JError:
+        return None
+
+
 def spread(rows: DataFrame, table: DataFrame, on: list[str], weight: str, total: int, shares: int = 10_000) -> DataFrame:
     """rows joined with table by not null columns `on`. The table has one row for each key, and in
     `weight` how many of rows (`total` in all) have it. Keys of over 1 / shares of all rows are less

@@ -387,3 +387,14 @@ def test_shingles_are_counted_in_all_texts(spark, docs):
     # a set's prefix has its rare hashes first
     h = np.flatnonzero(want)
     assert want[simhash.prefix(h, 0.8, got)].max() < 300 and len(simhash.prefix(h, 0.8, got)) == len(h) - int(np.ceil(0.8 * len(h))) + 1
+
+
+def test_tables_give_back_the_drivers_memory(spark):
+    # before, what the native code of the driver's JVM had freed stayed with it through all tables
+    scratch = common.Scratch(spark, "given")
+    common._given[0] = 0.0
+    assert scratch.table(spark.range(10), "t").count() == 10
+    assert common._given[0] > 0
+    scratch.drop()
+    if int(spark._jvm.java.lang.System.getProperty("java.specification.version").split(".")[0]) >= 17:
+        assert "native heap" in common.give_back(spark, 0.0)
